@@ -1,16 +1,17 @@
 """High-utility itemset mining, level by level, as Spark jobs.
 
-A level holds candidate itemsets of one size. An itemset is its items in search order: a
-``path`` of ranks and a ``last`` one. Each receipt holding it has a row: ``iu`` is the utility of
-the itemset there, ``ru`` what later items can still add. Per level:
-
-1. candidates come from joining siblings, itemsets equal but for their last item, on the receipt;
-2. their sums over all receipts decide which are results and which may be extended. The join
-   feeds the map-side aggregation directly: its rows are neither shuffled nor written;
-3. only rows of itemsets that can still contribute are written, as the base of the next level.
-
-Each level thus computes its join twice rather than write every candidate row once, since nearly
-all of those rows belong to itemsets that the sums rule out.
+Level k holds the itemsets of k items. An itemset is a ``prefix``, the itemset without its last
+item in search order, and that ``last`` item's rank. Each receipt holding it has a row: ``iu`` is
+the utility of the itemset there, ``ru`` what later items can still add. Per level:
+
+1. rows of extendable itemsets meet the single items of their receipt that rank later;
+2. the sums over all receipts tell which of the new itemsets are results and which can be extended.
+   The join feeds the map-side aggregation directly, so its rows are neither shuffled nor written;
+3. only rows of extendable itemsets go on to the next level.
+
+All joins of receipts are on ``tid`` and the tables of itemsets are small, so as a rule a whole
+chain of levels runs in one stage after a single shuffle of the utility lists. Rows are written
+only every few levels, or where a table of itemsets has outgrown a broadcast.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -26,10 +27,21 @@ from pyspark.sql.window import Window
 from ..functions.itemsets import itemset_name
 from ..functions.units import from_units, threshold_units, to_units
 from ..plans.workspace import Workspace, workspace_for
-from .twu import item_rank, merge_duplicates, mining_columns, twu_units
+from .ordering import dense_index
+from .twu import merge_duplicates, mining_columns, promising_items, twu_units
 
 # A receipt with more promising items than this is split among several join keys.
 SPLIT_ITEMS = 1024
+# Rows of extendable itemsets are computed from the last written ones over at most this many
+# levels, so that a row is computed a bounded number of times however deep the search goes. …
+LAZY_LEVELS = 4
+# … They are written at once when filtering rows by the extendable itemsets takes a shuffle, …
+LAZY_NODES = 100_000
+# … or when many rows were computed and few of them are left. Fewer cost less than a Spark job.
+LAZY_ROWS = 10_000_000
+LEFT_OVER = 0.1
+# Later items are filtered by their siblings' bound where that leaves out this share of them.
+SIBLING_GAIN = 0.1
 
 
 @dataclass(frozen=True)
@@ -56,9 +68,7 @@ class Mining:
     itemsets: DataFrame
     nodes: DataFrame
     ranks: DataFrame
-    twu: DataFrame
     items: DataFrame
-    min_util: object
 
     def stats(self) -> DataFrame:
         """One row of search counters.
@@ -67,154 +77,140 @@ class Mining:
         per item ranked after its last one, so the visits can be counted without searching.
         """
 
-        def one(df: DataFrame, value) -> F.Column:
+        def one(df: DataFrame, value: Column) -> Column:
             return df.agg(F.coalesce(value, F.lit(0)).cast("bigint").alias("value")).scalar()
 
-        rows = F.count(F.lit(1))
-        promising = one(self.ranks, rows)
-        extendable = self.nodes.filter("extendable")
-        below = promising * one(extendable, rows) - one(extendable, F.sum("last"))
+        count = F.count(F.lit(1))
+        promising = one(self.ranks, count)
+        place = dense_index(self.ranks.select("rank"), "place", [F.col("rank")], start=1)
+        below = (
+            self.nodes.filter("extendable")
+            .groupBy(F.col("last").alias("rank"))
+            .agg(count.alias("itemsets"))
+            .join(place, "rank")
+        )
+        visited = F.sum(F.col("itemsets") * (promising - F.col("place")))
         return self.items.sparkSession.range(1).select(
-            one(self.twu, rows).alias("twu_candidates"),
+            one(self.items, F.countDistinct("item")).alias("twu_candidates"),
             promising.alias("promising_items"),
             one(self.ranks, F.sum("occurrences")).alias("estimated_utility_entries"),
             promising.alias("utility_lists_built"),
-            (promising + below).alias("dfs_nodes_explored"),
-            one(self.nodes.filter("found"), rows).alias("huis_found"),
+            (promising + one(below, visited)).alias("dfs_nodes_explored"),
+            one(self.nodes.filter("found"), count).alias("huis_found"),
             one(self.items, F.countDistinct("tid")).alias("total_transactions"),
         )
 
 
-def _single_rows(items: DataFrame, ranks: DataFrame, mode: Mode, duplicates: str) -> DataFrame:
-    """Rows of the single items: their utility lists in BIGINT units.
+def _utility_rows(items: DataFrame, ranks: DataFrame, mode: Mode, duplicates: str) -> DataFrame:
+    """(tid, rank, u, ru, reach, receipt_items) in BIGINT units, of the promising items.
 
-    ``items_here`` and ``items_after`` count the promising items of the receipt, all and later.
+    ``reach`` is what the receipt can contribute at all, ``receipt_items`` counts its items.
     """
     dtype = items.schema["utility"].dataType
     used = mining_columns(items, with_pos=not mode.exact or duplicates != "sum")
-    merged = merge_duplicates(
-        used.withColumn("utility", to_units(F.col("utility"), dtype)).join(
-            ranks.select("item", "rank"), "item"
-        ).withColumn("item", F.col("rank")).drop("rank"),
-        duplicates,
-    ).withColumnRenamed("item", "last")
-    receipt = Window.partitionBy("tid")
-    # Read backwards, "all later items" is a running frame: one pass over the receipt.
-    backwards = receipt.orderBy(F.desc("last"))
-    later = Window.unboundedPreceding, -1
+    ranked = used.join(ranks.select("item", "rank"), "item").select(
+        "tid",
+        F.col("rank").alias("item"),
+        to_units(F.col("utility"), dtype).alias("utility"),
+        *(["pos"] if "pos" in used.columns else []),
+    )
     gain = F.greatest("utility", F.lit(0)) if mode.exact else F.col("utility")
-    order = backwards if mode.exact else receipt.orderBy(F.desc("pos"))
-    return merged.select(
+    # Read backwards, "all later items" is a running frame: one pass over the receipt.
+    receipt = Window.partitionBy("tid").orderBy(F.desc("item" if mode.exact else "pos"))
+    later = receipt.rowsBetween(Window.unboundedPreceding, -1)
+    whole = receipt.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return merge_duplicates(ranked, duplicates).select(
         "tid",
-        "last",
+        F.col("item").alias("rank"),
         F.col("utility").alias("u"),
-        F.coalesce(F.sum(gain).over(order.rowsBetween(*later)), F.lit(0)).alias("ru"),
-        F.sum(gain).over(receipt).alias("reach"),
-        F.count(F.lit(1)).over(receipt).alias("items_here"),
-        (F.row_number().over(backwards) - 1).cast("bigint").alias("items_after"),
+        F.coalesce(F.sum(gain).over(later), F.lit(0)).alias("ru"),
+        F.sum(gain).over(whole).alias("reach"),
+        F.count(F.lit(1)).over(whole).cast("int").alias("receipt_items"),
     )
 
 
-def _as_candidates(singles: DataFrame) -> DataFrame:
-    return singles.select(
+def _single_candidates(rows: DataFrame) -> DataFrame:
+    """Candidate rows of level 1: the empty prefix, numbered 0, and one item."""
+    return rows.select(
         "tid",
-        F.array().cast("array<int>").alias("path"),
-        "last",
-        "u",
+        F.lit(0).cast("bigint").alias("prefix"),
+        F.col("rank").alias("last"),
         F.col("u").alias("iu"),
         F.col("u").alias("head"),
         "ru",
         "reach",
-        "items_here",
-        "items_after",
+        "receipt_items",
     )
 
 
-def _node_sums(rows: DataFrame, mode: Mode, limit: int) -> DataFrame:
-    """The itemsets still of use: results, extendable ones and those others may be joined with.
+def _node_sums(candidates: DataFrame, mode: Mode, limit: int) -> DataFrame:
+    """Candidate itemsets with their sums over all receipts.
 
-    ``reach`` is what the whole branch of the prefix could earn in a receipt. Summed over the
-    receipts that also hold the last item it bounds every itemset of the branch with that item.
+    ``reach`` of a row is what the whole branch of the prefix could earn in that receipt. Its sum
+    bounds every itemset of the branch that holds the last item, at whatever place.
     """
     bound = F.col("iu") + F.col("ru")
-    sums = rows.groupBy("path", "last").agg(
+    sums = candidates.groupBy("prefix", "last").agg(
         F.sum("iu").alias("utility"),
         F.sum(F.greatest(bound, F.lit(0)) if mode.exact else bound).alias("bound"),
         F.sum("reach").alias("reach"),
         F.count(F.lit(1)).alias("transactions"),
-        F.max("items_here").alias("items_here"),
     )
-    found = F.col("utility") >= limit
-    extendable = F.col("bound") >= limit
-    joinable = F.col("reach") >= limit if mode.exact else extendable
-    return sums.filter(found | extendable | joinable).select(
-        "path",
+    return sums.select(
+        "prefix",
         "last",
         "utility",
         "transactions",
-        "items_here",
-        found.alias("found"),
-        extendable.alias("extendable"),
-        joinable.alias("joinable"),
+        (F.col("utility") >= limit).alias("found"),
+        (F.col("bound") >= limit).alias("extendable"),
+        ((F.col("reach") >= limit) if mode.exact else F.lit(False)).alias("joinable"),
     )
 
 
-def _useful_rows(rows: DataFrame, nodes: DataFrame, mode: Mode) -> DataFrame:
-    """Rows that can take part in the next level's join, flagged where ``extendable``."""
-    if mode.exact:
-        return rows.join(
-            nodes.filter("joinable").select("path", "last", "extendable"), ["path", "last"]
-        )
-    # Without a bound on siblings, one is of use after the first extendable one.
-    extendable = nodes.filter("extendable")
-    first = extendable.groupBy("path").agg(F.min("last").alias("first"))
-    return (
-        rows.join(first, "path")
-        .filter(F.col("last") >= F.col("first"))
-        .drop("first")
-        .join(extendable.select("path", "last", "extendable"), ["path", "last"], "left")
-        .fillna(False, ["extendable"])
-    )
+def _extendable_rows(candidates: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Candidate rows of extendable itemsets, with the number of the itemset as ``node``."""
+    extendable = nodes.filter("extendable").select("prefix", "last", "node")
+    return candidates.join(extendable, ["prefix", "last"])
 
 
-def _join_siblings(rows: DataFrame, mode: Mode, split: bool) -> DataFrame:
-    """Rows of the itemsets one item larger: each extendable itemset with its later siblings.
+def _extend(parents: DataFrame, rows: DataFrame, siblings: DataFrame | None, mode: Mode, split: bool):
+    """Candidate rows one item larger: each row of a parent with the receipt's later items.
 
-    ``split`` deals the siblings of a long receipt out over several join keys, and its extendable
-    itemsets to each of them, so that no task has to pair up a whole receipt.
+    ``siblings`` are the joinable itemsets of the parents' level: a parent takes on only items
+    that its own prefix can be usefully joined with. ``split`` deals the items of a long receipt
+    out over several join keys and its parents to each of them, so that no task has to pair up
+    a whole receipt.
     """
-    left = rows.filter("extendable").select(
-        "tid", "path", F.col("last").alias("x"), "iu", "head", F.col("ru").alias("ru_x"),
-        "items_here", "items_after",
+    left = parents.select(
+        "tid", "prefix", "node", "last", "iu", "head", F.col("ru").alias("ru_parent"), "receipt_items"
     )
-    right = rows.select("tid", "path", F.col("last").alias("y"), "u", "ru", "items_here",
-                        F.col("items_after").alias("after_y"))
-    keys = ["tid", "path"]
+    right = rows.select("tid", "rank", "u", "ru", "receipt_items")
+    keys = ["tid"]
     if split:
-        parts = F.ceil(F.col("items_here") / SPLIT_ITEMS)
+        parts = F.ceil(F.col("receipt_items") / SPLIT_ITEMS).cast("int")
         left = left.withColumn("part", F.explode(F.sequence(F.lit(1), parts)))
-        right = right.withColumn("part", F.pmod(F.hash("y"), parts) + 1)
+        right = right.withColumn("part", F.pmod(F.hash("rank"), parts) + 1)
         keys.append("part")
-    pairs = left.join(right.drop("items_here"), keys).filter(F.col("y") > F.col("x"))
-    return pairs.select(
+    larger = left.join(right.drop("receipt_items"), keys).filter(F.col("rank") > F.col("last"))
+    if siblings is not None:
+        larger = larger.join(
+            siblings.select("prefix", F.col("last").alias("rank")), ["prefix", "rank"], "left_semi"
+        )
+    return larger.select(
         "tid",
-        F.concat("path", F.array("x")).alias("path"),
-        F.col("y").alias("last"),
-        "u",
+        F.col("node").alias("prefix"),
+        F.col("rank").alias("last"),
         ((F.col("iu") if mode.exact else F.col("head")) + F.col("u")).alias("iu"),
         "head",
         "ru",
-        F.greatest(F.col("iu") + F.col("ru_x"), F.lit(0)).alias("reach"),
-        F.col("items_after").alias("items_here"),
-        F.col("after_y").alias("items_after"),
+        F.greatest(F.col("iu") + F.col("ru_parent"), F.lit(0)).alias("reach"),
+        "receipt_items",
     )
 
 
 def _named(nodes: DataFrame, ranks: DataFrame, dtype: T.DataType) -> DataFrame:
     """Results with item names for ranks."""
-    found = nodes.filter("found").select(
-        F.concat("path", F.array("last")).alias("ranks"), "utility", "transactions"
-    )
+    found = nodes.filter("found").select("ranks", "utility", "transactions")
     members = found.withColumn("rank", F.explode("ranks")).join(
         ranks.select("rank", "item"), "rank"
     )
@@ -230,6 +226,40 @@ def _named(nodes: DataFrame, ranks: DataFrame, dtype: T.DataType) -> DataFrame:
     )
 
 
+def _search_order(twu: DataFrame, limit: int, ws: Workspace) -> DataFrame:
+    """Promising items with ``rank``: ascending TWU, ties by name. Ranks rise but have gaps."""
+    promising = promising_items(twu, limit).orderBy("twu", "item")
+    return ws.store(promising.withColumn("rank", F.monotonically_increasing_id()), "ranks")
+
+
+def _store_nodes(
+    candidates: DataFrame, levels: list[DataFrame], mode: Mode, limit: int, ws: Workspace
+) -> tuple[DataFrame, dict]:
+    """Write a level's itemsets that are of further use; also return what was counted on the way."""
+    level = len(levels) + 1
+    seen = Observation()
+    sums = _node_sums(candidates, mode, limit).observe(
+        seen,
+        F.count(F.lit(1)).alias("candidates"),
+        F.count_if("extendable").alias("extendable"),
+        F.count_if("joinable").alias("joinable"),
+        F.coalesce(F.sum("transactions"), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum(F.when(F.col("extendable"), F.col("transactions"))), F.lit(0)).alias("left"),
+    )
+    useful = sums.filter("found or extendable or joinable")
+    if levels:
+        parents = levels[-1].filter("extendable").select(
+            F.col("node").alias("prefix"), F.col("ranks").alias("before")
+        )
+        useful = useful.join(parents, "prefix").withColumn(
+            "ranks", F.concat("before", F.array("last"))
+        ).drop("before")
+    else:
+        useful = useful.withColumn("ranks", F.array("last"))
+    numbered = useful.withColumn("node", F.monotonically_increasing_id())
+    return ws.store(numbered, f"nodes-{level}"), seen.get
+
+
 def mine(
     items: DataFrame,
     min_util,
@@ -249,25 +279,29 @@ def mine(
     if not mode.exact:
         totals = "stated" if "total_utility" in items.columns else "signed"
 
-    twu = ws.store(twu_units(items, totals, duplicates), "twu")
-    ranks = ws.store(item_rank(twu, limit, ws), "ranks")
-    singles = ws.store(_single_rows(items, ranks, mode, duplicates), "rows-1")
+    ranks = _search_order(twu_units(items, totals, duplicates), limit, ws)
+    rows = ws.store(_utility_rows(items, ranks, mode, duplicates), "utility-list")
+    # Only runs that meet a long receipt pay for splitting receipts.
+    longest = rows.agg(F.max("receipt_items")).first()[0] or 0
+    split = longest > SPLIT_ITEMS
 
-    rows, levels = _as_candidates(singles), []
+    levels: list[DataFrame] = []
+    candidates, lazy, computed = _single_candidates(rows), 0, 0
     while True:
-        level = len(levels) + 1
-        nodes = ws.store(_node_sums(rows, mode, limit), f"nodes-{level}")
+        nodes, seen = _store_nodes(candidates, levels, mode, limit, ws)
         levels.append(nodes)
-        open_nodes = nodes.filter("extendable").agg(
-            F.count(F.lit(1)).alias("count"), F.max("items_here").alias("items_here")
-        ).first()
-        if not open_nodes["count"]:
+        if not seen["extendable"]:
             break
-        kept = _useful_rows(rows, nodes, mode)
-        if level > 1:
-            kept = ws.store(kept, f"rows-{level}")
-            ws.discard(f"rows-{level - 1}")
-        rows = _join_siblings(kept, mode, split=open_nodes["items_here"] > SPLIT_ITEMS)
+        parents = _extendable_rows(candidates, nodes)
+        if len(levels) > 1:
+            lazy, computed = lazy + 1, computed + seen["rows"]
+            few_left = computed > LAZY_ROWS and seen["left"] < LEFT_OVER * computed
+            if lazy == LAZY_LEVELS or few_left or seen["extendable"] > LAZY_NODES:
+                parents = ws.store(parents, f"rows-{len(levels)}")
+                lazy, computed = 0, 0
+        prunes = mode.exact and seen["joinable"] < (1 - SIBLING_GAIN) * seen["candidates"]
+        siblings = nodes.filter("joinable") if prunes else None
+        candidates = _extend(parents, rows, siblings, mode, split)
 
     nodes = reduce(DataFrame.unionByName, levels)
-    return Mining(_named(nodes, ranks, dtype), nodes, ranks, twu, items, min_util)
+    return Mining(_named(nodes, ranks, dtype), nodes, ranks, items)
