@@ -7,7 +7,6 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from ..functions.units import from_units, scale_of, threshold_units, to_units
 from ..plans.workspace import Workspace
@@ -44,13 +43,19 @@ def _unit_items(items: DataFrame) -> DataFrame:
 
 
 def _with_receipt_total(items: DataFrame, signed: bool) -> DataFrame:
+    """Merged items with the total of their receipt.
+
+    A join with per-receipt sums streams a receipt through; a window would buffer all of it.
+    Both sides keep the same columns, so that Spark computes and shuffles ``items`` once.
+    """
     # A bound must not shrink by what an itemset may leave out, so negatives count as 0.
     amount = F.col("utility") if signed else F.greatest("utility", F.lit(0))
-    return items.withColumn("total_utility", F.sum(amount).over(Window.partitionBy("tid")))
+    totals = items.groupBy("tid").agg(F.sum(amount).alias("total_utility"))
+    return items.join(totals, "tid")
 
 
 def twu_units(items: DataFrame, totals: str = "positive", duplicates: str = "sum") -> DataFrame:
-    """(item, twu BIGINT, occurrences) of line items.
+    """(item, twu, utility, occurrences) of line items, amounts in BIGINT units.
 
     ``totals="positive"`` adds up the positive utilities of each receipt, ``"signed"`` all of
     them, and ``"stated"`` trusts the ``total_utility`` column, which saves the shuffle on tid.
@@ -61,12 +66,16 @@ def twu_units(items: DataFrame, totals: str = "positive", duplicates: str = "sum
         if scale_of(stated_type) != scale_of(dtype):
             raise ValueError("utility and total_utility must have the same scale")
         stated = to_units(F.col("total_utility"), stated_type)
-        per_item = items.groupBy("tid", "item").agg(F.max(stated).alias("total_utility"))
+        per_item = merge_duplicates(
+            _unit_items(items).select("tid", "item", "utility", stated.alias("total_utility"))
+        )
     else:
         merged = merge_duplicates(mining_columns(items, duplicates != "sum"), duplicates)
         per_item = _with_receipt_total(_unit_items(merged), totals == "signed")
     return per_item.groupBy("item").agg(
-        F.sum("total_utility").alias("twu"), F.count(F.lit(1)).alias("occurrences")
+        F.sum("total_utility").alias("twu"),
+        F.sum("utility").alias("utility"),
+        F.count(F.lit(1)).alias("occurrences"),
     )
 
 
@@ -108,11 +117,10 @@ def item_rank(twu_map: DataFrame, min_util, workspace: Workspace | None = None)
 
 def promising_transactions(items: DataFrame, promising: DataFrame) -> DataFrame:
     """Receipts cut to their promising items, with ``total_utility`` added up again."""
-    kept = items.join(promising.select("item"), "item", "left_semi")
+    kept = items.drop("total_utility").join(promising.select("item"), "item", "left_semi")
     dtype = items.schema["utility"].dataType
-    total = F.sum("utility").over(Window.partitionBy("tid")).cast(dtype)
-    columns = [c for c in items.columns if c != "total_utility"]
-    return kept.select(*columns, total.alias("total_utility"))
+    totals = kept.groupBy("tid").agg(F.sum("utility").cast(dtype).alias("total_utility"))
+    return kept.join(totals, "tid")
 
 
 def item_occurrences(items: DataFrame, promising: DataFrame) -> DataFrame:
