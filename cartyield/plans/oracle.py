@@ -225,9 +225,9 @@ WHERE running > (SELECT sum(occurrences) // {q.ENTRY_BUDGET_SHARE} FROM kept)"""
         "utility_list_twu": f"{_PART_LISTS} SELECT tid, item, rank::INT AS rank, iu, ru FROM ul",
         "item_bounds": f"{_BRAND_LISTS}, {SUMS} SELECT * FROM sums",
         "extendable_items": f"""{_PART_LISTS}, {SUMS}
-SELECT * FROM sums WHERE upper_bound >= (SELECT m FROM m)""",
+SELECT * FROM sums WHERE upper_bound >= (SELECT m // {q.BOUND_SHARE} FROM m)""",
         "prunable_items": f"""{_PART_LISTS}, {SUMS}
-SELECT * FROM sums WHERE upper_bound < (SELECT m FROM m)""",
+SELECT * FROM sums WHERE upper_bound < (SELECT m // {q.BOUND_SHARE} FROM m)""",
         "empty_prefix_list": f"""{_BRAND_LISTS}
 SELECT tid, 0::BIGINT AS iu, iu + ru AS ru FROM ul WHERE item = '{_A}'""",
         "pair_utility_list": f"""{_BRAND_LISTS}

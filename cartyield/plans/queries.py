@@ -30,6 +30,7 @@ SHARE = 500
 SUPPLIER_SHARE = 1000
 LINE_COST = 4_000_000
 ENTRY_BUDGET_SHARE = 2
+BOUND_SHARE = 2
 NAMES = ["Brand#1", "Brand#2", "Brand#3"]
 SEARCH = "bRAND#2,"
 BATCH_DATE = "1999-01-01"
@@ -308,12 +309,12 @@ def item_bounds(spark: SparkSession, folder: str) -> DataFrame:
 
 def extendable_items(spark: SparkSession, folder: str) -> DataFrame:
     entries, limit = part_lists(spark, folder)
-    return utility_list.extendable(utility_list.itemset_sums(entries), limit)
+    return utility_list.extendable(utility_list.itemset_sums(entries), limit // BOUND_SHARE)
 
 
 def prunable_items(spark: SparkSession, folder: str) -> DataFrame:
     entries, limit = part_lists(spark, folder)
-    return utility_list.prunable(utility_list.itemset_sums(entries), limit)
+    return utility_list.prunable(utility_list.itemset_sums(entries), limit // BOUND_SHARE)
 
 
 def empty_prefix_list(spark: SparkSession, folder: str) -> DataFrame:

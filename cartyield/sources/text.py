@@ -9,15 +9,16 @@ from ..functions.units import DEFAULT_SCALE
 from ..operators.ordering import dense_index
 from ..plans.workspace import Workspace
 
-# The text format.
-COMMENT = "#"
+# Fixed value: what separates name, quantity and profit; a line opening with # is a comment.
 FIELD_SEPARATOR = ":"
-ITEM_FIELDS = 3
 
-# White space as Unicode defines it, and the four separators that count as such in text files.
-_SPACE = r"[\s\x1c-\x1f]+"
-_INTEGER = r"^[+-]?[0-9]+$"
-_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+# White space besides the blank: what Unicode calls so, and four separators that count as such.
+_SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0 " + "".join(map(chr, range(0x2000, 0x200B)))
+_SPACES += "    　"
+_NUMBER = r"[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
+_ITEM = rf"[^: ]+:[+-]?[0-9]+:{_NUMBER}"
+# A receipt: its first token opens no comment, another one follows, and some token is an item.
+_RECEIPT = rf"^ *(?!#)(?=[^ ]+ +[^ ])(?:.* )?{_ITEM}(?: |$)"
 
 
 def _number(text: Column, dtype: str) -> Column:
@@ -26,20 +27,6 @@ def _number(text: Column, dtype: str) -> Column:
     return F.coalesce(text.try_cast(dtype), too_large)
 
 
-def _is_total(token: Column) -> Column:
-    return F.startswith(token, F.lit(FIELD_SEPARATOR)) & (F.length(token) > 1)
-
-
-def _is_item(token: Column) -> Column:
-    fields = F.split(token, FIELD_SEPARATOR)
-    return (
-        ~F.startswith(token, F.lit(FIELD_SEPARATOR))
-        & (F.size(fields) == ITEM_FIELDS)
-        & F.rlike(F.get(fields, F.lit(1)), F.lit(_INTEGER))
-        & F.rlike(F.get(fields, F.lit(2)), F.lit(_NUMBER))
-    )
-
-
 def parse_lines(lines: DataFrame, column: str = "value", scale: int = DEFAULT_SCALE) -> DataFrame:
     """Turn a text column into receipts: ``items`` (item, quantity, profit, utility), ``total_utility``.
 
@@ -49,36 +36,38 @@ def parse_lines(lines: DataFrame, column: str = "value", scale: int = DEFAULT_SC
     """
     profit_type, amount_type = f"decimal(18,{scale})", f"decimal(28,{scale})"
 
-    def to_item(token: Column) -> Column:
-        fields = F.split(token, FIELD_SEPARATOR)
-        quantity = _number(F.get(fields, F.lit(1)), "bigint")
-        profit = _number(F.get(fields, F.lit(2)), profit_type)
+    def typed(fields: Column) -> Column:
         return F.struct(
             F.get(fields, F.lit(0)).alias("item"),
-            quantity.alias("quantity"),
-            profit.alias("profit"),
-            (quantity * profit).cast(amount_type).alias("utility"),
+            _number(F.get(fields, F.lit(1)), "bigint").alias("quantity"),
+            _number(F.get(fields, F.lit(2)), profit_type).alias("profit"),
         )
 
-    stripped = F.regexp_replace(column, f"(?U)^{_SPACE}|{_SPACE}$", "")
-    tokens = F.split(F.col("_line"), f"(?U){_SPACE}")
-    totals = F.transform(F.filter("_tokens", _is_total), lambda t: F.substring(t, 2, 1 << 30))
-    stated = F.try_element_at(F.filter(totals, lambda t: F.rlike(t, F.lit(_NUMBER))), F.lit(-1))
+    def priced(line: Column) -> Column:
+        utility = (line["quantity"] * line["profit"]).cast(amount_type)
+        names = ("item", "quantity", "profit")
+        return F.struct(*(line[n].alias(n) for n in names), utility.alias("utility"))
+
+    def matching(pattern: str) -> Column:
+        return F.filter("tokens", lambda token: token.rlike(f"^{pattern}$"))
+
+    # All separators are made blanks, since splitting at one fixed character is the fast way.
+    # Each lambda then works on what the one before it has computed.
+    blanked = F.translate(column, _SPACES, " " * len(_SPACES))
+    fields = F.transform(matching(_ITEM), lambda token: F.split(token, FIELD_SEPARATOR))
+    items = F.transform(F.transform(fields, typed), priced)
+    stated = F.substring(F.try_element_at(matching(f":{_NUMBER}"), F.lit(-1)), 2, 1 << 30)
     zero = F.lit(0).cast(amount_type)
     added = F.aggregate("items", zero, lambda acc, i: (acc + i["utility"]).cast(amount_type))
     others = [c for c in lines.columns if c != column]
     return (
-        lines.select(*others, stripped.alias("_line"))
-        .filter((F.col("_line") != "") & ~F.startswith("_line", F.lit(COMMENT)))
-        .select(*others, tokens.alias("_tokens"))
-        .filter(F.size("_tokens") >= 2)
-        .select(
-            *others,
-            F.transform(F.filter("_tokens", _is_item), to_item).alias("items"),
-            F.when(stated.isNotNull(), _number(stated, amount_type)).alias("stated_total"),
-        )
-        .filter(F.size("items") > 0)
-        .select(*others, "items", receipt_total("stated_total", added).alias("total_utility"))
+        # Lines are told apart by their text alone: a filter on the parsed items would be pushed
+        # below the parsing, and parse every line twice.
+        lines.filter(blanked.rlike(_RECEIPT))
+        .select(*others, F.split(blanked, " ").alias("tokens"))
+        .select(*others, items.alias("items"), stated.alias("stated"))
+        .withColumn("stated", F.when(F.col("stated").isNotNull(), _number(F.col("stated"), amount_type)))
+        .select(*others, "items", receipt_total("stated", added).alias("total_utility"))
     )
 
 
@@ -96,8 +85,10 @@ def number_transactions(receipts: DataFrame, workspace: Workspace | None = None)
 
 def explode_items(receipts: DataFrame) -> DataFrame:
     """Line items (tid, pos, item, quantity, profit, utility, total_utility) of receipts."""
+    # No receipt is empty. The outer form says so; the inner one would compute the items once more
+    # to filter by their number.
     return receipts.select(
-        "tid", F.posexplode("items").alias("pos", "line"), "total_utility"
+        "tid", F.posexplode_outer("items").alias("pos", "line"), "total_utility"
     ).select(
         "tid", "pos", "line.item", "line.quantity", "line.profit", "line.utility", "total_utility"
     )

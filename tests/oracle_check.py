@@ -11,6 +11,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 import __spark_entry__ as contract  # noqa: E402
 
 TABLES = ("lineitem", "orders", "part")
+SQL_TYPES = {"bigint": "bigint", "int": "integer", "string": "varchar", "double": "double"}
 
 
 def normal(rows):
@@ -31,9 +32,13 @@ def compare(spark: SparkSession, db, folder: str, name: str) -> str | None:
     ours = normal(df.select(*(f"`{c}`" for c in columns)).collect())
     result = db.execute(contract.oracle_sql()[name])
     names = [d[0] for d in result.description]
+    types = {d[0]: str(d[1]).lower() for d in result.description}
     rows = result.fetchall()
-    if sorted(names) != columns:
-        return f"columns {columns} and {sorted(names)}"
+    wanted = {c: SQL_TYPES[t] for c, t in df.dtypes}
+    if types != wanted:
+        return f"columns {wanted} and {types}"
+    if not rows:
+        return "no rows to compare"
     order = [names.index(c) for c in columns]
     theirs = normal(tuple(row[i] for i in order) for row in rows)
     if ours == theirs:
