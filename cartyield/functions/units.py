@@ -33,7 +33,7 @@ def to_units(amount: Column, dtype: T.DataType) -> Column:
 def threshold_units(min_util, dtype: T.DataType) -> int:
     """Smallest whole number of units that reaches ``min_util``, which must be positive."""
     limit = Decimal(str(min_util))
-    if not limit > 0:
+    if not limit.is_finite() or limit <= 0:
         raise ValueError(f"min_util must be positive, got {min_util}")
     return int(limit.scaleb(scale_of(dtype)).to_integral_value(ROUND_CEILING))
 

@@ -18,8 +18,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
+from math import comb
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -234,18 +235,10 @@ def _search_order(twu: DataFrame, limit: int, ws: Workspace) -> DataFrame:
 
 def _store_nodes(
     candidates: DataFrame, levels: list[DataFrame], mode: Mode, limit: int, ws: Workspace
-) -> tuple[DataFrame, dict]:
-    """Write a level's itemsets that are of further use; also return what was counted on the way."""
+) -> tuple[DataFrame, Row]:
+    """Write a level's itemsets that are of further use; also return how many there are."""
     level = len(levels) + 1
-    seen = Observation()
-    sums = _node_sums(candidates, mode, limit).observe(
-        seen,
-        F.count(F.lit(1)).alias("candidates"),
-        F.count_if("extendable").alias("extendable"),
-        F.count_if("joinable").alias("joinable"),
-        F.coalesce(F.sum("transactions"), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum(F.when(F.col("extendable"), F.col("transactions"))), F.lit(0)).alias("left"),
-    )
+    sums = _node_sums(candidates, mode, limit)
     useful = sums.filter("found or extendable or joinable")
     if levels:
         parents = levels[-1].filter("extendable").select(
@@ -257,7 +250,14 @@ def _store_nodes(
     else:
         useful = useful.withColumn("ranks", F.array("last"))
     numbered = useful.withColumn("node", F.monotonically_increasing_id())
-    return ws.store(numbered, f"nodes-{level}"), seen.get
+    nodes = ws.store(numbered, f"nodes-{level}")
+    extendable = F.col("extendable")
+    counts = nodes.agg(
+        F.count_if(extendable).alias("extendable"),
+        F.count_if("joinable").alias("joinable"),
+        F.coalesce(F.sum(F.when(extendable, F.col("transactions"))), F.lit(0)).alias("rows"),
+    )
+    return nodes, counts.first()
 
 
 def mine(
@@ -281,27 +281,39 @@ def mine(
 
     ranks = _search_order(twu_units(items, totals, duplicates), limit, ws)
     rows = ws.store(_utility_rows(items, ranks, mode, duplicates), "utility-list")
+    later = F.sum(F.col("receipt_items") - 1) / 2
+    shape = rows.agg(
+        F.max("receipt_items").alias("longest"), F.try_divide(later, F.count("tid")).alias("later")
+    ).first()
     # Only runs that meet a long receipt pay for splitting receipts.
-    longest = rows.agg(F.max("receipt_items")).first()[0] or 0
-    split = longest > SPLIT_ITEMS
+    split = (shape["longest"] or 0) > SPLIT_ITEMS
+    promising = ranks.count()
 
     levels: list[DataFrame] = []
-    candidates, lazy, computed = _single_candidates(rows), 0, 0
+    candidates, partners = _single_candidates(rows), rows
+    lazy, computed, before = 0, 0, None
     while True:
-        nodes, seen = _store_nodes(candidates, levels, mode, limit, ws)
+        nodes, counts = _store_nodes(candidates, levels, mode, limit, ws)
         levels.append(nodes)
-        if not seen["extendable"]:
+        if not counts["extendable"]:
             break
+        level = len(levels)
         parents = _extendable_rows(candidates, nodes)
-        if len(levels) > 1:
-            lazy, computed = lazy + 1, computed + seen["rows"]
-            few_left = computed > LAZY_ROWS and seen["left"] < LEFT_OVER * computed
-            if lazy == LAZY_LEVELS or few_left or seen["extendable"] > LAZY_NODES:
-                parents = ws.store(parents, f"rows-{len(levels)}")
-                lazy, computed = 0, 0
-        prunes = mode.exact and seen["joinable"] < (1 - SIBLING_GAIN) * seen["candidates"]
-        siblings = nodes.filter("joinable") if prunes else None
-        candidates = _extend(parents, rows, siblings, mode, split)
+        siblings, joinable = None, nodes.filter("joinable")
+        if level == 1:
+            if mode.exact and counts["joinable"] < (1 - SIBLING_GAIN) * promising:
+                # Items that no other can be usefully joined with are no one's later items.
+                partners = partners.join(joinable.select(F.col("last").alias("rank")), "rank", "left_semi")
+        else:
+            # An estimate of the rows this level's join made, by the mean number of later items.
+            lazy, computed = lazy + 1, computed + before["rows"] * shape["later"]
+            few_left = computed > LAZY_ROWS and counts["rows"] < LEFT_OVER * computed
+            if lazy == LAZY_LEVELS or few_left or counts["extendable"] > LAZY_NODES:
+                parents, lazy, computed = ws.store(parents, f"rows-{level}"), 0, 0
+            possible = min(comb(promising, level), before["extendable"] * (promising - 1))
+            if mode.exact and counts["joinable"] < (1 - SIBLING_GAIN) * possible:
+                siblings = joinable
+        candidates, before = _extend(parents, partners, siblings, mode, split), counts
 
     nodes = reduce(DataFrame.unionByName, levels)
     return Mining(_named(nodes, ranks, dtype), nodes, ranks, items)

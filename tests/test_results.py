@@ -1,0 +1,184 @@
+import json
+import time
+
+import pytest
+from conftest import rows
+
+from cartyield import ENDPOINTS, mine, run
+from cartyield.operators import results
+from cartyield.sinks import documents, tables
+from cartyield.streaming.twu import stream_twu
+
+REPORT = """RAPPORT HUIM — High Utility Itemset Mining
+Généré le : 2026-06-26 01:45:19
+Seuil MinUtil : 5.0MRU
+Temps d'exécution : 0.004s
+Nombre de HUI : 7
+============================================================
+
+#1 {Beurre, Dattes, Oeufs}
+   Utilité totale : 53.00MRU
+   Taille : 3 article(s)
+   Transactions : 1
+
+#2 {Dattes, Oeufs}
+   Utilité totale : 53.00MRU
+   Taille : 2 article(s)
+   Transactions : 1
+"""
+
+
+@pytest.fixture(scope="module")
+def itemsets(items):
+    return mine(items, 5, ENDPOINTS).itemsets.cache()
+
+
+def names(df):
+    return [r["itemset_name"] for r in df.collect()]
+
+
+def test_order_and_top(itemsets):
+    ordered = names(results.result_rows(itemsets))
+    assert ordered == [
+        "{Beurre, Dattes, Oeufs}",
+        "{Dattes, Oeufs}",
+        "{Beurre, Dattes}",
+        "{Dattes}",
+        "{Oeufs}",
+        "{Oeufs, Pain}",
+        "{Beurre, Oeufs}",
+    ]
+    assert names(results.top_itemsets(itemsets, 3)) == ordered[:3]
+    assert names(results.sort_itemsets(itemsets, "utility", descending=False))[0] == ordered[-1]
+    assert names(results.sort_itemsets(itemsets, "size"))[0] == ordered[0]
+    assert names(results.sort_itemsets(itemsets, "size", descending=False))[:2] == ordered[3:5]
+    with pytest.raises(ValueError, match="sort"):
+        results.sort_itemsets(itemsets, "name")
+    ranked = results.ranked(itemsets).orderBy("rank").collect()
+    assert [(r["rank"], r["itemset_name"]) for r in ranked] == list(enumerate(ordered, 1))
+
+
+def test_search_and_share(itemsets):
+    assert len(names(results.search_itemsets(itemsets, "dAtTeS"))) == 4
+    assert names(results.search_itemsets(itemsets, "%")) == []
+    percents = {r["itemset_name"]: r["percent"] for r in results.bar_percent(itemsets).collect()}
+    assert percents["{Dattes, Oeufs}"] == 100
+    assert percents["{Dattes}"] == 94
+    assert percents["{Oeufs}"] == 17
+
+
+def test_summary(itemsets):
+    stats = results.summary_stats(itemsets).first()
+    assert (stats["count"], stats["max_utility"], stats["min_utility"]) == (7, 53, 5)
+    assert stats["avg_utility"] == pytest.approx(230 / 7)
+    assert (stats["max_size"], stats["avg_size"]) == (3, pytest.approx(13 / 7))
+    assert (stats["single_items"], stats["pairs"], stats["larger"]) == (2, 4, 1)
+    assert rows(results.size_distribution(itemsets)) == [("large", 1), ("pair", 4), ("single", 2)]
+
+
+def test_summary_of_nothing(itemsets):
+    stats = results.summary_stats(itemsets.filter("size > 9")).first()
+    assert (stats["count"], stats["larger"]) == (0, 0)
+    assert stats["avg_utility"] is None
+    assert rows(results.size_distribution(itemsets.filter("size > 9")))[0] == ("large", 0)
+
+
+def test_csv(spark, itemsets, tmp_path):
+    tables.write_csv(tables.csv_layout(itemsets), str(tmp_path / "csv"))
+    back = tables.read_csv(spark, str(tmp_path / "csv"))
+    assert rows(back) == rows(results.result_rows(itemsets).drop("itemset"))
+    legacy = tables.legacy_csv_layout(itemsets, 5)
+    assert legacy.columns == ["itemset", "utility_eur", "size", "items", "min_util"]
+    assert tuple(legacy.first()) == (
+        "{Beurre, Dattes, Oeufs}", "53.00", 3, "Beurre, Dattes, Oeufs", 5.0
+    )
+    ranked = tables.ranked_csv_layout(itemsets)
+    tables.write_csv(ranked, str(tmp_path / "ranked"))
+    text = "".join(r["value"] + "\n" for r in spark.read.text(str(tmp_path / "ranked")).collect())
+    assert text.startswith(
+        "Rang,Itemset,Utilite (MRU),Taille,Transactions\n"
+        '1,"{Beurre, Dattes, Oeufs}",53.0,3,1\n'
+    )
+
+
+def test_names_with_quotes_survive_csv(spark, tmp_path):
+    odd = spark.createDataFrame(
+        [(['a"b', "c\\d"], '{a"b, c\\d}', 1, 2, 3)],
+        "itemset array<string>, itemset_name string, utility bigint, size int, transactions bigint",
+    )
+    tables.write_csv(tables.csv_layout(odd), str(tmp_path / "odd"))
+    assert tables.read_csv(spark, str(tmp_path / "odd")).first()["itemset_name"] == '{a"b, c\\d}'
+
+
+def test_keep_and_reload(spark, itemsets, tmp_path):
+    tables.write_result(itemsets, str(tmp_path / "kept"))
+    assert rows(tables.read_result(spark, str(tmp_path / "kept"))) == rows(itemsets)
+
+
+def test_json(spark, items, itemsets, tmp_path):
+    documents.write_json(itemsets, str(tmp_path / "json"))
+    lines = [json.loads(r["value"]) for r in spark.read.text(str(tmp_path / "json")).collect()]
+    assert {line["itemset_name"] for line in lines} == set(names(itemsets))
+    assert json.loads(documents.json_lines(itemsets).first()["json"])["size"] == 3
+    counters = mine(items, 5, ENDPOINTS).stats()
+    document = documents.result_document(itemsets, counters, 5, 0.5, "endpoints").first()["json"]
+    assert "\n" in document
+    document = json.loads(document)
+    assert document["huis_found"] == 7
+    assert document["total_transactions"] == 4
+    assert [i["itemset_name"] for i in document["itemsets"]] == names(results.result_rows(itemsets))
+    assert document["itemsets"][0] == {
+        "itemset": ["Beurre", "Dattes", "Oeufs"],
+        "itemset_name": "{Beurre, Dattes, Oeufs}",
+        "utility": 53.0,
+        "size": 3,
+        "transactions": 1,
+    }
+
+
+def test_document_is_for_small_results(items, itemsets, monkeypatch):
+    monkeypatch.setattr(documents, "DOCUMENT_ITEMSETS", 3)
+    with pytest.raises(ValueError, match="write_json"):
+        documents.result_document(itemsets, itemsets, 5)
+
+
+def test_report(spark, itemsets, tmp_path):
+    path = str(tmp_path / "report")
+    documents.write_report(itemsets, path, 5, "2026-06-26 01:45:19", 0.004)
+    parts = sorted((tmp_path / "report").glob("part-*"))
+    text = "".join(part.read_text(encoding="utf-8") for part in parts)
+    assert text.startswith(REPORT)
+    assert text.endswith("Transactions : 1\n\n")
+
+
+def test_run_end_to_end(spark, receipts_file):
+    result = run(spark, receipts_file, mode=ENDPOINTS)
+    assert result.itemsets.count() == 7
+    assert result.summary.first()["max_utility"] == 53
+    assert result.counters.first()["dfs_nodes_explored"] == 12
+    assert run(spark, receipts_file, 5).itemsets.count() == 8
+
+
+def test_stream(spark, tmp_path):
+    source = tmp_path / "arriving"
+    source.mkdir()
+    (source / "a.txt").write_text("Pain:1:1 Beurre:1:2 :3\n# note\nA:1:1 A:2:3 B:1:2 :9\n")
+    query = (
+        stream_twu(spark, str(source))
+        .writeStream.outputMode("complete")
+        .format("memory")
+        .queryName("twu_now")
+        .option("checkpointLocation", str(tmp_path / "state"))
+        .start()
+    )
+    try:
+        query.processAllAvailable()
+        first = {r["item"]: float(r["twu"]) for r in spark.table("twu_now").collect()}
+        assert first == {"Pain": 3, "Beurre": 3, "A": 9, "B": 9}
+        time.sleep(0.1)
+        (source / "b.txt").write_text("Pain:2:2 Lait:1:1 :5\n")
+        query.processAllAvailable()
+        then = {r["item"]: float(r["twu"]) for r in spark.table("twu_now").collect()}
+        assert then == {"Pain": 8, "Beurre": 3, "A": 9, "B": 9, "Lait": 5}
+    finally:
+        query.stop()
