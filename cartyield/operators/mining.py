@@ -180,7 +180,7 @@ def _extend(parents: DataFrame, rows: DataFrame, siblings: DataFrame | None, mod
     ``siblings`` are the joinable itemsets of the parents' level: a parent takes on only items
     that its own prefix can be usefully joined with. ``split`` deals the items of a long receipt
     out over several join keys and its parents to each of them, so that no task has to pair up
-    a whole receipt.
+    a whole receipt. (Pairs of single items are first thinned out, see below.)
     """
     left = parents.select(
         "tid", "prefix", "node", "last", "iu", "head", F.col("ru").alias("ru_parent"), "receipt_items"
@@ -197,6 +197,11 @@ def _extend(parents: DataFrame, rows: DataFrame, siblings: DataFrame | None, mod
         larger = larger.join(
             siblings.select("prefix", F.col("last").alias("rank")), ["prefix", "rank"], "left_semi"
         )
+    return _as_candidates(larger, mode)
+
+
+def _as_candidates(larger: DataFrame, mode: Mode) -> DataFrame:
+    """Candidate rows of parents (node, last, iu, …) put together with a later item (rank, u, ru)."""
     return larger.select(
         "tid",
         F.col("node").alias("prefix"),
@@ -209,6 +214,39 @@ def _extend(parents: DataFrame, rows: DataFrame, siblings: DataFrame | None, mod
     )
 
 
+def _pairs_with_long_receipts(
+    parents: DataFrame, rows: DataFrame, limit: int, ws: Workspace
+) -> DataFrame:
+    """Candidate rows of pairs, without pairing up every long receipt. Exact mode only.
+
+    In the long receipts a pair {x, y} can earn at most what x and all after it earn there. Where
+    that stays below the threshold, the pair needs the other receipts: it is made in the long ones
+    only if the sum of both still reaches the threshold, and found there by its two items.
+    """
+    long = F.col("receipt_items") > SPLIT_ITEMS
+    short_pairs = _extend(parents.filter(~long), rows.filter(~long), None, EXACT, split=False)
+    long_parents, long_rows = parents.filter(long), rows.filter(long)
+
+    earns = F.greatest(F.col("iu") + F.col("ru"), F.lit(0))
+    alone = ws.store(long_parents.groupBy("node").agg(F.sum(earns).alias("alone")), "long-sums")
+    elsewhere = short_pairs.groupBy("prefix", "last").agg(F.sum("reach").alias("elsewhere"))
+    needed = elsewhere.join(
+        alone.filter(F.col("alone") < limit), F.col("prefix") == F.col("node")
+    ).filter(F.col("elsewhere") + F.col("alone") >= limit)
+    needed = ws.store(needed.select("node", F.col("last").alias("rank")), "long-pairs")
+
+    sufficient = alone.filter(F.col("alone") >= limit).select("node")
+    every = _extend(
+        long_parents.join(sufficient, "node", "left_semi"), long_rows, None, EXACT, split=True
+    )
+    some = (
+        long_parents.withColumnRenamed("ru", "ru_parent")
+        .join(needed, "node")
+        .join(long_rows.select("tid", "rank", "u", "ru"), ["tid", "rank"])
+    )
+    return short_pairs.unionByName(every).unionByName(_as_candidates(some, EXACT))
+
+
 def _named(nodes: DataFrame, ranks: DataFrame, dtype: T.DataType) -> DataFrame:
     """Results with item names for ranks."""
     found = nodes.filter("found").select("ranks", "utility", "transactions")
@@ -308,12 +346,18 @@ def mine(
             # An estimate of the rows this level's join made, by the mean number of later items.
             lazy, computed = lazy + 1, computed + before["rows"] * shape["later"]
             few_left = computed > LAZY_ROWS and counts["rows"] < LEFT_OVER * computed
-            if lazy == LAZY_LEVELS or few_left or counts["extendable"] > LAZY_NODES:
+            # Pairs of long receipts come from several joins, too many to compute again.
+            heavy = few_left or (split and level == 2)
+            if lazy == LAZY_LEVELS or heavy or counts["extendable"] > LAZY_NODES:
                 parents, lazy, computed = ws.store(parents, f"rows-{level}"), 0, 0
             possible = min(comb(promising, level), before["extendable"] * (promising - 1))
             if mode.exact and counts["joinable"] < (1 - SIBLING_GAIN) * possible:
                 siblings = joinable
-        candidates, before = _extend(parents, partners, siblings, mode, split), counts
+        before = counts
+        if level == 1 and mode.exact and split:
+            candidates = _pairs_with_long_receipts(parents, partners, limit, ws)
+        else:
+            candidates = _extend(parents, partners, siblings, mode, split)
 
     nodes = reduce(DataFrame.unionByName, levels)
     return Mining(_named(nodes, ranks, dtype), nodes, ranks, items)

@@ -31,7 +31,9 @@ def _located(df: DataFrame, workspace: Workspace | None, name: str) -> DataFrame
 def _offsets(parts: DataFrame, size: str, offset: str) -> DataFrame:
     """Sum of the partitions before each one; ``parts`` has one row per partition."""
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    return parts.select("_part", F.coalesce(F.sum(size).over(before), F.lit(0)).alias(offset))
+    offsets = parts.select("_part", F.coalesce(F.sum(size).over(before), F.lit(0)).alias(offset))
+    # As many rows as tasks wrote the table, however large it is.
+    return F.broadcast(offsets)
 
 
 def dense_index(
