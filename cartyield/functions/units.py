@@ -38,6 +38,11 @@ def threshold_units(min_util, dtype: T.DataType) -> int:
     return int(limit.scaleb(scale_of(dtype)).to_integral_value(ROUND_CEILING))
 
 
+def threshold(min_util) -> Column:
+    """``min_util`` as a literal that is compared exactly with integers and decimals."""
+    return F.lit(Decimal(str(min_util)) if isinstance(min_util, float) else min_util)
+
+
 def from_units(units: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.IntegralType):
         return units.cast("bigint")

@@ -329,7 +329,7 @@ def mine(
 
     levels: list[DataFrame] = []
     candidates, partners = _single_candidates(rows), rows
-    lazy, computed, before = 0, 0, None
+    lazy, computed, before, written = 0, 0, None, None
     while True:
         nodes, counts = _store_nodes(candidates, levels, mode, limit, ws)
         levels.append(nodes)
@@ -350,6 +350,9 @@ def mine(
             heavy = few_left or (split and level == 2)
             if lazy == LAZY_LEVELS or heavy or counts["extendable"] > LAZY_NODES:
                 parents, lazy, computed = ws.store(parents, f"rows-{level}"), 0, 0
+                if written:
+                    ws.discard(written)
+                written = f"rows-{level}"
             possible = min(comb(promising, level), before["extendable"] * (promising - 1))
             if mode.exact and counts["joinable"] < (1 - SIBLING_GAIN) * possible:
                 siblings = joinable
@@ -359,5 +362,8 @@ def mine(
         else:
             candidates = _extend(parents, partners, siblings, mode, split)
 
+    # Results and counters are read from the small tables of itemsets and ranks alone.
+    for table in filter(None, ("utility-list", written)):
+        ws.discard(table)
     nodes = reduce(DataFrame.unionByName, levels)
     return Mining(_named(nodes, ranks, dtype), nodes, ranks, items)

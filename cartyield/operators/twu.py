@@ -8,14 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.units import from_units, scale_of, threshold_units, to_units
+from ..functions.units import from_units, scale_of, threshold, to_units
 from ..plans.workspace import Workspace
 from .ordering import dense_index, running_sum
 
 
 def mining_columns(items: DataFrame, with_pos: bool = False) -> DataFrame:
-    """The columns mining reads, so that the scan reads no others."""
-    return items.select("tid", "item", "utility", *(["pos"] if with_pos else []))
+    """The columns mining reads, so that the scan reads no others, of lines with a receipt and item."""
+    used = items.select("tid", "item", "utility", *(["pos"] if with_pos else []))
+    return used.dropna(subset=["tid", "item"])
 
 
 def merge_duplicates(items: DataFrame, keep: str = "sum") -> DataFrame:
@@ -70,8 +71,8 @@ def twu_units(items: DataFrame, totals: str = "positive", duplicates: str = "sum
             _unit_items(items).select("tid", "item", "utility", stated.alias("total_utility"))
         )
     else:
-        merged = merge_duplicates(mining_columns(items, duplicates != "sum"), duplicates)
-        per_item = _with_receipt_total(_unit_items(merged), totals == "signed")
+        lines = _unit_items(mining_columns(items, duplicates != "sum"))
+        per_item = _with_receipt_total(merge_duplicates(lines, duplicates), totals == "signed")
     return per_item.groupBy("item").agg(
         F.sum("total_utility").alias("twu"),
         F.sum("utility").alias("utility"),
@@ -89,7 +90,7 @@ def twu(items: DataFrame, totals: str = "positive", duplicates: str = "sum") ->
 def twu_contributions(items: DataFrame) -> DataFrame:
     """(tid, item, twu): what one receipt adds to the TWU of each of its items."""
     dtype = items.schema["utility"].dataType
-    merged = _with_receipt_total(_unit_items(merge_duplicates(mining_columns(items))), False)
+    merged = _with_receipt_total(merge_duplicates(_unit_items(mining_columns(items))), False)
     return merged.select("tid", "item", from_units(F.col("total_utility"), dtype).alias("twu"))
 
 
@@ -104,7 +105,7 @@ def merge_twu(*maps: DataFrame) -> DataFrame:
 
 def promising_items(twu_map: DataFrame, min_util) -> DataFrame:
     """The items whose TWU reaches ``min_util``; no other item can be in a result."""
-    return twu_map.filter(F.col("twu") >= F.lit(min_util))
+    return twu_map.filter(F.col("twu") >= threshold(min_util))
 
 
 def item_rank(twu_map: DataFrame, min_util, workspace: Workspace | None = None) -> DataFrame:
@@ -154,5 +155,5 @@ def suggest_min_util(
     running = running_sum(items, "occurrences", "running", order, workspace)
     above = F.max("twu") + (int(step) if isinstance(dtype, T.IntegralType) else F.lit(step))
     return running.filter(F.col("running") > max_entries).agg(
-        F.coalesce(above, F.lit(min_util)).cast(dtype).alias("min_util")
+        F.coalesce(above, threshold(min_util)).cast(dtype).alias("min_util")
     )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.units import threshold
 from .twu import merge_duplicates, mining_columns
 
 
@@ -63,17 +64,17 @@ def itemset_sums(entries: DataFrame, *key: str) -> DataFrame:
 
 def high_utility(sums: DataFrame, min_util) -> DataFrame:
     """The itemsets whose utility reaches ``min_util``."""
-    return sums.filter(F.col("sum_iu") >= F.lit(min_util))
+    return sums.filter(F.col("sum_iu") >= threshold(min_util))
 
 
 def extendable(sums: DataFrame, min_util) -> DataFrame:
     """The itemsets that may still have an extension reaching ``min_util``."""
-    return sums.filter(F.col("upper_bound") >= F.lit(min_util))
+    return sums.filter(F.col("upper_bound") >= threshold(min_util))
 
 
 def prunable(sums: DataFrame, min_util) -> DataFrame:
     """The itemsets no extension of which can reach ``min_util``."""
-    return sums.filter(F.col("upper_bound") < F.lit(min_util))
+    return sums.filter(F.col("upper_bound") < threshold(min_util))
 
 
 def join_utility_lists(left: DataFrame, right: DataFrame, parent: DataFrame) -> DataFrame:
