@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +14,25 @@ from ..plans.workspace import Workspace
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, which need not have it installed."""
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = f"{tempfile.mkdtemp(prefix='cartyield-')}/{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as packed:
+        for source in sorted(package.rglob("*.py")):
+            packed.write(source, source.relative_to(package.parent))
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(application)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -7,16 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, mixture, packing, simhash
+from ..plans.workspace import Workspace
+from . import backoff_lm, exact_dedup, langid, mixture, packing, simhash, tokenfile, topk
 from .common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff_lm.score_texts(table(spark, sf_dir, "documents"), remainder(F.col("doc_id"), 10) == 0)
+
+
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mix_sources(table(spark, sf_dir, "documents")).drop("copies")
 
 
+def op4_block_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", remainder(F.col("doc_id"), 4) == 2)
     model = langid.train_language_model(docs.filter("not held_out"))
@@ -36,6 +45,26 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfile.tokenize_to_files(table(spark, sf_dir, "documents"), Workspace(spark))
+
+
+OP4_SQL = """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM usable q JOIN usable c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 5
+"""
+
 OP9_SQL = """
 SELECT doc_id,
        max(doc_id) OVER same AS keep_id,
@@ -48,8 +77,18 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_source_mix, op6_language_id, op7_simhash, op8_best_fit_packing, op9_exact_dedup)}
+    found = (
+        op1_backoff_lm,
+        op2_source_mix,
+        op4_block_top_k,
+        op6_language_id,
+        op7_simhash,
+        op8_best_fit_packing,
+        op9_exact_dedup,
+        op10_token_files,
+    )
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_exact_dedup": OP9_SQL}
+    return {"op4_block_top_k": OP4_SQL, "op9_exact_dedup": OP9_SQL}
