@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.workspace import Workspace
-from . import backoff_lm, exact_dedup, langid, mixture, packing, simhash, tokenfile, topk
+from . import backoff_lm, exact_dedup, langid, licenses, mixture, packing, pii, simhash, tokenfile, topk
 from .common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,10 +22,45 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mix_sources(table(spark, sf_dir, "documents")).drop("copies")
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    starts = F.col("phrases.word")
+    base = F.col("phrases.label")
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("phrases").cast("bigint").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct(base)), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union(base, F.col("blocks.label"))), ",").alias("labels"),
+        F.when(F.size("phrases") > 0, 1.0)
+        .otherwise(F.coalesce(F.array_max(F.col("blocks.containment")), F.lit(0.0)))
+        .alias("score"),
+    )
+
+
 def op4_block_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    def listed(spans: str) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in pii.KINDS],
+        F.sha2(listed("base"), 256).alias("base_sha256"),
+        listed("spans").alias("spans"),
+    )
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", remainder(F.col("doc_id"), 4) == 2)
     model = langid.train_language_model(docs.filter("not held_out"))
@@ -80,7 +115,9 @@ def queries() -> dict[str, Query]:
     found = (
         op1_backoff_lm,
         op2_source_mix,
+        op3_license_scan,
         op4_block_top_k,
+        op5_pii,
         op6_language_id,
         op7_simhash,
         op8_best_fit_packing,
