@@ -44,7 +44,7 @@ class TextEncoder:
     full stop or comma after them. Otherwise texts or words are encoded in one piece.
     """
 
-    def __init__(self, path: str, limit: int = 1 << 19):
+    def __init__(self, path: str, limit: int = 1 << 18):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
