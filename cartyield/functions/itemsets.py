@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 def item_utility(quantity: Column | str, profit: Column | str) -> Column:
     """Utility of one receipt line: quantity x unit profit."""
-    return F.col(quantity) * F.col(profit) if isinstance(quantity, str) else quantity * profit
+    quantity, profit = (F.col(x) if isinstance(x, str) else x for x in (quantity, profit))
+    return quantity * profit
 
 
 def itemset_name(itemset: Column | str) -> Column:

@@ -1,8 +1,8 @@
 """Exact amounts: whole units inside, the caller's type outside.
 
 Sums of doubles depend on the order of the rows, and a threshold test on them is not
-stable. Mining therefore runs on BIGINT units of 10^-scale. Under ANSI mode, Spark's
-default, a sum that leaves BIGINT raises instead of wrapping.
+stable. Mining therefore runs on units of 10^-scale: BIGINT for lines and single receipts,
+DECIMAL(38,0) for sums over receipts. Results do not depend on ANSI mode.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DEFAULT_SCALE = 4
+TOTAL = "decimal(38,0)"
+_LARGEST = float(1 << 63)
 
 
 def scale_of(dtype: T.DataType) -> int:
@@ -40,12 +42,27 @@ def threshold_units(min_util, dtype: T.DataType) -> int:
 
 def threshold(min_util) -> Column:
     """``min_util`` as a literal that is compared exactly with integers and decimals."""
-    return F.lit(Decimal(str(min_util)) if isinstance(min_util, float) else min_util)
+    return F.lit(Decimal(str(min_util)))
+
+
+def total(units: Column | str) -> Column:
+    """Sum of BIGINT units over any number of rows."""
+    units = F.col(units) if isinstance(units, str) else units
+    return F.sum(units.cast(TOTAL))
+
+
+def receipt_sum(units: Column) -> Column:
+    """Sum of BIGINT units within a receipt, which must fit BIGINT; raises in any mode if it does not."""
+    exceeded = F.sum(F.abs(units.cast("double"))) >= _LARGEST
+    error = F.raise_error(F.lit("a receipt's amounts exceed BIGINT units")).cast("bigint")
+    # The sum itself must not raise first, nor wrap.
+    return F.when(exceeded, error).otherwise(F.try_sum(units))
 
 
 def from_units(units: Column, dtype: T.DataType) -> Column:
-    if isinstance(dtype, T.IntegralType):
-        return units.cast("bigint")
+    """Amounts of ``dtype``'s scale, as decimals that hold sums of any size."""
     scale = scale_of(dtype)
+    if not scale:
+        return units.cast(TOTAL)
     step = F.lit(Decimal(1).scaleb(-scale))
-    return (units.cast("decimal(19,0)") * step).cast(f"decimal(19,{scale})")
+    return (units.cast(f"decimal({36 - scale},0)") * step).cast(f"decimal(38,{scale})")

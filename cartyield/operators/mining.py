@@ -7,42 +7,32 @@ the utility of the itemset there, ``ru`` what later items can still add. Per lev
 1. rows of extendable itemsets meet the single items of their receipt that rank later;
 2. the sums over all receipts tell which of the new itemsets are results and which can be extended.
    The join feeds the map-side aggregation directly, so its rows are neither shuffled nor written;
-3. only rows of extendable itemsets go on to the next level.
+3. only rows of extendable itemsets are written, and the next level starts from these.
 
-All joins of receipts are on ``tid`` and the tables of itemsets are small, so as a rule a whole
-chain of levels runs in one stage after a single shuffle of the utility lists. Rows are written
-only every few levels, or where a table of itemsets has outgrown a broadcast.
+The input is read once: lines, utility lists and rows are stored clustered by receipt, so receipt totals,
+windows and the joins of a level shuffle nothing. What is shuffled per level are sums by itemset. Only receipts with very many
+items are dealt out over several keys.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import reduce
-from math import comb
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from ..functions.itemsets import itemset_name
-from ..functions.units import from_units, threshold_units, to_units
+from ..functions.units import from_units, threshold_units, total
 from ..plans.workspace import Workspace, workspace_for
 from .ordering import dense_index
-from .twu import merge_duplicates, mining_columns, promising_items, twu_units
+from .twu import promising_items, receipt_totals, twu_sums, unit_lines
+from .utility_list import gain, upper_bound, utility_list
 
-# A receipt with more promising items than this is split among several join keys.
+# The items of a receipt that are joined in one task; those of a larger one are dealt out over several.
 SPLIT_ITEMS = 1024
-# Rows of extendable itemsets are computed from the last written ones over at most this many
-# levels, so that a row is computed a bounded number of times however deep the search goes. …
-LAZY_LEVELS = 4
-# … They are written at once when filtering rows by the extendable itemsets takes a shuffle, …
-LAZY_NODES = 100_000
-# … or when many rows were computed and few of them are left. Fewer cost less than a Spark job.
-LAZY_ROWS = 10_000_000
-LEFT_OVER = 0.1
-# Later items are filtered by their siblings' bound where that leaves out this share of them.
-SIBLING_GAIN = 0.1
 
 
 @dataclass(frozen=True)
@@ -69,11 +59,13 @@ class Mining:
     itemsets: DataFrame
     nodes: DataFrame
     ranks: DataFrame
-    items: DataFrame
+    twu: DataFrame
+    receipts: DataFrame
 
     def stats(self) -> DataFrame:
         """One row of search counters.
 
+        They are taken from the stored tables of items, receipts and itemsets; the input is not read again.
         A depth-first search visits every single item and, below each extendable itemset, one node
         per item ranked after its last one, so the visits can be counted without searching.
         """
@@ -91,43 +83,21 @@ class Mining:
             .join(place, "rank")
         )
         visited = F.sum(F.col("itemsets") * (promising - F.col("place")))
-        return self.items.sparkSession.range(1).select(
-            one(self.items, F.countDistinct("item")).alias("twu_candidates"),
+        return self.twu.sparkSession.range(1).select(
+            one(self.twu, count).alias("twu_candidates"),
             promising.alias("promising_items"),
             one(self.ranks, F.sum("occurrences")).alias("estimated_utility_entries"),
             promising.alias("utility_lists_built"),
             (promising + one(below, visited)).alias("dfs_nodes_explored"),
             one(self.nodes.filter("found"), count).alias("huis_found"),
-            one(self.items, F.countDistinct("tid")).alias("total_transactions"),
+            one(self.receipts, count).alias("total_transactions"),
         )
 
 
-def _utility_rows(items: DataFrame, ranks: DataFrame, mode: Mode, duplicates: str) -> DataFrame:
-    """(tid, rank, u, ru, reach, receipt_items) in BIGINT units, of the promising items.
-
-    ``reach`` is what the receipt can contribute at all, ``receipt_items`` counts its items.
-    """
-    dtype = items.schema["utility"].dataType
-    used = mining_columns(items, with_pos=not mode.exact or duplicates != "sum")
-    ranked = used.join(ranks.select("item", "rank"), "item").select(
-        "tid",
-        F.col("rank").alias("item"),
-        to_units(F.col("utility"), dtype).alias("utility"),
-        *(["pos"] if "pos" in used.columns else []),
-    )
-    gain = F.greatest("utility", F.lit(0)) if mode.exact else F.col("utility")
-    # Read backwards, "all later items" is a running frame: one pass over the receipt.
-    receipt = Window.partitionBy("tid").orderBy(F.desc("item" if mode.exact else "pos"))
-    later = receipt.rowsBetween(Window.unboundedPreceding, -1)
-    whole = receipt.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return merge_duplicates(ranked, duplicates).select(
-        "tid",
-        F.col("item").alias("rank"),
-        F.col("utility").alias("u"),
-        F.coalesce(F.sum(gain).over(later), F.lit(0)).alias("ru"),
-        F.sum(gain).over(whole).alias("reach"),
-        F.count(F.lit(1)).over(whole).cast("int").alias("receipt_items"),
-    )
+def _utility_rows(lines: DataFrame, ranks: DataFrame, mode: Mode) -> DataFrame:
+    """(tid, rank, u, ru, reach, receipt_items) in BIGINT units, of the promising items."""
+    entries = utility_list(lines, ranks, "rank" if mode.exact else "position", whole=True)
+    return entries.select("tid", "rank", F.col("iu").alias("u"), "ru", "reach", "receipt_items")
 
 
 def _single_candidates(rows: DataFrame) -> DataFrame:
@@ -150,21 +120,21 @@ def _node_sums(candidates: DataFrame, mode: Mode, limit: int) -> DataFrame:
     ``reach`` of a row is what the whole branch of the prefix could earn in that receipt. Its sum
     bounds every itemset of the branch that holds the last item, at whatever place.
     """
-    bound = F.col("iu") + F.col("ru")
     sums = candidates.groupBy("prefix", "last").agg(
-        F.sum("iu").alias("utility"),
-        F.sum(F.greatest(bound, F.lit(0)) if mode.exact else bound).alias("bound"),
-        F.sum("reach").alias("reach"),
+        total("iu").alias("utility"),
+        total(upper_bound(signed=not mode.exact)).alias("bound"),
+        total("reach").alias("reach"),
         F.count(F.lit(1)).alias("transactions"),
     )
+    least = F.lit(Decimal(limit))
     return sums.select(
         "prefix",
         "last",
         "utility",
         "transactions",
-        (F.col("utility") >= limit).alias("found"),
-        (F.col("bound") >= limit).alias("extendable"),
-        ((F.col("reach") >= limit) if mode.exact else F.lit(False)).alias("joinable"),
+        (F.col("utility") >= least).alias("found"),
+        (F.col("bound") >= least).alias("extendable"),
+        ((F.col("reach") >= least) if mode.exact else F.lit(False)).alias("joinable"),
     )
 
 
@@ -174,25 +144,28 @@ def _extendable_rows(candidates: DataFrame, nodes: DataFrame) -> DataFrame:
     return candidates.join(extendable, ["prefix", "last"])
 
 
-def _extend(parents: DataFrame, rows: DataFrame, siblings: DataFrame | None, mode: Mode, split: bool):
+def _long() -> Column:
+    return F.col("receipt_items") > SPLIT_ITEMS
+
+
+def _extend(parents: DataFrame, rows: DataFrame, siblings: DataFrame | None, mode: Mode) -> DataFrame:
     """Candidate rows one item larger: each row of a parent with the receipt's later items.
 
     ``siblings`` are the joinable itemsets of the parents' level: a parent takes on only items
-    that its own prefix can be usefully joined with. ``split`` deals the items of a long receipt
-    out over several join keys and its parents to each of them, so that no task has to pair up
-    a whole receipt. (Pairs of single items are first thinned out, see below.)
+    that its own prefix can be usefully joined with. The items of a long receipt are dealt out over
+    several join keys and its parents to each of them, so that no task has to pair up a whole receipt.
+    (Pairs of single items are first thinned out, see below.)
     """
     left = parents.select(
         "tid", "prefix", "node", "last", "iu", "head", F.col("ru").alias("ru_parent"), "receipt_items"
     )
     right = rows.select("tid", "rank", "u", "ru", "receipt_items")
-    keys = ["tid"]
-    if split:
-        parts = F.ceil(F.col("receipt_items") / SPLIT_ITEMS).cast("int")
-        left = left.withColumn("part", F.explode(F.sequence(F.lit(1), parts)))
-        right = right.withColumn("part", F.pmod(F.hash("rank"), parts) + 1)
-        keys.append("part")
-    larger = left.join(right.drop("receipt_items"), keys).filter(F.col("rank") > F.col("last"))
+    short = left.filter(~_long()).join(right.filter(~_long()).drop("receipt_items"), "tid")
+    parts = F.ceil(F.col("receipt_items") / SPLIT_ITEMS).cast("int")
+    left = left.filter(_long()).withColumn("part", F.explode(F.sequence(F.lit(1), parts)))
+    right = right.filter(_long()).withColumn("part", F.pmod(F.hash("rank"), parts) + 1)
+    dealt = left.join(right.drop("receipt_items"), ["tid", "part"]).drop("part")
+    larger = short.unionByName(dealt).filter(F.col("rank") > F.col("last"))
     if siblings is not None:
         larger = larger.join(
             siblings.select("prefix", F.col("last").alias("rank")), ["prefix", "rank"], "left_semi"
@@ -209,42 +182,43 @@ def _as_candidates(larger: DataFrame, mode: Mode) -> DataFrame:
         ((F.col("iu") if mode.exact else F.col("head")) + F.col("u")).alias("iu"),
         "head",
         "ru",
-        F.greatest(F.col("iu") + F.col("ru_parent"), F.lit(0)).alias("reach"),
+        gain(F.col("iu") + F.col("ru_parent")).alias("reach"),
         "receipt_items",
     )
 
 
-def _pairs_with_long_receipts(
-    parents: DataFrame, rows: DataFrame, limit: int, ws: Workspace
-) -> DataFrame:
+def _pairs(parents: DataFrame, rows: DataFrame, limit: int, ws: Workspace) -> DataFrame:
     """Candidate rows of pairs, without pairing up every long receipt. Exact mode only.
 
     In the long receipts a pair {x, y} can earn at most what x and all after it earn there. Where
     that stays below the threshold, the pair needs the other receipts: it is made in the long ones
     only if the sum of both still reaches the threshold, and found there by its two items.
     """
-    long = F.col("receipt_items") > SPLIT_ITEMS
-    short_pairs = _extend(parents.filter(~long), rows.filter(~long), None, EXACT, split=False)
-    long_parents, long_rows = parents.filter(long), rows.filter(long)
-
-    earns = F.greatest(F.col("iu") + F.col("ru"), F.lit(0))
-    alone = ws.store(long_parents.groupBy("node").agg(F.sum(earns).alias("alone")), "long-sums")
-    elsewhere = short_pairs.groupBy("prefix", "last").agg(F.sum("reach").alias("elsewhere"))
-    needed = elsewhere.join(
-        alone.filter(F.col("alone") < limit), F.col("prefix") == F.col("node")
-    ).filter(F.col("elsewhere") + F.col("alone") >= limit)
+    least = F.lit(Decimal(limit))
+    short_parents, short_rows = parents.filter(~_long()), rows.filter(~_long())
+    long_parents, long_rows = parents.filter(_long()), rows.filter(_long())
+
+    alone = long_parents.groupBy("node").agg(total(upper_bound()).alias("alone"))
+    alone = ws.store(alone, "long-sums")
+    wanting = alone.filter(F.col("alone") < least)
+    # Only items that long receipts hold need their pairs counted beforehand.
+    others = short_parents.join(wanting.select("node"), "node", "left_semi")
+    elsewhere = _extend(others, short_rows, None, EXACT).groupBy("prefix", "last")
+    elsewhere = elsewhere.agg(total("reach").alias("elsewhere"))
+    needed = elsewhere.join(wanting, F.col("prefix") == F.col("node")).filter(
+        F.col("elsewhere") + F.col("alone") >= least
+    )
     needed = ws.store(needed.select("node", F.col("last").alias("rank")), "long-pairs")
 
-    sufficient = alone.filter(F.col("alone") >= limit).select("node")
-    every = _extend(
-        long_parents.join(sufficient, "node", "left_semi"), long_rows, None, EXACT, split=True
-    )
+    enough = alone.filter(F.col("alone") >= least).select("node")
+    every = _extend(long_parents.join(enough, "node", "left_semi"), long_rows, None, EXACT)
     some = (
         long_parents.withColumnRenamed("ru", "ru_parent")
         .join(needed, "node")
         .join(long_rows.select("tid", "rank", "u", "ru"), ["tid", "rank"])
     )
-    return short_pairs.unionByName(every).unionByName(_as_candidates(some, EXACT))
+    short = _extend(short_parents, short_rows, None, EXACT)
+    return short.unionByName(every).unionByName(_as_candidates(some, EXACT))
 
 
 def _named(nodes: DataFrame, ranks: DataFrame, dtype: T.DataType) -> DataFrame:
@@ -289,11 +263,8 @@ def _store_nodes(
         useful = useful.withColumn("ranks", F.array("last"))
     numbered = useful.withColumn("node", F.monotonically_increasing_id())
     nodes = ws.store(numbered, f"nodes-{level}")
-    extendable = F.col("extendable")
     counts = nodes.agg(
-        F.count_if(extendable).alias("extendable"),
-        F.count_if("joinable").alias("joinable"),
-        F.coalesce(F.sum(F.when(extendable, F.col("transactions"))), F.lit(0)).alias("rows"),
+        F.count_if("extendable").alias("extendable"), F.count_if("joinable").alias("joinable")
     )
     return nodes, counts.first()
 
@@ -308,7 +279,7 @@ def mine(
     """Find every itemset whose utility, added up over the receipts holding it, is ``min_util``+.
 
     ``items`` has one row per receipt line: ``tid``, ``item``, ``utility``, in ``ENDPOINTS`` mode
-    also ``pos`` and optionally ``total_utility``. It is read twice.
+    also ``pos`` and optionally ``total_utility``. It is read once.
     """
     ws = workspace_for(items, workspace)
     dtype = items.schema["utility"].dataType
@@ -317,53 +288,39 @@ def mine(
     if not mode.exact:
         totals = "stated" if "total_utility" in items.columns else "signed"
 
-    ranks = _search_order(twu_units(items, totals, duplicates), limit, ws)
-    rows = ws.store(_utility_rows(items, ranks, mode, duplicates), "utility-list")
-    later = F.sum(F.col("receipt_items") - 1) / 2
-    shape = rows.agg(
-        F.max("receipt_items").alias("longest"), F.try_divide(later, F.count("tid")).alias("later")
-    ).first()
-    # Only runs that meet a long receipt pay for splitting receipts.
-    split = (shape["longest"] or 0) > SPLIT_ITEMS
-    promising = ranks.count()
+    lines = unit_lines(items, duplicates, with_pos=not mode.exact, stated=totals == "stated")
+    lines = ws.store_clustered(lines, "lines", "tid")
+    receipts = ws.store_clustered(receipt_totals(lines, totals), "receipts", "tid")
+    twu = ws.store(twu_sums(lines, receipts), "twu")
+    ranks = _search_order(twu, limit, ws)
+    rows = ws.store_clustered(_utility_rows(lines, ranks, mode), "utility-list", "tid")
+    ws.discard("lines")
 
     levels: list[DataFrame] = []
-    candidates, partners = _single_candidates(rows), rows
-    lazy, computed, before, written = 0, 0, None, None
+    candidates, partners, written = _single_candidates(rows), rows, None
     while True:
         nodes, counts = _store_nodes(candidates, levels, mode, limit, ws)
         levels.append(nodes)
         if not counts["extendable"]:
             break
-        level = len(levels)
         parents = _extendable_rows(candidates, nodes)
-        siblings, joinable = None, nodes.filter("joinable")
-        if level == 1:
-            if mode.exact and counts["joinable"] < (1 - SIBLING_GAIN) * promising:
+        joinable = nodes.filter("joinable")
+        if len(levels) == 1:
+            if mode.exact:
                 # Items that no other can be usefully joined with are no one's later items.
-                partners = partners.join(joinable.select(F.col("last").alias("rank")), "rank", "left_semi")
-        else:
-            # An estimate of the rows this level's join made, by the mean number of later items.
-            lazy, computed = lazy + 1, computed + before["rows"] * shape["later"]
-            few_left = computed > LAZY_ROWS and counts["rows"] < LEFT_OVER * computed
-            # Pairs of long receipts come from several joins, too many to compute again.
-            heavy = few_left or (split and level == 2)
-            if lazy == LAZY_LEVELS or heavy or counts["extendable"] > LAZY_NODES:
-                parents, lazy, computed = ws.store(parents, f"rows-{level}"), 0, 0
-                if written:
-                    ws.discard(written)
-                written = f"rows-{level}"
-            possible = min(comb(promising, level), before["extendable"] * (promising - 1))
-            if mode.exact and counts["joinable"] < (1 - SIBLING_GAIN) * possible:
-                siblings = joinable
-        before = counts
-        if level == 1 and mode.exact and split:
-            candidates = _pairs_with_long_receipts(parents, partners, limit, ws)
-        else:
-            candidates = _extend(parents, partners, siblings, mode, split)
-
-    # Results and counters are read from the small tables of itemsets and ranks alone.
+                partners = rows.join(joinable.select(F.col("last").alias("rank")), "rank", "left_semi")
+                candidates = _pairs(parents, partners, limit, ws)
+            else:
+                candidates = _extend(parents, partners, None, mode)
+            continue
+        parents = ws.store_clustered(parents, f"rows-{len(levels)}", "tid")
+        if written:
+            ws.discard(written)
+        written = f"rows-{len(levels)}"
+        candidates = _extend(parents, partners, joinable if mode.exact else None, mode)
+
+    # Results and counters are read from the tables of itemsets, items and receipts alone.
     for table in filter(None, ("utility-list", written)):
         ws.discard(table)
     nodes = reduce(DataFrame.unionByName, levels)
-    return Mining(_named(nodes, ranks, dtype), nodes, ranks, items)
+    return Mining(_named(nodes, ranks, dtype), nodes, ranks, twu, receipts)

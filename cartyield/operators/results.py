@@ -7,7 +7,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions.units import TOTAL
 from ..plans.workspace import Workspace
 from .ordering import dense_index
 
@@ -63,7 +65,8 @@ def bar_percent(itemsets: DataFrame) -> DataFrame:
 def summary_stats(itemsets: DataFrame) -> DataFrame:
     """One row of counts, extremes and averages; only counts are set when there are no itemsets."""
     utility, count = F.col("utility"), F.count(F.lit(1))
-    total = F.sum(utility).cast("double")
+    integral = isinstance(itemsets.schema["utility"].dataType, T.IntegralType)
+    total = F.sum(utility.cast(TOTAL) if integral else utility).cast("double")
     return itemsets.agg(
         count.alias("count"),
         F.max(utility).alias("max_utility"),

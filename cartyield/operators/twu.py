@@ -8,17 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.units import from_units, scale_of, threshold, to_units
+from ..functions.units import from_units, receipt_sum, scale_of, threshold, to_units, total
 from ..plans.workspace import Workspace
+from ..sources.text import receipt_total
 from .ordering import dense_index, running_sum
 
 
-def mining_columns(items: DataFrame, with_pos: bool = False) -> DataFrame:
-    """The columns mining reads, so that the scan reads no others, of lines with a receipt and item."""
-    used = items.select("tid", "item", "utility", *(["pos"] if with_pos else []))
-    return used.dropna(subset=["tid", "item"])
-
-
 def merge_duplicates(items: DataFrame, keep: str = "sum") -> DataFrame:
     """One row per (tid, item): the summed, first or last utility, at the first position.
 
@@ -38,48 +33,55 @@ def merge_duplicates(items: DataFrame, keep: str = "sum") -> DataFrame:
     return items.groupBy("tid", "item").agg(*columns)
 
 
-def _unit_items(items: DataFrame) -> DataFrame:
+def unit_lines(items: DataFrame, duplicates: str = "sum", with_pos: bool = False, stated: bool = False) -> DataFrame:
+    """One row per (tid, item) with amounts in BIGINT units; lines without receipt or item are left out.
+
+    ``pos`` is kept if asked for, and so is ``total_utility`` where receipts state their totals.
+    """
     dtype = items.schema["utility"].dataType
-    return items.withColumn("utility", to_units(F.col("utility"), dtype))
+    columns = ["tid", "item", to_units(F.col("utility"), dtype).alias("utility")]
+    if with_pos or duplicates != "sum":
+        columns.append("pos")
+    if stated:
+        stated_type = items.schema["total_utility"].dataType
+        if scale_of(stated_type) != scale_of(dtype):
+            raise ValueError("utility and total_utility must have the same scale")
+        columns.append(to_units(F.col("total_utility"), stated_type).alias("total_utility"))
+    return merge_duplicates(items.dropna(subset=["tid", "item"]).select(*columns), duplicates)
 
 
-def _with_receipt_total(items: DataFrame, signed: bool) -> DataFrame:
-    """Merged items with the total of their receipt.
+def receipt_totals(lines: DataFrame, totals: str = "positive") -> DataFrame:
+    """(tid, total): what each receipt can contribute; ``lines`` are in units, one row per item.
 
-    A join with per-receipt sums streams a receipt through; a window would buffer all of it.
-    Both sides keep the same columns, so that Spark computes and shuffles ``items`` once.
+    ``totals="positive"`` adds up the positive utilities, so that a bound does not shrink by what an
+    itemset may leave out, ``"signed"`` all of them. ``"stated"`` takes ``total_utility`` and
+    adds up the lines only where it is missing or zero.
     """
-    # A bound must not shrink by what an itemset may leave out, so negatives count as 0.
-    amount = F.col("utility") if signed else F.greatest("utility", F.lit(0))
-    totals = items.groupBy("tid").agg(F.sum(amount).alias("total_utility"))
-    return items.join(totals, "tid")
+    utility = F.col("utility") if totals != "positive" else F.greatest("utility", F.lit(0))
+    added = receipt_sum(utility)
+    if totals == "stated":
+        added = receipt_total(F.max("total_utility"), added)
+    return lines.groupBy("tid").agg(added.alias("total"))
 
 
-def twu_units(items: DataFrame, totals: str = "positive", duplicates: str = "sum") -> DataFrame:
-    """(item, twu, utility, occurrences) of line items, amounts in BIGINT units.
+def twu_sums(lines: DataFrame, receipts: DataFrame) -> DataFrame:
+    """(item, twu, utility, occurrences) of lines in units and their receipts' totals.
 
-    ``totals="positive"`` adds up the positive utilities of each receipt, ``"signed"`` all of
-    them, and ``"stated"`` trusts the ``total_utility`` column, which saves the shuffle on tid.
+    A join with per-receipt sums streams a receipt through; a window would buffer all of it.
     """
-    dtype = items.schema["utility"].dataType
-    if totals == "stated":
-        stated_type = items.schema["total_utility"].dataType
-        if scale_of(stated_type) != scale_of(dtype):
-            raise ValueError("utility and total_utility must have the same scale")
-        stated = to_units(F.col("total_utility"), stated_type)
-        per_item = merge_duplicates(
-            _unit_items(items).select("tid", "item", "utility", stated.alias("total_utility"))
-        )
-    else:
-        lines = _unit_items(mining_columns(items, duplicates != "sum"))
-        per_item = _with_receipt_total(merge_duplicates(lines, duplicates), totals == "signed")
-    return per_item.groupBy("item").agg(
-        F.sum("total_utility").alias("twu"),
-        F.sum("utility").alias("utility"),
+    return lines.join(receipts, "tid").groupBy("item").agg(
+        total("total").alias("twu"),
+        total("utility").alias("utility"),
         F.count(F.lit(1)).alias("occurrences"),
     )
 
 
+def twu_units(items: DataFrame, totals: str = "positive", duplicates: str = "sum") -> DataFrame:
+    """(item, twu, utility, occurrences) of line items, sums in DECIMAL units."""
+    lines = unit_lines(items, duplicates, stated=totals == "stated")
+    return twu_sums(lines, receipt_totals(lines, totals))
+
+
 def twu(items: DataFrame, totals: str = "positive", duplicates: str = "sum") -> DataFrame:
     """(item, twu): the summed totals of the receipts holding each item."""
     dtype = items.schema["utility"].dataType
@@ -90,8 +92,9 @@ def twu(items: DataFrame, totals: str = "positive", duplicates: str = "sum") ->
 def twu_contributions(items: DataFrame) -> DataFrame:
     """(tid, item, twu): what one receipt adds to the TWU of each of its items."""
     dtype = items.schema["utility"].dataType
-    merged = _with_receipt_total(merge_duplicates(_unit_items(mining_columns(items))), False)
-    return merged.select("tid", "item", from_units(F.col("total_utility"), dtype).alias("twu"))
+    lines = unit_lines(items)
+    contributed = lines.join(receipt_totals(lines), "tid")
+    return contributed.select("tid", "item", from_units(F.col("total"), dtype).alias("twu"))
 
 
 def merge_twu(*maps: DataFrame) -> DataFrame:

@@ -2,40 +2,56 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ..functions.units import threshold
-from .twu import merge_duplicates, mining_columns
+from ..functions.units import TOTAL, threshold
+from .twu import merge_duplicates
 
 
-def _after(order: str) -> Window:
-    # Everything later in the receipt. Read backwards it is a running frame, which costs one
-    # pass; "all following rows" would be added up again for every row.
-    return (
-        Window.partitionBy("tid").orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, -1)
-    )
+def gain(utility: Column | str, signed: bool = False) -> Column:
+    """What a utility adds to a bound: losses count as nothing unless ``signed``."""
+    utility = F.col(utility) if isinstance(utility, str) else utility
+    return utility if signed else F.greatest(utility, F.lit(0))
 
 
-def utility_list(items: DataFrame, ranks: DataFrame, remaining: str = "rank") -> DataFrame:
+def upper_bound(signed: bool = False) -> Column:
+    """What an itemset and its extensions can earn in one receipt: iu + ru, or nothing."""
+    return gain(F.col("iu") + F.col("ru"), signed)
+
+
+def utility_list(
+    items: DataFrame, ranks: DataFrame, remaining: str = "rank", whole: bool = False
+) -> DataFrame:
     """(tid, item, rank, iu, ru) of the ranked items; ``items`` has one row per (tid, item).
 
     ``remaining="rank"`` counts the items later in the search order, and of these only positive
     utilities, so that iu + ru bounds every extension. ``"position"`` counts the items printed
-    later on the receipt.
+    later on the receipt. ``whole`` adds ``reach``, what the receipt can contribute at all, and
+    ``receipt_items``, the number of its ranked items.
     """
     kept = items.join(ranks.select("item", "rank"), "item")
-    if remaining == "position":
-        later = F.sum("utility").over(_after("pos"))
-    else:
-        later = F.sum(F.greatest("utility", F.lit(0))).over(_after("rank"))
+    signed = remaining == "position"
+    own = gain("utility", signed)
+    # Everything later in the receipt. Read backwards it is a running frame, which costs one
+    # pass; "all following rows" would be added up again for every row.
+    receipt = Window.partitionBy("tid").orderBy(F.desc("pos" if signed else "rank"))
+    later = F.sum(own).over(receipt.rowsBetween(Window.unboundedPreceding, -1))
+    everything = receipt.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    of_receipt = [
+        F.sum(own).over(everything).alias("reach"),
+        F.count(F.lit(1)).over(everything).cast("int").alias("receipt_items"),
+    ]
+    dtype = items.schema["utility"].dataType
     return kept.select(
         "tid",
         "item",
         "rank",
         F.col("utility").alias("iu"),
-        F.coalesce(later, F.lit(0)).cast(items.schema["utility"].dataType).alias("ru"),
+        F.coalesce(later, F.lit(0)).cast(dtype).alias("ru"),
+        *(of_receipt if whole else []),
     )
 
 
@@ -43,8 +59,11 @@ def build_utility_list(
     items: DataFrame, ranks: DataFrame, remaining: str = "rank", duplicates: str = "sum"
 ) -> DataFrame:
     """Utility lists of line items; lines of the same item in a receipt are merged first."""
-    used = mining_columns(items, with_pos=remaining == "position" or duplicates != "sum")
-    return utility_list(merge_duplicates(used, duplicates), ranks, remaining)
+    used = ["tid", "item", "utility"]
+    if remaining == "position" or duplicates != "sum":
+        used.append("pos")
+    lines = items.dropna(subset=["tid", "item"]).select(*used)
+    return utility_list(merge_duplicates(lines, duplicates), ranks, remaining)
 
 
 def entry_totals(entries: DataFrame) -> DataFrame:
@@ -53,11 +72,20 @@ def entry_totals(entries: DataFrame) -> DataFrame:
 
 
 def itemset_sums(entries: DataFrame, *key: str) -> DataFrame:
-    """Per itemset: summed iu and ru, the upper bound and the number of receipts."""
+    """Per itemset: summed iu and ru, the upper bound of all extensions and the number of receipts.
+
+    The bound takes each receipt by itself: one where the itemset loses more than later items can earn counts
+    as nothing, since an extension need not occur there.
+    """
+    dtype = entries.schema["iu"].dataType
+
+    def summed(amount: Column) -> Column:
+        return F.sum(amount.cast(TOTAL) if isinstance(dtype, T.IntegralType) else amount)
+
     return entries.groupBy(*(key or ("item",))).agg(
-        F.sum("iu").alias("sum_iu"),
-        F.sum("ru").alias("sum_ru"),
-        (F.sum("iu") + F.sum("ru")).alias("upper_bound"),
+        summed(F.col("iu")).alias("sum_iu"),
+        summed(F.col("ru")).alias("sum_ru"),
+        summed(upper_bound()).alias("upper_bound"),
         F.count(F.lit(1)).alias("transactions"),
     )
 

@@ -72,7 +72,7 @@ def lists(order: str, gain: str = "utility") -> str:
 
 SUMS = """sums AS (
   SELECT item, sum(iu)::BIGINT AS sum_iu, sum(ru)::BIGINT AS sum_ru,
-         sum(iu + ru)::BIGINT AS upper_bound, count(*) AS transactions
+         sum(greatest(iu + ru, 0))::BIGINT AS upper_bound, count(*) AS transactions
   FROM ul GROUP BY item)"""
 
 
@@ -108,15 +108,38 @@ def shaped(source: str) -> str:
   FROM {source} WHERE utility >= (SELECT m FROM m))"""
 
 
-def exact(items: str, share: int = q.SHARE) -> str:
-    ctes = [items, TWU, share_limit(share), RANKS, lists("rank", "greatest(utility, 0)")]
+def exact(items: str, share: int = q.SHARE, limit: str | None = None) -> str:
+    ctes = [items, TWU, limit or share_limit(share), RANKS, lists("rank", "greatest(utility, 0)")]
     return "WITH RECURSIVE " + ",\n".join([*ctes, walk("w.iu + x.iu"), shaped("agg")])
 
 
-def endpoints(items: str, share: int = q.SHARE) -> str:
-    ctes = [items, TWU, share_limit(share), RANKS, lists("pos"), walk("w.u1 + x.iu")]
-    return "WITH RECURSIVE " + ",\n".join([*ctes, PREFIXES_KEPT, shaped("reached")])
-
+def endpoints(
+    items: str, share: int = q.SHARE, limit: str | None = None, twu: str = TWU, kept: str = PREFIXES_KEPT
+) -> str:
+    ctes = [items, twu, limit or share_limit(share), RANKS, lists("pos"), walk("w.u1 + x.iu")]
+    return "WITH RECURSIVE " + ",\n".join([*ctes, kept, shaped("reached")])
+
+
+# Every itemset the search arrives at, not only results.
+ALL_KEPT = PREFIXES_KEPT.replace("FROM agg WHERE utility >= (SELECT m FROM m)", "FROM agg")
+STATED_ITEMS = f"""{BRAND_ITEMS},
+stated AS (
+  SELECT o_orderkey AS tid, CASE o_orderstatus WHEN 'P' THEN 0 WHEN 'O' THEN NULL
+         ELSE round(o_totalprice * 100)::BIGINT END AS stated FROM orders)"""
+STATED_TWU = TWU.replace(
+    "SELECT tid, sum(greatest(utility, 0))::BIGINT AS total FROM merged GROUP BY tid",
+    "SELECT tid, coalesce(nullif(max(stated), 0), sum(utility))::BIGINT AS total"
+    " FROM merged LEFT JOIN stated USING (tid) GROUP BY tid",
+)
+# Receipts read from text have amounts of four decimals.
+TEXT_ITEMS = f"""{SOLD_ITEMS},
+items AS (SELECT tid, place AS pos, item, (utility * 10000)::BIGINT AS utility FROM numbered)"""
+TEXT_LIMIT = f"m AS (SELECT (sum(utility) // 10000 // {q.SHARE} * 10000)::BIGINT AS m FROM items)"
+TEXT_FLAT = "SELECT itemset_name, utility / 10000 AS utility, size, transactions FROM found"
+# The receipt of all parts adds one cent per item to whatever other receipts hold.
+LONG = f"""agg_long AS (
+  SELECT its, utility + size AS utility, transactions + 1 AS transactions, size FROM agg),
+{shaped("agg_long")}"""
 
 LOSS_ITEMS = BRAND_ITEMS.replace("AS utility", f"- {q.LINE_COST} AS utility")
 MINED = exact(BRAND_ITEMS)
@@ -129,6 +152,23 @@ _BRAND_LISTS = f"{_BRAND_TWU},\n{share_limit()},\n{RANKS},\n{lists('pos')}"
 _PART_LISTS = f"{_PART_TWU},\n{RANKS},\n{lists('rank', 'greatest(utility, 0)')}"
 _PROMISING = "(SELECT item FROM twu WHERE twu >= (SELECT m FROM m))"
 _A, _B, _C = q.NAMES
+_LOSS_SUMS = f"""WITH {LOSS_ITEMS},
+{TWU},
+{share_limit()},
+{RANKS},
+{lists('rank', 'greatest(utility, 0)')},
+{SUMS}"""
+
+
+def counters(extendable: str) -> str:
+    return f"""(SELECT count(*) FROM twu) AS twu_candidates, (SELECT count(*) FROM ranks) AS promising_items,
+       (SELECT sum(occurrences)::BIGINT FROM twu JOIN ranks USING (item)) AS estimated_utility_entries,
+       (SELECT count(*) FROM ranks) AS utility_lists_built,
+       ((SELECT count(*) FROM ranks) + (SELECT sum((SELECT count(*) FROM ranks) - last)
+          FROM (SELECT path[-1] AS last FROM {extendable} WHERE bound >= (SELECT m FROM m))))::BIGINT
+         AS dfs_nodes_explored,
+       (SELECT count(*) FROM found) AS huis_found,
+       (SELECT count(*) FROM receipts) AS total_transactions"""
 
 
 def _draw(digest: str, part: int) -> str:
@@ -239,15 +279,38 @@ WHERE a.item = '{_A}' AND b.item = '{_B}' AND c.item = '{_C}'""",
         "mine_endpoints_suppliers": f"""{endpoints(keyed_items('l_suppkey'), q.SUPPLIER_SHARE)}
 {FLAT}""",
         "mine_exact_losses": f"{exact(LOSS_ITEMS)} {FLAT}",
-        "mine_stats": f"""{MINED},
-extendable AS (SELECT path[-1] AS last FROM agg WHERE bound >= (SELECT m FROM m))
-SELECT (SELECT count(*) FROM twu) AS twu_candidates, (SELECT count(*) FROM ranks) AS promising_items,
-       (SELECT sum(occurrences)::BIGINT FROM twu JOIN ranks USING (item)) AS estimated_utility_entries,
-       (SELECT count(*) FROM ranks) AS utility_lists_built,
-       ((SELECT count(*) FROM ranks) + (SELECT sum((SELECT count(*) FROM ranks) - last)
-          FROM extendable))::BIGINT AS dfs_nodes_explored,
-       (SELECT count(*) FROM found) AS huis_found,
-       (SELECT count(*) FROM receipts) AS total_transactions""",
+        "mine_stats": f"{MINED} SELECT {counters('agg')}",
+        "mine_stats_endpoints": f"{endpoints(BRAND_ITEMS, kept=ALL_KEPT)} SELECT {counters('reached')}",
+        "mine_endpoints_stated": f"{endpoints(STATED_ITEMS, twu=STATED_TWU)} {FLAT}",
+        "mine_exact_long": f"""{exact(_PARTS, q.LONG_SHARE).replace(shaped("agg"), LONG)} {FLAT}""",
+        "run_text": f"{exact(TEXT_ITEMS, limit=TEXT_LIMIT)} {TEXT_FLAT}",
+        "run_text_endpoints": f"{endpoints(TEXT_ITEMS, limit=TEXT_LIMIT)} {TEXT_FLAT}",
+        "run_text_counters": f"""{exact(TEXT_ITEMS, limit=TEXT_LIMIT)}
+SELECT {counters('agg')}, (SELECT count(*) FROM found) AS itemsets,
+       (SELECT max(size) FROM found) AS max_size,
+       (SELECT count(*) FROM found WHERE size = 1) AS single_items,
+       (SELECT count(*) FROM found WHERE size = 2) AS pairs,
+       (SELECT count(*) FROM found WHERE size > 2) AS larger,
+       (SELECT max(utility) / 10000 FROM found) AS max_utility""",
+        "item_bounds_losses": f"{_LOSS_SUMS} SELECT * FROM sums",
+        "prunable_items_losses": f"""{_LOSS_SUMS}
+SELECT * FROM sums WHERE upper_bound < (SELECT sum(upper_bound) // count(*) FROM sums)""",
+        "result_document": f"""{MINED},
+stats AS (SELECT {counters('agg')}),
+summary AS (
+  SELECT count(*) AS count, max(utility) AS max_utility, min(utility) AS min_utility,
+         max(size) AS max_size, count(*) FILTER (size = 1) AS single_items,
+         count(*) FILTER (size = 2) AS pairs, count(*) FILTER (size > 2) AS larger FROM found),
+placed AS (SELECT row_number() OVER ({_ORDER}) AS place, * FROM found)
+SELECT 0::BIGINT AS place,
+       '{{"success":true,"mode":"exact","min_util":' || (SELECT m FROM m) || ',"itemsets":[' AS json
+UNION ALL
+SELECT place, CASE WHEN place > 1 THEN ',' ELSE '' END
+       || to_json(struct_pack(itemset, itemset_name, utility, size, transactions))::VARCHAR FROM placed
+UNION ALL
+SELECT 9223372036854775807, '],"total_transactions":' || total_transactions || ',"huis_found":' || count
+       || ',"stats":' || to_json(summary)::VARCHAR || ',"algorithm_stats":' || to_json(stats)::VARCHAR || '}}'
+FROM stats, summary""",
         "result_rows": f"""{MINED}
 SELECT array_to_string(itemset, '|') AS itemset, itemset_name, utility::DOUBLE AS utility, size,
        transactions FROM found""",

@@ -19,6 +19,7 @@ from ..sinks import documents, tables, text as text_sink
 from ..sources import text
 from ..sources.generate import generate_transactions
 from ..sources.tables import items_from
+from .run import Run, run
 from .workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +29,7 @@ LINE_STEP = 10**12
 # A threshold of total / SHARE, and the fixed cost per line that makes some utilities negative.
 SHARE = 500
 SUPPLIER_SHARE = 1000
+LONG_SHARE = 30_000
 LINE_COST = 4_000_000
 ENTRY_BUDGET_SHARE = 2
 BOUND_SHARE = 2
@@ -97,16 +99,21 @@ def mined(items: DataFrame, mode: Mode = EXACT, share: int = SHARE) -> Mining:
 
 
 def mined_brands(spark: SparkSession, folder: str, mode: Mode = EXACT) -> DataFrame:
-    return mined(brand_items(spark, folder), mode).itemsets
+    return whole(mined(brand_items(spark, folder), mode).itemsets, "utility")
+
+
+def whole(df: DataFrame, *columns: str) -> DataFrame:
+    """Sums of cents, which the tables keep within BIGINT, as such."""
+    return df.withColumns({c: F.col(c).cast("bigint") for c in columns})
 
 
 def flat(itemsets: DataFrame) -> DataFrame:
-    return itemsets.select("itemset_name", "utility", "size", "transactions")
+    return whole(itemsets, "utility").select("itemset_name", "utility", "size", "transactions")
 
 
 def mean_twu(twu_map: DataFrame) -> int:
     total, count = twu_map.agg(F.sum("twu"), F.count("twu")).first()
-    return total // count
+    return int(total) // count
 
 
 # Sources and sinks
@@ -136,14 +143,17 @@ def dense_tid(spark: SparkSession, folder: str) -> DataFrame:
     return dense_index(receipts, "tid", [F.col("l_orderkey")])
 
 
-def transaction_totals(spark: SparkSession, folder: str) -> DataFrame:
-    added = brand_items(spark, folder).groupBy("tid").agg(F.sum("utility").alias("added"))
+def stated_totals(spark: SparkSession, folder: str) -> DataFrame:
     # Open orders state no total, partly filled ones a zero.
-    stated = F.when(F.col("o_orderstatus") == "P", 0).when(
+    stated = F.when(F.col("o_orderstatus") == "P", F.lit(0).cast("bigint")).when(
         F.col("o_orderstatus") != "O", cents("o_totalprice")
     )
-    orders = table(spark, folder, "orders").select(F.col("o_orderkey").alias("tid"), stated.alias("stated"))
-    return added.join(orders, "tid", "left").select(
+    return table(spark, folder, "orders").select(F.col("o_orderkey").alias("tid"), stated.alias("stated"))
+
+
+def transaction_totals(spark: SparkSession, folder: str) -> DataFrame:
+    added = brand_items(spark, folder).groupBy("tid").agg(F.sum("utility").alias("added"))
+    return added.join(stated_totals(spark, folder), "tid", "left").select(
         "tid", text.receipt_total("stated", "added").alias("total_utility")
     )
 
@@ -162,7 +172,7 @@ def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 def result_rows_legacy(spark: SparkSession, folder: str) -> DataFrame:
     items = brand_items(spark, folder)
     limit = share_of_total(items, SHARE)
-    return tables.legacy_csv_layout(mine(items, limit).itemsets, limit)
+    return tables.legacy_csv_layout(whole(mine(items, limit).itemsets, "utility"), limit)
 
 
 def render_transactions(spark: SparkSession, folder: str) -> DataFrame:
@@ -222,35 +232,39 @@ def remaining_after(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def twu_query(spark: SparkSession, folder: str) -> DataFrame:
-    return twu.twu(brand_items(spark, folder))
+    return whole(twu.twu(brand_items(spark, folder)), "twu")
 
 
 def twu_stated(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("tid"), cents("o_totalprice").alias("total_utility")
     )
-    return twu.twu(brand_items(spark, folder).join(orders, "tid"), totals="stated")
+    return whole(twu.twu(brand_items(spark, folder).join(orders, "tid"), totals="stated"), "twu")
 
 
 def twu_contributions(spark: SparkSession, folder: str) -> DataFrame:
-    return twu.twu_contributions(brand_items(spark, folder))
+    return whole(twu.twu_contributions(brand_items(spark, folder)), "twu")
 
 
 def twu_merge(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders").select(F.col("o_orderkey").alias("tid"), "o_orderdate")
     items = brand_items(spark, folder).join(orders, "tid")
     earlier = F.col("o_orderdate") < BATCH_DATE
-    return twu.merge_twu(twu.twu(items.filter(earlier)), twu.twu(items.filter(~earlier)))
+    return whole(twu.merge_twu(twu.twu(items.filter(earlier)), twu.twu(items.filter(~earlier))), "twu")
+
+
+def stored_twu(items: DataFrame) -> tuple[DataFrame, int]:
+    """The TWU of line items, computed once, and its mean as a threshold."""
+    twu_map = whole(Workspace(items.sparkSession).store(twu.twu(items), "twu"), "twu")
+    return twu_map, mean_twu(twu_map)
 
 
 def promising_items(spark: SparkSession, folder: str) -> DataFrame:
-    twu_map = twu.twu(keyed_items(spark, folder, "l_partkey"))
-    return twu.promising_items(twu_map, mean_twu(twu_map))
+    return twu.promising_items(*stored_twu(keyed_items(spark, folder, "l_partkey")))
 
 
 def item_rank(spark: SparkSession, folder: str) -> DataFrame:
-    twu_map = Workspace(spark).store(twu.twu(keyed_items(spark, folder, "l_partkey")), "twu")
-    return twu.item_rank(twu_map, mean_twu(twu_map))
+    return twu.item_rank(*stored_twu(keyed_items(spark, folder, "l_partkey")))
 
 
 def promising_transactions(spark: SparkSession, folder: str) -> DataFrame:
@@ -270,8 +284,7 @@ def estimated_entries(spark: SparkSession, folder: str) -> DataFrame:
 
 def suggest_min_util(spark: SparkSession, folder: str) -> DataFrame:
     items = twu.merge_duplicates(keyed_items(spark, folder, "l_partkey"))
-    twu_map = Workspace(spark).store(twu.twu(items), "twu")
-    limit = mean_twu(twu_map)
+    twu_map, limit = stored_twu(items)
     counts = twu.item_occurrences(items, twu.promising_items(twu_map, limit))
     counts = Workspace(spark).store(counts, "occurrences")
     budget = twu.estimated_entries(counts).first()[0] // ENTRY_BUDGET_SHARE
@@ -289,8 +302,7 @@ def brand_lists(spark: SparkSession, folder: str, remaining: str) -> DataFrame:
 
 def part_lists(spark: SparkSession, folder: str) -> tuple[DataFrame, int]:
     items = keyed_items(spark, folder, "l_partkey")
-    twu_map = Workspace(spark).store(twu.twu(items), "twu")
-    limit = mean_twu(twu_map)
+    twu_map, limit = stored_twu(items)
     return utility_list.build_utility_list(items, twu.item_rank(twu_map, limit)), limit
 
 
@@ -303,18 +315,38 @@ def utility_list_twu(spark: SparkSession, folder: str) -> DataFrame:
     return part_lists(spark, folder)[0]
 
 
+def list_sums(entries: DataFrame) -> DataFrame:
+    return whole(utility_list.itemset_sums(entries), "sum_iu", "sum_ru", "upper_bound")
+
+
 def item_bounds(spark: SparkSession, folder: str) -> DataFrame:
-    return utility_list.itemset_sums(brand_lists(spark, folder, "position"))
+    return list_sums(brand_lists(spark, folder, "position"))
 
 
 def extendable_items(spark: SparkSession, folder: str) -> DataFrame:
     entries, limit = part_lists(spark, folder)
-    return utility_list.extendable(utility_list.itemset_sums(entries), limit // BOUND_SHARE)
+    return utility_list.extendable(list_sums(entries), limit // BOUND_SHARE)
 
 
 def prunable_items(spark: SparkSession, folder: str) -> DataFrame:
     entries, limit = part_lists(spark, folder)
-    return utility_list.prunable(utility_list.itemset_sums(entries), limit // BOUND_SHARE)
+    return utility_list.prunable(list_sums(entries), limit // BOUND_SHARE)
+
+
+def loss_items(spark: SparkSession, folder: str) -> DataFrame:
+    return brand_items(spark, folder).withColumn("utility", F.col("utility") - LINE_COST)
+
+
+def item_bounds_losses(spark: SparkSession, folder: str) -> DataFrame:
+    items = loss_items(spark, folder)
+    ranks = twu.item_rank(twu.twu(items), share_of_total(items, SHARE))
+    return list_sums(utility_list.build_utility_list(items, ranks))
+
+
+def prunable_items_losses(spark: SparkSession, folder: str) -> DataFrame:
+    sums = Workspace(spark).store(item_bounds_losses(spark, folder), "sums")
+    total, count = sums.agg(F.sum("upper_bound"), F.count("upper_bound")).first()
+    return utility_list.prunable(sums, total // count)
 
 
 def empty_prefix_list(spark: SparkSession, folder: str) -> DataFrame:
@@ -353,14 +385,70 @@ def mine_endpoints_suppliers(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def mine_exact_losses(spark: SparkSession, folder: str) -> DataFrame:
-    items = brand_items(spark, folder).withColumn("utility", F.col("utility") - LINE_COST)
-    return flat(mined(items).itemsets)
+    return flat(mined(loss_items(spark, folder)).itemsets)
+
+
+def stated_items(spark: SparkSession, folder: str) -> DataFrame:
+    """Brand items of receipts of which some state a total, some a zero and some none."""
+    return brand_items(spark, folder).join(stated_totals(spark, folder), "tid", "left")
+
+
+def mine_endpoints_stated(spark: SparkSession, folder: str) -> DataFrame:
+    items = stated_items(spark, folder).withColumnRenamed("stated", "total_utility")
+    return flat(mined(items, ENDPOINTS).itemsets)
+
+
+def mine_exact_long(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders, and one receipt more that holds every part for a cent."""
+    items = keyed_items(spark, folder, "l_partkey")
+    parts = table(spark, folder, "part")
+    everything = items_from(parts, tid=F.lit(-1).cast("bigint"), item="p_partkey", utility=F.lit(1).cast("bigint"), pos=F.col("p_partkey"))
+    return flat(mine(items.unionByName(everything), share_of_total(items, LONG_SHARE)).itemsets)
 
 
 def mine_stats(spark: SparkSession, folder: str) -> DataFrame:
     return mined(brand_items(spark, folder)).stats()
 
 
+def mine_stats_endpoints(spark: SparkSession, folder: str) -> DataFrame:
+    return mined(brand_items(spark, folder), ENDPOINTS).stats()
+
+
+def run_of_text(spark: SparkSession, folder: str, mode: Mode) -> Run:
+    """Write the receipts as text and mine the files from end to end."""
+    path = Workspace(spark).path("receipts")
+    sold = sold_items(spark, folder)
+    text_sink.write_transactions(sold, path)
+    limit = int(sold.agg(F.sum("utility")).first()[0]) // SHARE
+    return run(spark, path, limit, mode)
+
+
+def run_text(spark: SparkSession, folder: str) -> DataFrame:
+    return run_of_text(spark, folder, EXACT).itemsets.drop("itemset")
+
+
+def run_text_endpoints(spark: SparkSession, folder: str) -> DataFrame:
+    return run_of_text(spark, folder, ENDPOINTS).itemsets.drop("itemset")
+
+
+def run_text_counters(spark: SparkSession, folder: str) -> DataFrame:
+    """Counters and summary of a run from text, side by side."""
+    result = run_of_text(spark, folder, EXACT)
+    sizes = result.summary.select(F.col("count").alias("itemsets"), "max_size", "single_items", "pairs", "larger", "max_utility")
+    both = result.counters.withColumn("_row", F.lit(1)).join(sizes.withColumn("_row", F.lit(1)), "_row")
+    return both.drop("_row").withColumn("max_utility", F.col("max_utility").cast("double"))
+
+
+def result_document(spark: SparkSession, folder: str) -> DataFrame:
+    """The lines of the JSON document; averages are left out, as engines print doubles in different ways."""
+    items = brand_items(spark, folder)
+    limit = share_of_total(items, SHARE)
+    mining = mine(items, limit)
+    lines = documents.result_document(whole(mining.itemsets, "utility"), mining.stats(), limit)
+    averages = r'"avg_[a-z]+":[^,}]*,'
+    return lines.select("place", F.regexp_replace("json", averages, "").alias("json"))
+
+
 # Results
 
 
@@ -387,7 +475,7 @@ def bar_percent(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def summary_stats(spark: SparkSession, folder: str) -> DataFrame:
-    return results.summary_stats(mined_brands(spark, folder))
+    return whole(results.summary_stats(mined_brands(spark, folder)), "max_utility", "min_utility")
 
 
 def size_distribution(spark: SparkSession, folder: str) -> DataFrame:
@@ -434,8 +522,10 @@ def queries() -> dict[str, Query]:
         "utility_list_position": utility_list_position,
         "utility_list_twu": utility_list_twu,
         "item_bounds": item_bounds,
+        "item_bounds_losses": item_bounds_losses,
         "extendable_items": extendable_items,
         "prunable_items": prunable_items,
+        "prunable_items_losses": prunable_items_losses,
         "empty_prefix_list": empty_prefix_list,
         "pair_utility_list": pair_utility_list,
         "mine_exact": mine_exact,
@@ -443,7 +533,13 @@ def queries() -> dict[str, Query]:
         "mine_exact_suppliers": mine_exact_suppliers,
         "mine_endpoints_suppliers": mine_endpoints_suppliers,
         "mine_exact_losses": mine_exact_losses,
+        "mine_endpoints_stated": mine_endpoints_stated,
+        "mine_exact_long": mine_exact_long,
         "mine_stats": mine_stats,
+        "mine_stats_endpoints": mine_stats_endpoints,
+        "run_text": run_text,
+        "run_text_endpoints": run_text_endpoints,
+        "run_text_counters": run_text_counters,
         "result_rows": result_rows,
         "sort_by_size": sort_by_size,
         "top10": top10,
@@ -454,6 +550,7 @@ def queries() -> dict[str, Query]:
         "itemset_name": name_of_itemset,
         "size_class": class_of_size,
         "result_json": result_json,
+        "result_document": result_document,
         "report_lines": report_lines,
         "ranked_export": ranked_export,
         "result_rows_legacy": result_rows_legacy,

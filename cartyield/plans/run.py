@@ -6,12 +6,13 @@ import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.units import DEFAULT_SCALE
 from ..operators.mining import EXACT, Mining, Mode, mine
 from ..operators.results import result_rows, summary_stats
-from ..sources.text import explode_items, number_transactions, parse_lines
-from .workspace import Workspace
+from ..sources.text import explode_items, parse_lines
+from .workspace import Workspace, workspace_for
 
 # Fixed value: the threshold used when none is given.
 DEFAULT_MIN_UTIL = 5.0
@@ -27,6 +28,11 @@ class Run:
     min_util: object
     mode: str
     elapsed_seconds: float
+    workspace: Workspace
+
+    def close(self) -> None:
+        """Delete the tables behind the results, which can be read no more."""
+        self.workspace.close()
 
 
 def run_items(
@@ -37,12 +43,13 @@ def run_items(
     workspace: Workspace | None = None,
 ) -> Run:
     """Mine line items and shape the results."""
+    workspace = workspace_for(items, workspace)
     started = time.monotonic()
     mining: Mining = mine(items, min_util, mode, duplicates, workspace)
     elapsed = time.monotonic() - started
     summary = summary_stats(mining.itemsets)
     return Run(
-        result_rows(mining.itemsets), summary, mining.stats(), min_util, mode.name, elapsed
+        result_rows(mining.itemsets), summary, mining.stats(), min_util, mode.name, elapsed, workspace
     )
 
 
@@ -54,7 +61,10 @@ def run(
     duplicates: str = "sum",
     scale: int = DEFAULT_SCALE,
 ) -> Run:
-    """Mine a text file. Its lines are parsed once: the numbered receipts are written as a table."""
-    workspace = Workspace(spark)
-    receipts = number_transactions(parse_lines(spark.read.text(path), scale=scale), workspace)
-    return run_items(explode_items(receipts), min_util, mode, duplicates, workspace)
+    """Mine a text file, which is read and parsed once.
+
+    Nothing of a result shows a receipt's id, so ids are only told apart, not made dense.
+    """
+    receipts = parse_lines(spark.read.text(path), scale=scale)
+    receipts = receipts.withColumn("tid", F.monotonically_increasing_id())
+    return run_items(explode_items(receipts), min_util, mode, duplicates, Workspace(spark))

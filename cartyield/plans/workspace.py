@@ -26,14 +26,26 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 class Workspace:
-    """One run's folder of intermediate tables below the checkpoint folder."""
+    """One run's folder of intermediate tables below the checkpoint folder.
+
+    Results that are read lazily need the tables they read; ``close`` deletes the folder once they are
+    written elsewhere. It may be used in a ``with`` statement.
+    """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        self.base = f"{checkpoint_root(spark)}/cartyield-{uuid.uuid4().hex}"
+        self.id = uuid.uuid4().hex
+        self.base = f"{checkpoint_root(spark)}/cartyield-{self.id}"
         self._paths: dict[str, str] = {}
+        self._tables: dict[str, str] = {}
         self._count = 0
 
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
     def path(self, name: str) -> str:
         """A new path for the table ``name``; a later one replaces an earlier one."""
         self._count += 1
@@ -46,9 +58,32 @@ class Workspace:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def store_clustered(self, df: DataFrame, name: str, key: str) -> DataFrame:
+        """Like ``store``, with the rows of a key in one bucket: joins and windows on it need no shuffle."""
+        path = self.path(name)
+        table = f"cartyield_{self.id}_{self._count}"
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        clustered = df.repartition(buckets, key)
+        clustered.write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
+        self._tables[name] = table
+        return self.spark.table(table)
+
     def discard(self, name: str) -> None:
         """Delete a stored table that nothing will read again."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self._paths.pop(name))
+        if name in self._tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._tables.pop(name)}")
+        self._delete(self._paths.pop(name))
+
+    def close(self) -> None:
+        """Delete all tables of the run."""
+        for table in self._tables.values():
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        self._tables.clear()
+        self._paths.clear()
+        self._delete(self.base)
+
+    def _delete(self, path: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 

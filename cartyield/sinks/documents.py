@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.results import by_utility, ranked, result_rows, summary_stats
+from ..functions.units import threshold
 from ..plans.workspace import Workspace
 
 # Lines of the report.
@@ -15,10 +18,11 @@ REPORT_MIN_UTIL = "Seuil MinUtil : %sMRU"
 REPORT_TIME = "Temps d'exécution : %.3fs"
 REPORT_COUNT = "Nombre de HUI : %d"
 REPORT_RULE = "=" * 60
+STAMP = "%Y-%m-%d %H:%M:%S"
 REPORT_ENTRY = "#%d %s\n   Utilité totale : %sMRU\n   Taille : %d article(s)\n   Transactions : %d\n"
 
-# A single JSON document is built in one task, so only results known to be small get one.
-DOCUMENT_ITEMSETS = 100_000
+# The place of a document's last row, after any rank.
+_LAST = (1 << 63) - 1
 
 
 def json_lines(itemsets: DataFrame) -> DataFrame:
@@ -38,35 +42,47 @@ def result_document(
     min_util,
     elapsed_seconds: float | None = None,
     mode: str = "exact",
+    workspace: Workspace | None = None,
 ) -> DataFrame:
-    """One row, ``json``: the whole result as a single indented document.
+    """(place, json): the lines of a single JSON document with the whole result, in order of place.
 
-    For results of at most ``DOCUMENT_ITEMSETS`` itemsets; larger ones go to ``write_json``.
+    The first line opens the document, each itemset has a line, and the last one holds counts, statistics and
+    counters. So the document may have any size.
     """
-    if itemsets.limit(DOCUMENT_ITEMSETS + 1).count() > DOCUMENT_ITEMSETS:
-        raise ValueError(f"more than {DOCUMENT_ITEMSETS} itemsets: use write_json")
-    order = F.struct((-F.col("utility")).alias("place"), "itemset_name", "fields")
-    rows = result_rows(itemsets).withColumn(
-        "fields", F.struct("itemset", "itemset_name", "utility", "size", "transactions")
+    fields = F.to_json(F.struct("itemset", "itemset_name", "utility", "size", "transactions"))
+    lines = ranked(itemsets, workspace=workspace).select(
+        F.col("rank").alias("place"), F.concat(F.when(F.col("rank") > 1, ",").otherwise(""), fields).alias("json")
     )
-    listed = rows.agg(F.array_sort(F.collect_list(order))["fields"].alias("itemsets"))
-    stats = summary_stats(itemsets).select(F.struct("*").alias("stats"))
-    counted = counters.select(F.struct("*").alias("algorithm_stats"))
-    document = F.struct(
+    opening = F.struct(
         F.lit(True).alias("success"),
         F.lit(mode).alias("mode"),
-        F.lit(float(min_util)).alias("min_util"),
+        threshold(min_util).alias("min_util"),
         F.round(F.lit(elapsed_seconds).cast("double"), 4).alias("elapsed_seconds"),
+    )
+    spark = itemsets.sparkSession
+    first = spark.range(1).select(
+        F.lit(0).cast("bigint").alias("place"),
+        F.concat(F.rtrim(F.to_json(opening), F.lit("}")), F.lit(',"itemsets":[')).alias("json"),
+    )
+    stats = summary_stats(itemsets).select(F.struct("*").alias("stats"))
+    counted = counters.select(F.struct("*").alias("algorithm_stats"))
+    closing = F.struct(
         F.col("algorithm_stats.total_transactions").alias("total_transactions"),
         F.col("stats.count").alias("huis_found"),
-        "itemsets",
         "stats",
         "algorithm_stats",
     )
-    # Three tables of one row each, put side by side.
-    one = [df.withColumn("_row", F.lit(1)) for df in (listed, stats, counted)]
-    joined = one[0].join(one[1], "_row").join(one[2], "_row")
-    return joined.select(F.to_json(document, {"pretty": "true"}).alias("json"))
+    # Two tables of one row each, put side by side.
+    one = [df.withColumn("_row", F.lit(1)) for df in (stats, counted)]
+    last = one[0].join(one[1], "_row").select(
+        F.lit(_LAST).alias("place"), F.concat(F.lit("],"), F.ltrim(F.to_json(closing), F.lit("{"))).alias("json")
+    )
+    return first.unionByName(lines).unionByName(last)
+
+
+def write_document(document: DataFrame, path: str, mode: str = "error") -> None:
+    """Write the lines of ``result_document`` in order; the part files one after another are the document."""
+    document.orderBy("place").select("json").write.mode(mode).text(path)
 
 
 def report_entries(itemsets: DataFrame, workspace: Workspace | None = None) -> DataFrame:
@@ -78,7 +94,13 @@ def report_entries(itemsets: DataFrame, workspace: Workspace | None = None) -> D
     return ranked(itemsets, workspace=workspace).select("rank", entry.alias("entry"))
 
 
-def report_header(count: int, min_util, generated: str, elapsed_seconds: float | None = None) -> str:
+def report_header(
+    count: int, min_util, generated: str | datetime | None = None, elapsed_seconds: float | None = None
+) -> str:
+    """The report's first lines; ``generated`` is the time of the report, now unless given."""
+    generated = datetime.now() if generated is None else generated
+    if isinstance(generated, datetime):
+        generated = generated.strftime(STAMP)
     lines = [REPORT_TITLE, REPORT_DATE % generated, REPORT_MIN_UTIL % float(min_util)]
     if elapsed_seconds:
         lines.append(REPORT_TIME % elapsed_seconds)
@@ -89,7 +111,7 @@ def write_report(
     itemsets: DataFrame,
     path: str,
     min_util,
-    generated: str,
+    generated: str | datetime | None = None,
     elapsed_seconds: float | None = None,
     mode: str = "error",
 ) -> None:

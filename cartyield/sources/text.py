@@ -13,8 +13,8 @@ from ..plans.workspace import Workspace
 FIELD_SEPARATOR = ":"
 
 # White space besides the blank: what Unicode calls so, and four separators that count as such.
-_SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0 " + "".join(map(chr, range(0x2000, 0x200B)))
-_SPACES += "    　"
+_SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0" + "".join(map(chr, range(0x2000, 0x200B)))
+_SPACES += "\u1680\u2028\u2029\u202f\u205f\u3000"
 _NUMBER = r"[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
 _ITEM = rf"[^: ]+:[+-]?[0-9]+:{_NUMBER}"
 # A receipt: its first token opens no comment, another one follows, and some token is an item.

@@ -6,7 +6,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from cartyield import ENDPOINTS, EXACT, mine
-from cartyield.operators import mining
+from cartyield.operators import mining, results, twu, utility_list
 
 EXACT_AT_5 = {
     "{Beurre, Dattes, Oeufs}": (55, 1),
@@ -123,16 +123,9 @@ def test_every_way_of_running_gives_the_same(spark, monkeypatch):
     plain = found(mine(frame(spark, lines), limit, ENDPOINTS))
     shuffled = frame(spark, random.Random(0).sample(lines, len(lines))).repartition(5)
     assert found(mine(shuffled, limit)) == expected
-    for name, value in [
-        ("SPLIT_ITEMS", 2),
-        ("LAZY_LEVELS", 1),
-        ("LAZY_NODES", 1),
-        ("SIBLING_GAIN", -1.0),
-    ]:
-        monkeypatch.setattr(mining, name, value)
-        assert found(mine(frame(spark, lines), limit)) == expected, name
-        if name != "SIBLING_GAIN":
-            assert found(mine(frame(spark, lines), limit, ENDPOINTS)) == plain, name
+    monkeypatch.setattr(mining, "SPLIT_ITEMS", 2)
+    assert found(mine(frame(spark, lines), limit)) == expected
+    assert found(mine(frame(spark, lines), limit, ENDPOINTS)) == plain
 
 
 def test_without_broadcasts(spark):
@@ -188,11 +181,71 @@ def test_one_receipt_with_most_lines(spark, monkeypatch):
     assert found(mine(frame(spark, lines), limit)) == expected
 
 
-def test_only_small_tables_are_left(spark, items, tmp_path, monkeypatch):
-    monkeypatch.setattr(mining, "LAZY_LEVELS", 1)
+def test_only_small_tables_are_left(spark, items, tmp_path):
     workspace = mining.Workspace(spark)
     workspace.base = str(tmp_path / "run")
     run = mine(items, 5, workspace=workspace)
     left = {path.name.split("-", 1)[1] for path in (tmp_path / "run").iterdir()}
-    assert left == {"ranks", "nodes-1", "nodes-2", "nodes-3", "nodes-4"}
+    small = {"receipts", "twu", "ranks", "long-sums", "long-pairs"}
+    assert left == small | {"nodes-1", "nodes-2", "nodes-3", "nodes-4"}
     assert found(run) == EXACT_AT_5
+    workspace.close()
+    assert not (tmp_path / "run").exists()
+    assert not [t for t in spark.catalog.listTables() if workspace.id in t.name]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_sums_beyond_bigint(spark, ansi):
+    big = 5 * 10**18
+    lines = [(0, 0, "A", big), (1, 0, "A", big), (1, 1, "B", 7)]
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        for mode in (EXACT, ENDPOINTS):
+            run = mine(frame(spark, lines), 10, mode)
+            expected = {"{A}": (2 * big, 2), "{A, B}": (big + 7, 1)}
+            assert found(run) == expected
+            summary = results.summary_stats(run.itemsets).first()
+            assert summary["max_utility"] == 2 * big
+            assert summary["avg_utility"] == pytest.approx((3 * big + 7) / 2)
+        with pytest.raises(Exception, match="exceed BIGINT"):
+            mine(frame(spark, [(0, 0, "A", big), (0, 1, "B", big)]), 10)
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+@pytest.mark.parametrize("stated", [None, 0])
+def test_missing_stated_totals_are_added_up(spark, stated):
+    lines = spark.createDataFrame(
+        [(0, 0, "A", 50, stated), (0, 1, "B", 5, stated)],
+        "tid bigint, pos int, item string, utility bigint, total_utility bigint",
+    )
+    assert found(mine(lines, 10, ENDPOINTS)) == {"{A}": (50, 1), "{A, B}": (55, 1)}
+
+
+def test_counters_leave_out_what_mining_does(spark):
+    lines = spark.createDataFrame(
+        [(0, 0, "A", 9, 9), (1, 0, None, 9, 9), (None, 0, "B", 9, 9)],
+        "tid bigint, pos int, item string, utility bigint, total_utility bigint",
+    )
+    for mode in (EXACT, ENDPOINTS):
+        counters = mine(lines, 5, mode).stats().first()
+        assert counters["twu_candidates"] == counters["promising_items"] == 1
+        assert counters["total_transactions"] == 1
+
+
+def test_nothing_pruned_has_a_result(spark):
+    """With losses too, an item below the bound is the first of no itemset found."""
+    rng = random.Random(4)
+    names = "ABCDEF"
+    lines = [(t, n, i, rng.randint(-20, 20)) for t in range(15) for n, i in enumerate(rng.sample(names, 4))]
+    items = frame(spark, lines)
+    limit = 60
+    ranks = twu.item_rank(twu.twu(items), 1)
+    order = {r["item"]: r["rank"] for r in ranks.collect()}
+    sums = utility_list.itemset_sums(utility_list.build_utility_list(items, ranks))
+    pruned = {r["item"] for r in utility_list.prunable(sums, limit).collect()}
+    firsts = {
+        min(r["itemset"], key=order.get) for r in mine(items, limit).itemsets.collect()
+    }
+    assert firsts
+    assert not pruned & firsts

@@ -121,7 +121,11 @@ def test_json(spark, items, itemsets, tmp_path):
     assert {line["itemset_name"] for line in lines} == set(names(itemsets))
     assert json.loads(documents.json_lines(itemsets).first()["json"])["size"] == 3
     counters = mine(items, 5, ENDPOINTS).stats()
-    document = documents.result_document(itemsets, counters, 5, 0.5, "endpoints").first()["json"]
+    documents.write_document(
+        documents.result_document(itemsets, counters, 5, 0.5, "endpoints"), str(tmp_path / "document")
+    )
+    parts = sorted((tmp_path / "document").glob("part-*"))
+    document = "".join(part.read_text(encoding="utf-8") for part in parts)
     assert "\n" in document
     document = json.loads(document)
     assert document["huis_found"] == 7
@@ -136,10 +140,17 @@ def test_json(spark, items, itemsets, tmp_path):
     }
 
 
-def test_document_is_for_small_results(items, itemsets, monkeypatch):
-    monkeypatch.setattr(documents, "DOCUMENT_ITEMSETS", 3)
-    with pytest.raises(ValueError, match="write_json"):
-        documents.result_document(itemsets, itemsets, 5)
+def test_document_without_itemsets(itemsets, items):
+    none = itemsets.limit(0)
+    lines = documents.result_document(none, mine(items, 1000).stats(), 1000).orderBy("place").collect()
+    document = json.loads("".join(r["json"] for r in lines))
+    assert document["itemsets"] == []
+    assert document["huis_found"] == 0
+
+
+def test_report_stamp():
+    assert "Généré le : 20" in documents.report_header(1, 5)
+    assert "Généré le : 2026-06-26 01:45:19" in documents.report_header(1, 5, "2026-06-26 01:45:19")
 
 
 def test_report(spark, itemsets, tmp_path):
