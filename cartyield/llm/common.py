@@ -36,10 +36,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def identified(docs: DataFrame, workspace: Workspace, name: str = "_row") -> DataFrame:
-    """``docs`` stored with a number for each row, so that repeated and null ids stay apart."""
+def identified(docs: DataFrame, workspace: Workspace) -> tuple[DataFrame, str]:
+    """``docs`` stored with a number for each row, so that repeated and null ids stay apart, and its column."""
+    name, taken = "_row", {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
     numbered = docs.withColumn(name, F.monotonically_increasing_id())
-    return workspace.store(numbered, "documents")
+    return workspace.store(numbered, "documents"), name
 
 
 def remainder(doc_id: Column, modulus: int) -> Column:

@@ -62,6 +62,7 @@ def ngrams(text: str | None, settings: LanguageSettings) -> tuple[np.ndarray, np
     if not kept.any():
         return np.empty(0, np.int64), np.empty(0, np.int64)
     kept[1:] |= points[:-1] != 32
+    kept[0] = True
     points = points[kept]
     shift = np.uint32(32 - (settings.dimensions.bit_length() - 1))
     hashes, found = np.zeros(len(points), np.uint32), []
@@ -220,12 +221,14 @@ def identify_language(docs: DataFrame, model: LanguageModel, text_col: str = "te
     """
     kept = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score")]
     schema = docs.select(*kept).schema.add("lang_pred", "string").add("score", "double")
-    source = docs.select(F.col(text_col).alias("_text"), *[c for c in kept if c != text_col])
+    others = [c for c in kept if c != text_col]
+    source = docs.select(text_col, *others)
+    places = [0 if c == text_col else 1 + others.index(c) for c in kept]
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [model.predict(t.as_py()) for t in batch.column(0)]
-            passed = [batch.column("_text" if c == text_col else c) for c in kept]
+            passed = [batch.column(k) for k in places]
             names = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
             yield pa.RecordBatch.from_arrays(passed + names, names=schema.names)
 
