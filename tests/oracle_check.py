@@ -11,7 +11,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 import __spark_entry__ as contract  # noqa: E402
 
 TABLES = ("lineitem", "orders", "part")
-SQL_TYPES = {"bigint": "bigint", "int": "integer", "string": "varchar", "double": "double"}
+SQL_TYPES = {"boolean": "boolean", "bigint": "bigint", "int": "integer", "string": "varchar", "double": "double"}
 
 
 def normal(rows):
