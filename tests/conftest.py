@@ -6,6 +6,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
+# Fixed value: the sample receipts.
 FIXTURE = [
     "# Format: item:quantity:profit item:quantity:profit ... : total_utility",
     "Pain:1:1 Beurre:1:2 :3",

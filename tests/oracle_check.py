@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 import __spark_entry__ as contract  # noqa: E402
 
-TABLES = ("lineitem", "orders", "part")
+TABLES = ("lineitem", "orders", "part", "documents", "embeddings")
 SQL_TYPES = {"boolean": "boolean", "bigint": "bigint", "int": "integer", "string": "varchar", "double": "double"}
 
 
@@ -58,7 +58,7 @@ if __name__ == "__main__":
     )
     spark.sparkContext.setLogLevel("ERROR")
     db, failed = connect(folder), 0
-    for name in sys.argv[2:] or contract.queries():
+    for name in sys.argv[2:] or contract.oracle_sql():
         started = time.monotonic()
         try:
             problem = compare(spark, db, folder, name)

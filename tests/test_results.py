@@ -9,6 +9,7 @@ from cartyield.operators import results
 from cartyield.sinks import documents, tables
 from cartyield.streaming.twu import stream_twu
 
+# Fixed value: the report of the sample receipts.
 REPORT = """RAPPORT HUIM — High Utility Itemset Mining
 Généré le : 2026-06-26 01:45:19
 Seuil MinUtil : 5.0MRU
