@@ -195,7 +195,7 @@ def score_texts(
     docs: DataFrame,
     held: Column,
     orders: int = 2,
-    strength: float = 20.0,
+    strength: float = 40.0,
     added: float = 0.1,
     block_tokens: int = 1 << 20,
     id_col: str = "doc_id",
