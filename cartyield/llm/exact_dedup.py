@@ -21,12 +21,13 @@ class DigestIndex:
     Args:
         path: a folder every executor can reach.
         id_type: SQL type of the documents' ids.
-        buckets: number of buckets, fixed when the index is made. Some 200 MB a bucket is a good size.
+        buckets: number of buckets, fixed when the index is made; as many as shuffle partitions unless given.
     """
 
-    def __init__(self, spark: SparkSession, path: str, id_type: str = "bigint", buckets: int = 64):
+    def __init__(self, spark: SparkSession, path: str, id_type: str = "bigint", buckets: int | None = None):
         self.spark = spark
         self.path = path
+        buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.table = f"digest_index_{hashlib.md5(path.encode()).hexdigest()}"
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.table} (digest binary, keep_id {id_type}, group_size bigint) "

@@ -89,7 +89,10 @@ class LanguageModel:
     temperature: float = 1.0
 
     def features(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        found, counts = ngrams(text, self.settings)
+        return self.weighed(*ngrams(text, self.settings))
+
+    def weighed(self, found: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Features with their TF-IDF weights, scaled to length 1."""
         values = (1 + np.log(counts)) * self.idf[found]
         norm = np.sqrt(values @ values)
         return found, values / norm if norm else values
@@ -179,6 +182,21 @@ def _document_frequencies(texts: DataFrame, settings: LanguageSettings) -> tuple
     return frequencies[:-1], int(frequencies[-1])
 
 
+def _counted(rows: DataFrame, settings: LanguageSettings) -> DataFrame:
+    """(_hash, _lang, _tie, features, counts) of labelled texts."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.int32())
+        for batch in batches:
+            found = [ngrams(t.as_py(), settings) for t in batch.column(3)]
+            arrays = [pa.array([f[k].astype(np.int32) for f in found], kind) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays(batch.columns[:3] + arrays, names=names)
+
+    names = ["_hash", "_lang", "_tie", "features", "counts"]
+    used = rows.select("_hash", "_lang", F.xxhash64("_text").alias("_tie"), "_text")
+    return used.mapInArrow(count, "_hash bigint, _lang string, _tie bigint, features array<int>, counts array<int>")
+
+
 def train_language_model(labelled: DataFrame, settings: LanguageSettings | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
     """Fit the model to the rows of ``labelled`` that have a language.
 
@@ -190,18 +208,19 @@ def train_language_model(labelled: DataFrame, settings: LanguageSettings | None
         F.xxhash64(F.col(id_col).cast("string")).alias("_hash"), F.col(text_col).alias("_text"), F.col(lang_col).alias("_lang")
     )
     frequencies, total = _document_frequencies(rows.select("_text"), settings)
-    # The sample's edge is found on hashes alone, so only texts of the sample move.
+    # The sample's edge is found on hashes alone. Only n-gram counts of the sample leave the executors, at
+    # most one per dimension, however long a text is.
     edge = rows.select("_hash").orderBy("_hash").limit(settings.max_train).agg(F.max("_hash")).first()[0]
     sample = []
     if edge is not None:
-        sample = rows.filter(F.col("_hash") <= edge).orderBy("_hash", "_lang", F.xxhash64("_text")).limit(settings.max_train).collect()
+        sample = _counted(rows.filter(F.col("_hash") <= edge), settings).orderBy("_hash", "_lang", "_tie").limit(settings.max_train).collect()
     languages = sorted({r["_lang"] for r in sample})
     idf = np.log((1 + total) / (1 + frequencies)) + 1
     model = LanguageModel(settings, languages, idf, np.zeros((0, 0)), np.zeros(0))
     known = []
     for row in sample:
-        features, values = model.features(row["_text"])
-        if len(features):
+        if row["features"]:
+            features, values = model.weighed(np.array(row["features"]), np.array(row["counts"]))
             known.append((features, values, languages.index(row["_lang"])))
     if not known:
         model.languages = []
