@@ -197,7 +197,7 @@ def test_only_small_tables_are_left(spark, items, tmp_path):
 @pytest.mark.parametrize("ansi", ["true", "false"])
 def test_sums_beyond_bigint(spark, ansi):
     big = 5 * 10**18
-    lines = [(0, 0, "A", big), (1, 0, "A", big), (1, 1, "B", 7)]
+    lines = [(0, 0, "A", big), (1, 1, "A", big), (1, 0, "B", 7)]
     spark.conf.set("spark.sql.ansi.enabled", ansi)
     try:
         for mode in (EXACT, ENDPOINTS):
