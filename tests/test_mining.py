@@ -239,7 +239,7 @@ def test_nothing_pruned_has_a_result(spark):
     names = "ABCDEF"
     lines = [(t, n, i, rng.randint(-20, 20)) for t in range(15) for n, i in enumerate(rng.sample(names, 4))]
     items = frame(spark, lines)
-    limit = 60
+    limit = 30
     ranks = twu.item_rank(twu.twu(items), 1)
     order = {r["item"]: r["rank"] for r in ranks.collect()}
     sums = utility_list.itemset_sums(utility_list.build_utility_list(items, ranks))
@@ -247,5 +247,5 @@ def test_nothing_pruned_has_a_result(spark):
     firsts = {
         min(r["itemset"], key=order.get) for r in mine(items, limit).itemsets.collect()
     }
-    assert firsts
+    assert firsts and pruned
     assert not pruned & firsts
