@@ -81,6 +81,8 @@ def exact_dedup(
     groups = hashed.groupBy("digest").agg(
         F.max("_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")
     )
+    # Stored, since the optimizer would else compare all rows with the index before they are grouped.
+    groups = workspace.store(groups, "groups")
     fresh = None if new_index else workspace.store(index.unseen(groups).select("digest", F.lit(True).alias("_new")), "new")
     index.append(groups)
     marked = hashed.join(index.entries(), "digest")
