@@ -6,6 +6,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,12 +38,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def identified(docs: DataFrame, workspace: Workspace) -> tuple[DataFrame, str]:
-    """``docs`` stored with a number for each row, so that repeated and null ids stay apart, and its column."""
+    """``docs`` with an identity for each row, so that repeated and null ids stay apart, and its column.
+
+    Rows of files are known by their file and place in it, which any later scan finds again. Others are
+    stored with numbers first.
+    """
     name, taken = "_row", {c.lower() for c in docs.columns}
     while name in taken:
         name += "_"
-    numbered = docs.withColumn(name, F.monotonically_increasing_id())
-    return workspace.store(numbered, "documents"), name
+    try:
+        metadata = docs.metadataColumn("_metadata")
+        return docs.withColumn(name, F.struct(metadata["file_path"], metadata["row_index"])), name
+    except AnalysisException:
+        numbered = docs.withColumn(name, F.struct(F.monotonically_increasing_id()))
+        return workspace.store(numbered, "documents"), name
 
 
 def remainder(doc_id: Column, modulus: int) -> Column:

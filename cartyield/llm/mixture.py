@@ -74,7 +74,7 @@ def landing(sizes: np.ndarray, chances: np.ndarray) -> np.ndarray:
 
 def _fly(key: tuple, group: pa.Table) -> pa.Table:
     """One block: a row per document with its probability after the flight."""
-    group = group.take(pc.sort_indices(group, sort_keys=[("size", "ascending"), ("_id", "ascending")]))
+    group = group.take(pc.sort_indices(group, sort_keys=[("size", "ascending"), ("_key", "ascending")]))
     sizes = group["size"].to_numpy().astype(float)
     # The order of the flight is random, but the same whenever this block is seen again.
     random = np.random.default_rng(zlib.crc32(repr([k.as_py() for k in key]).encode()))
@@ -87,7 +87,7 @@ def _fly(key: tuple, group: pa.Table) -> pa.Table:
 
 
 def cube_sample(units: DataFrame, workspace: Workspace, block: int = 1024) -> DataFrame:
-    """``units`` (_id, stratum, size, chance) with ``picked`` 0 or 1 for each, balanced by stratum.
+    """``units`` (_id, _key, stratum, size, chance) with ``picked`` 0 or 1 for each, balanced by stratum.
 
     Per stratum the picked units and their sizes add up to the sums of the chances, alone and
     weighted by size, but for what the landing of two units makes.
@@ -99,7 +99,7 @@ def cube_sample(units: DataFrame, workspace: Workspace, block: int = 1024) -> Da
             undecided.groupBy("stratum").agg(F.ceil(F.count(F.lit(1)) / block).alias("blocks")), f"blocks-{level}"
         )
         placed = undecided.join(counts, "stratum").withColumn(
-            "block", F.pmod(F.xxhash64(F.lit(level), "_id", "size"), F.col("blocks"))
+            "block", F.pmod(F.xxhash64(F.lit(level), "_key", "size"), F.col("blocks"))
         )
         schema = placed.schema
         flown = placed.groupBy("stratum", "block", F.lit(level).alias("level")).applyInArrow(_fly, schema)
@@ -155,19 +155,23 @@ def mix_sources(
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
+    key_col: str | None = None,
     workspace: Workspace | None = None,
 ) -> DataFrame:
     """(id, size, source_size, target, copies, taken), one row per row of ``docs``.
 
     ``size`` is the number of words (null and empty texts: 0), ``copies`` how often the mix takes the
     document, at most ``most`` rounded up, and ``taken`` the words of these copies. A null source is a
-    source of its own, last in order. The same rows give the same result whatever their order; rows
-    alike in id and size are told apart at random. Other columns are not looked at; no rows give none.
+    source of its own, last in order. The same rows give the same result whatever their order; chance goes by
+    ``key_col``, the id unless given, and rows alike in key and size are told apart at random. Other columns are not looked at; no rows give none.
     """
     workspace = workspace_for(docs, workspace)
     sized = workspace.store(
         docs.select(
-            F.col(id_col).alias("_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")
+            F.col(id_col).alias("_id"),
+            F.col(key_col or id_col).alias("_key"),
+            F.col(source_col).alias("source"),
+            word_count(F.col(text_col)).alias("size")
         ),
         "sizes",
     )
@@ -178,7 +182,7 @@ def mix_sources(
     targets = targets.withColumn("rate", rate).withColumn("stratum", F.struct("source"))
     targets = workspace.store(targets, "targets")
     units = sized.withColumn("stratum", F.struct("source")).join(targets.drop("source"), "stratum")
-    units = units.select("_id", "stratum", "size", (F.col("rate") - F.floor("rate")).alias("chance"))
+    units = units.select("_id", "_key", "stratum", "size", (F.col("rate") - F.floor("rate")).alias("chance"))
     picked = cube_sample(units, workspace)
     copies = (F.floor("rate") + F.col("picked")).cast("bigint")
     return picked.join(targets.drop("source"), "stratum").select(

@@ -162,7 +162,8 @@ def pack_documents(
             found = [pa.array(first_bin + ahead // each), pa.array(offset + ahead % each * length)]
             yield pa.RecordBatch.from_arrays(batch.columns[:-1] + found, names=names)
 
-    numbered = cut.join(bases.drop("met"), ["part", "length"]).select(
+    # The counts by task and length grow with the documents, so they are not to be broadcast.
+    numbered = cut.join(bases.drop("met").hint("merge"), ["part", "length"]).select(
         F.col("_id").alias(id_col), "piece", "start", "length", "ids_crc32", (F.col("base") + F.col("place")).alias("_number")
     )
     schema = numbered.drop("_number").schema.add("sequence_id", "long").add("offset", "long")
