@@ -35,31 +35,44 @@ class _Memory(dict):
         return value
 
 
+class _Symbols(dict):
+    """What stands for a character in the vocabulary, for ``str.translate``."""
+
+    def __init__(self, split):
+        super().__init__()
+        self.split = split
+
+    def __missing__(self, point: int) -> str:
+        self[point] = symbol = "".join(part for part, _ in self.split(chr(point)))
+        return symbol
+
+
 class TextEncoder:
     """Ids of whole texts as the vocabulary file gives them, without special tokens added.
 
     What the vocabulary allows is tried out on probes. Where it drops white space, the ids of a text are
     those of its words one after another, and words met before are looked up. Where it also lowers
     letters and parts them from punctuation, words of letters are looked up in lower case and apart from the
-    full stop or comma after them. Otherwise texts or words are encoded in one piece.
+    full stop or comma after them, and go to the model without normalizing. Otherwise texts or words are encoded in one piece.
     """
 
-    def __init__(self, path: str, limit: int = 1 << 18):
+    def __init__(self, path: str, limit: int = 1 << 19):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
         self._encode, self._model = tokenizer.encode, tokenizer.model.tokenize
+        self._words = _Memory(self._word, limit)
         encode = self._whole
         self._by_word = encode(" \t\n\v\f\r") == b"" and encode("a b\nc") == encode("a") + encode("b") + encode("c")
         cases = (("Quartz", "quartz"), ("ÉTÉ", "été"), ("Straße", "straße"), ("QUEUE", "queue"))
         self._by_piece = self._by_word and all(
             encode(x + mark) == encode(y) + encode(mark) for x, y in cases for mark in ".,"
         )
-        plain = ("quartz", "the", "internationalisation", "zzzxq")
-        self._by_model = self._by_piece and all(encode(x) == self._ids(self._model(x)) for x in plain)
-        self._pieces = _Memory(self._piece, limit)
-        self._words = _Memory(self._word, limit)
+        if self._by_piece:
+            self._symbols = _Symbols(tokenizer.pre_tokenizer.pre_tokenize_str)
+            plain = ("quartz", "the", "internationalisation", "zzzxq", "été", "straße", "ñandú", "ªºµ")
+            self._by_model = all(encode(x) == self._piece(x) for x in plain)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self._encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -68,8 +81,10 @@ class TextEncoder:
     def _ids(tokens: list) -> bytes:
         return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
 
+    _by_model = True
+
     def _piece(self, letters: str) -> bytes:
-        return self._ids(self._model(letters)) if self._by_model and letters.isascii() else self._whole(letters)
+        return self._ids(self._model(letters.translate(self._symbols))) if self._by_model else self._whole(letters)
 
     def _word(self, word: bytes) -> bytes:
         text = word.decode()
@@ -78,8 +93,11 @@ class TextEncoder:
             letters = text[:-1] if mark else text
             # Up to here in Unicode, lower case is one letter for one and there is nothing to compose.
             if letters.isalpha() and max(letters) < "\u0100":
-                ids = self._pieces[letters.lower()]
-                return ids + self._pieces[mark] if mark else ids
+                lower = letters.lower()
+                if not mark and lower == text:
+                    return self._piece(text)
+                ids = self._words[lower.encode()]
+                return ids + self._words[mark.encode()] if mark else ids
         return self._whole(text)
 
     def __call__(self, text: str | None) -> bytes:
