@@ -8,6 +8,7 @@ document, and its probabilities are then calibrated by one temperature on rows i
 from __future__ import annotations
 
 import functools
+import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,13 +24,15 @@ UNDETERMINED = "und"
 class LanguageSettings:
     """Parameters of the model.
 
-    ``max_train`` bounds the labelled rows the classifier is fitted on; they are those with the
-    smallest hash of their id. Everything else covers all rows.
+    The classifier is fitted on some ``max_train`` of the labelled rows with letters. Each language has its share of
+    them, but ``least_train`` rows at least, or all it has: those with the smallest hashes of id and text, rows
+    alike in both once. Everything else covers all rows.
     """
 
     orders: tuple[int, ...] = (1, 2, 3)
     dimensions: int = 1 << 15
     max_train: int = 3000
+    least_train: int = 50
     passes: int = 3
     alpha: float = 0.5
     beta: float = 1.0
@@ -182,51 +185,93 @@ def _document_frequencies(texts: DataFrame, settings: LanguageSettings) -> tuple
     return frequencies[:-1], int(frequencies[-1])
 
 
-def _counted(rows: DataFrame, settings: LanguageSettings) -> DataFrame:
-    """(_hash, _lang, _tie, features, counts) of labelled texts."""
+def _quotas(counts: dict[str, int], settings: LanguageSettings) -> dict[str, int]:
+    """How many rows of each language the classifier is fitted on."""
+    total = sum(counts.values())
+    if total <= settings.max_train:
+        return counts
+    return {k: min(n, max(settings.max_train * n // total, settings.least_train)) for k, n in counts.items()}
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.int32())
-        for batch in batches:
-            found = [ngrams(t.as_py(), settings) for t in batch.column(3)]
-            arrays = [pa.array([f[k].astype(np.int32) for f in found], kind) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays(batch.columns[:3] + arrays, names=names)
 
-    names = ["_hash", "_lang", "_tie", "features", "counts"]
-    used = rows.select("_hash", "_lang", F.xxhash64("_text").alias("_tie"), "_text")
-    return used.mapInArrow(count, "_hash bigint, _lang string, _tie bigint, features array<int>, counts array<int>")
+def _sample(rows: DataFrame, settings: LanguageSettings) -> list[tuple[int, str, list[int], list[int]]]:
+    """(hash, language, features, counts) of the rows with the smallest hashes of each language, by hash.
+
+    Hashes are first counted by language in 2^12 ranges; only rows up to the range where a language has enough
+    are looked at. Each partition then passes on no more rows of a language than are wanted.
+    """
+    place = F.shiftright("_hash", 52)
+    ranges: dict[str, dict[int, int]] = {}
+    for language, k, n in rows.select("_lang", "_hash").distinct().groupBy("_lang", place).count().collect():
+        ranges.setdefault(language, {})[k] = n
+    if not ranges:
+        return []
+    quotas = _quotas({language: sum(found.values()) for language, found in ranges.items()}, settings)
+    edges = []
+    for language, found in ranges.items():
+        seen = 0
+        for k in sorted(found):
+            seen += found[k]
+            if seen >= quotas[language]:
+                break
+        edges.append((language, k))
+
+    def smallest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list] = {}
+        known = set()
+        for batch in batches:
+            for number, language, text in zip(*(batch.column(k) for k in range(3))):
+                number, language = number.as_py(), language.as_py()
+                heap = held.setdefault(language, [])
+                if (number, language) in known or len(heap) == quotas[language] and number >= -heap[0][0]:
+                    continue
+                known.add((number, language))
+                item = (-number, [x.astype(np.int32) for x in ngrams(text.as_py(), settings)])
+                # Hashes in a heap differ, so arrays are never compared.
+                heapq.heappush(heap, item) if len(heap) < quotas[language] else heapq.heapreplace(heap, item)
+        kind = pa.list_(pa.int32())
+        for language, heap in held.items():
+            arrays = [pa.array([-h for h, _ in heap], pa.int64()), pa.array([language] * len(heap), pa.string())]
+            arrays += [pa.array([found[k] for _, found in heap], kind) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["_hash", "_lang", "features", "counts"])
+
+    edges = rows.sparkSession.createDataFrame(edges, "_lang string, _edge int")
+    # One row per language.
+    near = rows.join(F.broadcast(edges), "_lang").filter(place <= F.col("_edge")).select("_hash", "_lang", "_text")
+    found = near.mapInArrow(smallest, "_hash bigint, _lang string, features array<int>, counts array<int>").collect()
+    taken: dict[str, int] = {}
+    sample = []
+    for key, row in sorted({(r["_hash"], r["_lang"]): r for r in found}.items()):
+        taken[key[1]] = taken.get(key[1], 0) + 1
+        if taken[key[1]] <= quotas[key[1]]:
+            sample.append((*key, row["features"], row["counts"]))
+    return sample
 
 
 def train_language_model(labelled: DataFrame, settings: LanguageSettings | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
     """Fit the model to the rows of ``labelled`` that have a language.
 
-    Rows without a language or a letter teach nothing. Without any row left, the model has no
-    language and predicts ``und``.
+    Every language is learned, however rare it is: the sample is filled for each on its own. Rows without a
+    language or a letter teach nothing. Without any row left, the model has no language and predicts ``und``.
     """
     settings = settings or LanguageSettings()
     rows = labelled.filter(F.col(lang_col).isNotNull()).select(
-        F.xxhash64(F.col(id_col).cast("string")).alias("_hash"), F.col(text_col).alias("_text"), F.col(lang_col).alias("_lang")
+        F.xxhash64(F.col(id_col).cast("string"), F.col(text_col)).alias("_hash"), F.col(text_col).alias("_text"), F.col(lang_col).alias("_lang")
     )
     frequencies, total = _document_frequencies(rows.select("_text"), settings)
-    # The sample's edge is found on hashes alone. Only n-gram counts of the sample leave the executors, at
-    # most one per dimension, however long a text is.
-    edge = rows.select("_hash").orderBy("_hash").limit(settings.max_train).agg(F.max("_hash")).first()[0]
-    sample = []
-    if edge is not None:
-        sample = _counted(rows.filter(F.col("_hash") <= edge), settings).orderBy("_hash", "_lang", "_tie").limit(settings.max_train).collect()
-    languages = sorted({r["_lang"] for r in sample})
+    # Only n-gram counts of the sample leave the executors, at most one per dimension, however long a text is.
+    sample = [r for r in _sample(rows.filter(F.regexp_like("_text", F.lit(r"\p{L}"))), settings) if r[2]]
+    languages = sorted({r[1] for r in sample})
     idf = np.log((1 + total) / (1 + frequencies)) + 1
     model = LanguageModel(settings, languages, idf, np.zeros((0, 0)), np.zeros(0))
-    known = []
-    for row in sample:
-        if row["features"]:
-            features, values = model.weighed(np.array(row["features"]), np.array(row["counts"]))
-            known.append((features, values, languages.index(row["_lang"])))
-    if not known:
-        model.languages = []
+    if not sample:
         return model
-    held, used = known[::5], [r for k, r in enumerate(known) if k % 5]
-    fit_ftrl(model, used or known)
+    # A language's every fifth row is held back, so that each has rows to be learned from.
+    used, held, met = [], [], dict.fromkeys(languages, 0)
+    for _, language, features, counts in sample:
+        met[language] += 1
+        features, values = model.weighed(np.array(features), np.array(counts))
+        (used if met[language] % 5 else held).append((features, values, languages.index(language)))
+    fit_ftrl(model, used)
     logits = np.array([values @ model.weights[features] + model.bias for features, values, _ in held])
     model.temperature = fit_temperature(logits, np.array([r[2] for r in held]))
     return model

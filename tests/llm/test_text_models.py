@@ -286,3 +286,20 @@ def test_personal_data_in_documents(spark, field):
     assert len(clean) == len(odd_documents())
     assert not any(r["spans"] for r in clean)
     assert pii.find_pii(odd_frame(spark, []), field).count() == 0
+
+
+def test_rare_languages_are_learned(spark):
+    """Two languages in some 1,000 rows, of which a sample of 100 by hash alone has none; rows without letters take no place."""
+    rows = [(k, f"{a} {b} {a}", "aa") for k, (a, b) in enumerate((f"bada{i % 7}k", f"gado{i % 5}m") for i in range(900))]
+    rows += [(2000 + k, "12 3", "aa") for k in range(300)]
+    rows += [(3000 + k, "zyxw wxyz vuvu zzyx", "rare") for k in range(3)] + [(None, "qqrr rrqq qrqr", "once")] * 2
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(5)
+    settings = langid.LanguageSettings(max_train=100)
+    model = langid.train_language_model(frame, settings)
+    assert model.languages == ["aa", "once", "rare"]
+    assert [model.predict(t)[0] for t in ("zyxw wxyz", "bada gado")] == ["rare", "aa"]
+    lettered = frame.selectExpr("xxhash64(cast(doc_id as string), text) _hash", "text _text", "lang _lang").filter("_text <> '12 3'")
+    sample = langid._sample(lettered, settings)
+    for lang, n in {"aa": 99, "rare": 3, "once": 1}.items():
+        hashes = sorted({r["_hash"] for r in lettered.filter(lettered["_lang"] == lang).collect()})
+        assert [r[0] for r in sample if r[1] == lang] == hashes[:n]
