@@ -1,17 +1,18 @@
 """High-utility itemset mining, level by level, as Spark jobs.
 
 Level k holds the itemsets of k items. An itemset is a ``prefix``, the itemset without its last
-item in search order, and that ``last`` item's rank. Each receipt holding it has a row: ``iu`` is
-the utility of the itemset there, ``ru`` what later items can still add. Per level:
+item in search order, and that ``last`` item's rank. Receipts are held as arrays, projected to what is left after an
+itemset (see ``projection``). Per level:
 
-1. rows of extendable itemsets meet the single items of their receipt that rank later;
+1. projected receipts yield a row per later item;
 2. the sums over all receipts tell which of the new itemsets are results and which can be extended.
-   The join feeds the map-side aggregation directly, so its rows are neither shuffled nor written;
-3. only rows of extendable itemsets are written, and the next level starts from these.
+   The rows go directly into the map-side aggregation, so they are neither shuffled nor written;
+3. receipts are projected to the extendable itemsets. Every few levels those in which the same items are left become one
+   row, and what results is stored.
 
-The input is read once: lines, utility lists and rows are stored clustered by receipt, so receipt totals,
-windows and the joins of a level shuffle nothing. What is shuffled per level are sums by itemset. Only receipts with very many
-items are dealt out over several keys.
+The input is read once: lines and utility lists are stored clustered by receipt, so receipt totals, windows and arrays shuffle
+nothing. What is shuffled per level are sums by itemset, and by itemset and remaining items. Receipts with very many
+items are not held as arrays: their rows are joined, dealt out over several keys.
 """
 
 from __future__ import annotations
@@ -20,19 +21,25 @@ from dataclasses import dataclass
 from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.itemsets import itemset_name
-from ..functions.units import from_units, threshold_units, total
+from ..functions.units import TOTAL, from_units, threshold_units, total
 from ..plans.workspace import Workspace, workspace_for
+from . import projection
 from .ordering import dense_index
 from .twu import promising_items, receipt_totals, twu_sums, unit_lines
-from .utility_list import gain, upper_bound, utility_list
+from .utility_list import gain, segmented_utility_list, upper_bound, utility_list
 
-# The items of a receipt that are joined in one task; those of a larger one are dealt out over several.
+# Longer receipts are not held as arrays but joined, each dealt out over tasks by so many items.
 SPLIT_ITEMS = 1024
+# Receipts are projected from the last stored ones, so many levels further, before they are merged and stored again: a level
+# by itself is less work than writing it.
+STORE_EVERY = 4
+# Sums of which no part can exceed BIGINT.
+_SAFE = Decimal(1 << 60)
 
 
 @dataclass(frozen=True)
@@ -90,13 +97,17 @@ class Mining:
             promising.alias("utility_lists_built"),
             (promising + one(below, visited)).alias("dfs_nodes_explored"),
             one(self.nodes.filter("found"), count).alias("huis_found"),
-            one(self.receipts, count).alias("total_transactions"),
+            one(self.receipts, F.sum("receipts")).alias("total_transactions"),
         )
 
 
-def _utility_rows(lines: DataFrame, ranks: DataFrame, mode: Mode) -> DataFrame:
-    """(tid, rank, u, ru, reach, receipt_items) in BIGINT units, of the promising items."""
-    entries = utility_list(lines, ranks, "rank" if mode.exact else "position", whole=True)
+def _utility_rows(lines: DataFrame, ranks: DataFrame, mode: Mode, ws: Workspace | None = None) -> DataFrame:
+    """(tid, rank, u, ru, reach, receipt_items) in BIGINT units, of the promising items; with ``ws``, of long receipts."""
+    order = "rank" if mode.exact else "position"
+    if ws:
+        entries = segmented_utility_list(lines, ranks, order, whole=True, workspace=ws)
+    else:
+        entries = utility_list(lines, ranks, order, whole=True)
     return entries.select("tid", "rank", F.col("iu").alias("u"), "ru", "reach", "receipt_items")
 
 
@@ -111,30 +122,45 @@ def _single_candidates(rows: DataFrame) -> DataFrame:
         "ru",
         "reach",
         "receipt_items",
+        F.lit(1).cast("bigint").alias("n"),
+        F.col("reach").alias("whole"),
     )
 
 
-def _node_sums(candidates: DataFrame, mode: Mode, limit: int) -> DataFrame:
+def _node_sums(candidates: DataFrame, mode: Mode, limit: int, safe: bool, beside: int = 0) -> DataFrame:
     """Candidate itemsets with their sums over all receipts.
 
     ``reach`` of a row is what the whole branch of the prefix could earn in that receipt. Its sum
-    bounds every itemset of the branch that holds the last item, at whatever place.
+    bounds every itemset of the branch that holds the last item, at whatever place. The sum of ``whole``, which only
+    pairs have, and of ``beside``, what receipts contribute of which not all pairs are made, bounds every itemset that holds
+    the pair. ``safe`` says that BIGINT holds all sums.
     """
+
+    def added(value: Column | str) -> Column:
+        return F.sum(value).cast(TOTAL) if safe else total(value)
+
+    least = F.lit(Decimal(limit))
+    bounds = {"bound": upper_bound(signed=not mode.exact)}
+    if mode.exact:
+        bounds["reach"] = "reach"
+        if "whole" in candidates.columns:
+            bounds["whole"] = "whole"
     sums = candidates.groupBy("prefix", "last").agg(
-        total("iu").alias("utility"),
-        total(upper_bound(signed=not mode.exact)).alias("bound"),
-        total("reach").alias("reach"),
-        F.count(F.lit(1)).alias("transactions"),
+        added("iu").alias("utility"), *(added(v).alias(k) for k, v in bounds.items()), F.sum("n").alias("transactions")
     )
-    least = F.lit(Decimal(limit))
+
+    def enough(bound: str, more: int = 0) -> Column:
+        return F.col(bound) >= F.lit(Decimal(limit - more)) if bound in bounds else F.lit(False)
+
     return sums.select(
         "prefix",
         "last",
         "utility",
         "transactions",
         (F.col("utility") >= least).alias("found"),
-        (F.col("bound") >= least).alias("extendable"),
-        ((F.col("reach") >= least) if mode.exact else F.lit(False)).alias("joinable"),
+        enough("bound").alias("extendable"),
+        enough("reach").alias("joinable"),
+        enough("whole", beside).alias("paired"),
     )
 
 
@@ -144,32 +170,32 @@ def _extendable_rows(candidates: DataFrame, nodes: DataFrame) -> DataFrame:
     return candidates.join(extendable, ["prefix", "last"])
 
 
-def _long() -> Column:
-    return F.col("receipt_items") > SPLIT_ITEMS
-
-
-def _extend(parents: DataFrame, rows: DataFrame, siblings: DataFrame | None, mode: Mode) -> DataFrame:
-    """Candidate rows one item larger: each row of a parent with the receipt's later items.
+def _extend(
+    parents: DataFrame, rows: DataFrame, siblings: DataFrame | None, mode: Mode, pairs: DataFrame | None = None
+) -> DataFrame:
+    """Candidate rows one item larger of long receipts: each row of a parent with the receipt's later items.
 
     ``siblings`` are the joinable itemsets of the parents' level: a parent takes on only items
-    that its own prefix can be usefully joined with. The items of a long receipt are dealt out over
-    several join keys and its parents to each of them, so that no task has to pair up a whole receipt.
+    that its own prefix can be usefully joined with, and whose pair with its last item is among ``pairs``. The items of a receipt are
+    dealt out over several join keys and its parents to each of them, so that no task has to pair up a whole receipt.
     (Pairs of single items are first thinned out, see below.)
     """
     left = parents.select(
-        "tid", "prefix", "node", "last", "iu", "head", F.col("ru").alias("ru_parent"), "receipt_items"
+        "tid", "prefix", "node", "last", "iu", "head", F.col("ru").alias("ru_parent"), "receipt_items", "n"
     )
     right = rows.select("tid", "rank", "u", "ru", "receipt_items")
-    short = left.filter(~_long()).join(right.filter(~_long()).drop("receipt_items"), "tid")
     parts = F.ceil(F.col("receipt_items") / SPLIT_ITEMS).cast("int")
-    left = left.filter(_long()).withColumn("part", F.explode(F.sequence(F.lit(1), parts)))
-    right = right.filter(_long()).withColumn("part", F.pmod(F.hash("rank"), parts) + 1)
+    left = left.withColumn("part", F.explode(F.sequence(F.lit(1), parts)))
+    right = right.withColumn("part", F.pmod(F.hash("rank"), parts) + 1)
     dealt = left.join(right.drop("receipt_items"), ["tid", "part"]).drop("part")
-    larger = short.unionByName(dealt).filter(F.col("rank") > F.col("last"))
+    larger = dealt.filter(F.col("rank") > F.col("last"))
     if siblings is not None:
         larger = larger.join(
             siblings.select("prefix", F.col("last").alias("rank")), ["prefix", "rank"], "left_semi"
         )
+    if pairs is not None:
+        pairs = pairs.select(F.col("before").alias("last"), F.col("last").alias("rank"))
+        larger = larger.join(pairs, ["last", "rank"], "left_semi")
     return _as_candidates(larger, mode)
 
 
@@ -184,41 +210,39 @@ def _as_candidates(larger: DataFrame, mode: Mode) -> DataFrame:
         "ru",
         gain(F.col("iu") + F.col("ru_parent")).alias("reach"),
         "receipt_items",
+        "n",
+        # Not all pairs of long receipts are made, so these are counted as a whole.
+        F.lit(0).cast("bigint").alias("whole"),
     )
 
 
-def _pairs(parents: DataFrame, rows: DataFrame, limit: int, ws: Workspace) -> DataFrame:
-    """Candidate rows of pairs, without pairing up every long receipt. Exact mode only.
+def _long_pairs(parents: DataFrame, rows: DataFrame, short: DataFrame, limit: int, ws: Workspace) -> DataFrame:
+    """Candidate rows of pairs in long receipts, without pairing up every one of them. Exact mode only.
 
     In the long receipts a pair {x, y} can earn at most what x and all after it earn there. Where
-    that stays below the threshold, the pair needs the other receipts: it is made in the long ones
+    that stays below the threshold, the pair needs the other receipts, whose candidate rows are ``short``: it is made in the long ones
     only if the sum of both still reaches the threshold, and found there by its two items.
     """
     least = F.lit(Decimal(limit))
-    short_parents, short_rows = parents.filter(~_long()), rows.filter(~_long())
-    long_parents, long_rows = parents.filter(_long()), rows.filter(_long())
-
-    alone = long_parents.groupBy("node").agg(total(upper_bound()).alias("alone"))
+    alone = parents.groupBy("node").agg(total(upper_bound()).alias("alone"))
     alone = ws.store(alone, "long-sums")
     wanting = alone.filter(F.col("alone") < least)
     # Only items that long receipts hold need their pairs counted beforehand.
-    others = short_parents.join(wanting.select("node"), "node", "left_semi")
-    elsewhere = _extend(others, short_rows, None, EXACT).groupBy("prefix", "last")
-    elsewhere = elsewhere.agg(total("reach").alias("elsewhere"))
+    others = short.join(wanting.select(F.col("node").alias("prefix")), "prefix", "left_semi")
+    elsewhere = others.groupBy("prefix", "last").agg(total("reach").alias("elsewhere"))
     needed = elsewhere.join(wanting, F.col("prefix") == F.col("node")).filter(
         F.col("elsewhere") + F.col("alone") >= least
     )
     needed = ws.store(needed.select("node", F.col("last").alias("rank")), "long-pairs")
 
     enough = alone.filter(F.col("alone") >= least).select("node")
-    every = _extend(long_parents.join(enough, "node", "left_semi"), long_rows, None, EXACT)
+    every = _extend(parents.join(enough, "node", "left_semi"), rows, None, EXACT)
     some = (
-        long_parents.withColumnRenamed("ru", "ru_parent")
+        parents.withColumnRenamed("ru", "ru_parent")
         .join(needed, "node")
-        .join(long_rows.select("tid", "rank", "u", "ru"), ["tid", "rank"])
+        .join(rows.select("tid", "rank", "u", "ru"), ["tid", "rank"])
     )
-    short = _extend(short_parents, short_rows, None, EXACT)
-    return short.unionByName(every).unionByName(_as_candidates(some, EXACT))
+    return every.unionByName(_as_candidates(some, EXACT))
 
 
 def _named(nodes: DataFrame, ranks: DataFrame, dtype: T.DataType) -> DataFrame:
@@ -246,14 +270,14 @@ def _search_order(twu: DataFrame, limit: int, ws: Workspace) -> DataFrame:
 
 
 def _store_nodes(
-    candidates: DataFrame, levels: list[DataFrame], mode: Mode, limit: int, ws: Workspace
-) -> tuple[DataFrame, Row]:
-    """Write a level's itemsets that are of further use; also return how many there are."""
+    candidates: DataFrame, levels: list[DataFrame], mode: Mode, limit: int, safe: bool, ws: Workspace, beside: int = 0
+) -> tuple[DataFrame, bool]:
+    """Write a level's itemsets that are of further use; also tell whether any can be extended."""
     level = len(levels) + 1
-    sums = _node_sums(candidates, mode, limit)
-    useful = sums.filter("found or extendable or joinable")
+    sums = _node_sums(candidates, mode, limit, safe, beside)
+    useful = sums.filter("found or extendable or joinable or paired")
     if levels:
-        parents = levels[-1].filter("extendable").select(
+        parents = levels[-1].select(
             F.col("node").alias("prefix"), F.col("ranks").alias("before")
         )
         useful = useful.join(parents, "prefix").withColumn(
@@ -262,11 +286,10 @@ def _store_nodes(
     else:
         useful = useful.withColumn("ranks", F.array("last"))
     numbered = useful.withColumn("node", F.monotonically_increasing_id())
-    nodes = ws.store(numbered, f"nodes-{level}")
-    counts = nodes.agg(
-        F.count_if("extendable").alias("extendable"), F.count_if("joinable").alias("joinable")
-    )
-    return nodes, counts.first()
+    # Counted while they are written.
+    seen = Observation()
+    nodes = ws.store(numbered.observe(seen, F.count_if("extendable").alias("extendable")), f"nodes-{level}")
+    return nodes, seen.get["extendable"] > 0
 
 
 def mine(
@@ -290,37 +313,88 @@ def mine(
 
     lines = unit_lines(items, duplicates, with_pos=not mode.exact, stated=totals == "stated")
     lines = ws.store_clustered(lines, "lines", "tid")
-    receipts = ws.store_clustered(receipt_totals(lines, totals), "receipts", "tid")
-    twu = ws.store(twu_sums(lines, receipts), "twu")
+    of_receipts = receipt_totals(lines, totals)
+    twu = ws.store(twu_sums(lines, of_receipts), "twu")
+    sizes = lines.groupBy("tid").agg(F.count(F.lit(1)).alias("items"))
+    receipts = ws.store(sizes.agg(F.count(F.lit(1)).alias("receipts"), F.max("items").alias("longest")), "receipts")
     ranks = _search_order(twu, limit, ws)
-    rows = ws.store_clustered(_utility_rows(lines, ranks, mode), "utility-list", "tid")
+    short_lines, long_rows = lines, None
+    if (receipts.first()["longest"] or 0) > SPLIT_ITEMS:
+        long = ws.store(sizes.filter(F.col("items") > SPLIT_ITEMS).select("tid"), "long-receipts")
+        short_lines = lines.join(long, "tid", "left_anti")
+        long_rows = ws.store(_utility_rows(lines.join(long, "tid", "left_semi"), ranks, mode, ws), "long-utility-list")
+    seen = Observation()
+    rows = _utility_rows(short_lines, ranks, mode)
+    rows = rows.observe(seen, total(F.abs("u")).alias("amount"))
+    rows = ws.store_clustered(rows, "utility-list", "tid")
     ws.discard("lines")
 
-    levels: list[DataFrame] = []
-    candidates, partners, written = _single_candidates(rows), rows, None
-    while True:
-        nodes, counts = _store_nodes(candidates, levels, mode, limit, ws)
-        levels.append(nodes)
-        if not counts["extendable"]:
-            break
-        parents = _extendable_rows(candidates, nodes)
-        joinable = nodes.filter("joinable")
-        if len(levels) == 1:
-            if mode.exact:
-                # Items that no other can be usefully joined with are no one's later items.
-                partners = rows.join(joinable.select(F.col("last").alias("rank")), "rank", "left_semi")
-                candidates = _pairs(parents, partners, limit, ws)
-            else:
-                candidates = _extend(parents, partners, None, mode)
-            continue
-        parents = ws.store_clustered(parents, f"rows-{len(levels)}", "tid")
-        if written:
-            ws.discard(written)
-        written = f"rows-{len(levels)}"
-        candidates = _extend(parents, partners, joinable if mode.exact else None, mode)
+    amount, every = seen.get["amount"] or 0, rows
+    if long_rows is not None:
+        every = rows.unionByName(long_rows)
+        amount += long_rows.agg(total(F.abs("u"))).first()[0] or 0
+    safe = amount < _SAFE
+
+    nodes, extendable = _store_nodes(_single_candidates(every).drop("whole"), [], mode, limit, safe, ws)
+    levels = [nodes]
+    if extendable:
+        # Items that no other can be usefully joined with are no one's later items.
+        # All others begin pairs, if only to bound sets in which the pair comes last.
+        begins = nodes.filter("joinable" if mode.exact else "extendable").select(F.col("last").alias("rank"), "node")
+        receipts_left = projection.baskets(rows.join(begins, "rank", "inner" if mode.exact else "left"))
+        _search(projection.single_items(receipts_left), long_rows, levels, mode, limit, safe, ws)
 
     # Results and counters are read from the tables of itemsets, items and receipts alone.
-    for table in filter(None, ("utility-list", written)):
+    for table in ["utility-list"] + (["long-utility-list"] if long_rows is not None else []):
         ws.discard(table)
     nodes = reduce(DataFrame.unionByName, levels)
     return Mining(_named(nodes, ranks, dtype), nodes, ranks, twu, receipts)
+
+
+def _search(
+    projected: DataFrame, long_rows: DataFrame | None, levels: list[DataFrame], mode: Mode, limit: int, safe: bool, ws: Workspace
+) -> None:
+    """Append the levels from pairs on, given the projected receipts of single items."""
+    pairs, long_candidates, beside, kept = None, None, 0, {}
+
+    def replaced(kind: str, df: DataFrame, clustered: bool = False) -> DataFrame:
+        """``df`` stored in place of the last level's table of its kind."""
+        name = f"{kind}-{len(levels)}"
+        df = ws.store_clustered(df, name, "tid") if clustered else ws.store(df, name)
+        if kind in kept:
+            ws.discard(kept[kind])
+        kept[kind] = name
+        return df
+
+    if long_rows is not None:
+        long_candidates = _single_candidates(long_rows)
+        partners = long_rows
+        if mode.exact:
+            joined = levels[0].filter("joinable").select(F.col("last").alias("rank"))
+            partners = long_rows.join(joined, "rank", "left_semi")
+            beside = int(long_rows.select("tid", "reach").distinct().agg(total("reach")).first()[0] or 0)
+    while True:
+        level, last = len(levels), levels[-1]
+        joinable = last.filter("joinable") if mode.exact and level > 1 else None
+        candidates = projection.candidates(projected, joinable, pairs)
+        if long_rows is not None:
+            parents = _extendable_rows(long_candidates, last)
+            if level > 1:
+                parents = replaced("rows", parents, clustered=True)
+            if level == 1 and mode.exact:
+                long_candidates = _long_pairs(parents, partners, candidates, limit, ws)
+            else:
+                long_candidates = _extend(parents, partners, joinable, mode, pairs)
+            candidates = candidates.unionByName(long_candidates.select(*candidates.columns))
+        nodes, extendable = _store_nodes(candidates, levels, mode, limit, safe, ws, beside)
+        levels.append(nodes)
+        if not extendable:
+            break
+        if level == 1 and mode.exact and beside < limit:
+            # Receipts holding both items of any other pair earn too little, whatever else they hold.
+            pairs = nodes.filter("paired").select(F.element_at("ranks", 1).alias("before"), "last")
+        projected = projection.extended(projected, nodes, mode.exact)
+        if len(levels) % STORE_EVERY == 0:
+            projected = replaced("projected", projection.merged(projected) if safe else projected)
+    for table in kept.values():
+        ws.discard(table)

@@ -63,3 +63,24 @@ def running_sum(
     return located.join(_offsets(sums, "_sum", "_before"), "_part").select(
         *df.columns, (F.col("_before") + F.sum(value).over(inside)).alias(name)
     )
+
+
+def segmented_sum(
+    df: DataFrame,
+    group: str,
+    value: str,
+    name: str,
+    order: list[Column],
+    workspace: Workspace | None = None,
+) -> DataFrame:
+    """Add ``name`` = sum of ``value`` up to and including the row, in order within its ``group``.
+
+    A group may be of any size: rows are sorted by group and order into ranges, so that a large group spans several tasks. Each
+    range adds up its own rows of a group, and only these sums, one per group and range, are put in line.
+    """
+    located = _located(df.orderBy(group, *order), workspace, f"segments-{name}")
+    sums = located.groupBy(group, "_part").agg(F.sum(value).alias("_sum"))
+    before = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(group, "_part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(group, "_part").orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)
+    return located.join(offsets, [group, "_part"]).select(*df.columns, (F.col("_before") + F.sum(value).over(inside)).alias(name))

@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions.units import TOTAL, threshold
+from ..plans.workspace import Workspace, workspace_for
+from .ordering import segmented_sum
 from .twu import merge_duplicates
 
 
@@ -55,15 +57,47 @@ def utility_list(
     )
 
 
+def segmented_utility_list(
+    items: DataFrame,
+    ranks: DataFrame,
+    remaining: str = "rank",
+    whole: bool = False,
+    workspace: Workspace | None = None,
+) -> DataFrame:
+    """``utility_list`` for receipts of any length: one receipt is dealt out over several tasks.
+
+    Sums per receipt are joined back from a stored table; there are few receipts of the length this is for.
+    """
+    workspace = workspace_for(items, workspace)
+    signed = remaining == "position"
+    dtype = items.schema["utility"].dataType
+    kept = items.join(ranks.select("item", "rank"), "item").withColumn("_own", gain("utility", signed))
+    order = F.desc("pos" if signed else "rank")
+    ranked = segmented_sum(kept, "tid", "_own", "_running", [order], workspace)
+    columns = ["tid", "item", "rank", F.col("utility").alias("iu"), (F.col("_running") - F.col("_own")).cast(dtype).alias("ru")]
+    if not whole:
+        return ranked.select(*columns)
+    sums = kept.groupBy("tid").agg(F.sum("_own").alias("reach"), F.count(F.lit(1)).cast("int").alias("receipt_items"))
+    return ranked.join(workspace.store(sums, "long-reach"), "tid").select(*columns, "reach", "receipt_items")
+
+
 def build_utility_list(
-    items: DataFrame, ranks: DataFrame, remaining: str = "rank", duplicates: str = "sum"
+    items: DataFrame,
+    ranks: DataFrame,
+    remaining: str = "rank",
+    duplicates: str = "sum",
+    segmented: bool = False,
 ) -> DataFrame:
-    """Utility lists of line items; lines of the same item in a receipt are merged first."""
+    """Utility lists of line items; lines of the same item in a receipt are merged first.
+
+    ``segmented`` spreads long receipts over tasks.
+    """
     used = ["tid", "item", "utility"]
     if remaining == "position" or duplicates != "sum":
         used.append("pos")
     lines = items.dropna(subset=["tid", "item"]).select(*used)
-    return utility_list(merge_duplicates(lines, duplicates), ranks, remaining)
+    build = segmented_utility_list if segmented else utility_list
+    return build(merge_duplicates(lines, duplicates), ranks, remaining)
 
 
 def entry_totals(entries: DataFrame) -> DataFrame:

@@ -150,6 +150,7 @@ _BRAND_TWU = f"WITH {BRAND_ITEMS},\n{TWU}"
 _PART_TWU = f"WITH {_PARTS},\n{TWU},\n{MEAN_LIMIT}"
 _BRAND_LISTS = f"{_BRAND_TWU},\n{share_limit()},\n{RANKS},\n{lists('pos')}"
 _PART_LISTS = f"{_PART_TWU},\n{RANKS},\n{lists('rank', 'greatest(utility, 0)')}"
+_FLAG_TWU = f"WITH {_PARTS.replace('l_orderkey AS tid', 'l_returnflag AS tid')},\n{TWU},\n{MEAN_LIMIT}"
 _PROMISING = "(SELECT item FROM twu WHERE twu >= (SELECT m FROM m))"
 _A, _B, _C = q.NAMES
 _LOSS_SUMS = f"""WITH {LOSS_ITEMS},
@@ -263,6 +264,8 @@ SELECT coalesce(max(twu) + 1, (SELECT m FROM m))::BIGINT AS min_util FROM runnin
 WHERE running > (SELECT sum(occurrences) // {q.ENTRY_BUDGET_SHARE} FROM kept)""",
         "utility_list_position": f"{_BRAND_LISTS} SELECT tid, item, iu, ru, iu + ru AS total FROM ul",
         "utility_list_twu": f"{_PART_LISTS} SELECT tid, item, rank::INT AS rank, iu, ru FROM ul",
+        "utility_list_long": f"""{_FLAG_TWU},\n{RANKS},\n{lists('rank', 'greatest(utility, 0)')}
+SELECT tid, item, rank::INT AS rank, iu, ru FROM ul""",
         "item_bounds": f"{_BRAND_LISTS}, {SUMS} SELECT * FROM sums",
         "extendable_items": f"""{_PART_LISTS}, {SUMS}
 SELECT * FROM sums WHERE upper_bound >= (SELECT m // {q.BOUND_SHARE} FROM m)""",

@@ -315,6 +315,18 @@ def utility_list_twu(spark: SparkSession, folder: str) -> DataFrame:
     return part_lists(spark, folder)[0]
 
 
+def flag_items(spark: SparkSession, folder: str) -> DataFrame:
+    """Parts by return flag: three receipts, each with a large share of all lines."""
+    lines = table(spark, folder, "lineitem")
+    return items_from(lines, tid="l_returnflag", item="l_partkey", utility=cents("l_extendedprice"))
+
+
+def utility_list_long(spark: SparkSession, folder: str) -> DataFrame:
+    items = flag_items(spark, folder)
+    twu_map, limit = stored_twu(items)
+    return utility_list.build_utility_list(items, twu.item_rank(twu_map, limit), segmented=True)
+
+
 def list_sums(entries: DataFrame) -> DataFrame:
     return whole(utility_list.itemset_sums(entries), "sum_iu", "sum_ru", "upper_bound")
 
@@ -521,6 +533,7 @@ def queries() -> dict[str, Query]:
         "suggest_min_util": suggest_min_util,
         "utility_list_position": utility_list_position,
         "utility_list_twu": utility_list_twu,
+        "utility_list_long": utility_list_long,
         "item_bounds": item_bounds,
         "item_bounds_losses": item_bounds_losses,
         "extendable_items": extendable_items,

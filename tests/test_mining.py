@@ -186,7 +186,7 @@ def test_only_small_tables_are_left(spark, items, tmp_path):
     workspace.base = str(tmp_path / "run")
     run = mine(items, 5, workspace=workspace)
     left = {path.name.split("-", 1)[1] for path in (tmp_path / "run").iterdir()}
-    small = {"receipts", "twu", "ranks", "long-sums", "long-pairs"}
+    small = {"receipts", "twu", "ranks"}
     assert left == small | {"nodes-1", "nodes-2", "nodes-3", "nodes-4"}
     assert found(run) == EXACT_AT_5
     workspace.close()
