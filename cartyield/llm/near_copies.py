@@ -1,14 +1,13 @@
 """Near copies by the Jaccard similarity of word shingles: an exact set-similarity self-join.
 
-The shingles of a text are put into one order for all texts, rare ones first. Two sets of which one
-has n members can only be as similar as asked if they share one of the first n - ceil(s n) + 1 members
-of each (the prefix), so pairs are sought among sets with a common prefix member. Any order of all
-shingles gives the same pairs; this one goes by counts of 2^17 classes of hashes, which put what stands in very many
-texts last.
-
-Pairs within a group that is connected already need no comparison. So all sets with a prefix member in common
-are first compared with one of them, which links most of a large group by as many comparisons as it has rows; then
-all pairs from different groups are. Every link is confirmed on the whole sets.
+The shingles of a text are put into one order for all texts, rare ones first, by exact counts. Two sets can only be as similar
+as asked if they share a shingle among the first n - ceil(s n) + 1 of the larger set and the first n - ceil(2s/(1+s) n) + 1 of the
+smaller one (the prefixes), and the places of that shingle in both leave room for enough others (the positional filter). A
+shingle that stands in one set only joins nothing and is not shuffled again.
+
+Equal sets are one set from the start. Pairs within a group that is connected already need no comparison: all sets with a
+prefix member in common are first compared with one of them, which links most of a large group by as many comparisons as it has
+rows; then pairs from different groups are. Every link is confirmed on the whole sets.
 """
 
 from __future__ import annotations
@@ -26,7 +25,6 @@ from ..plans.workspace import Workspace, workspace_for
 from .components import components
 
 SEED = 42
-_CLASSES = 1 << 17
 _BUCKETS = 256
 
 
@@ -60,81 +58,73 @@ def sketch(found: np.ndarray) -> np.ndarray:
     return np.bincount((found >> np.uint64(56)).astype(np.int64), minlength=_BUCKETS).astype(np.uint32)
 
 
-def prefix(found: np.ndarray, counts: np.ndarray, similarity: Fraction) -> np.ndarray:
-    """The first members of a set of shingles, of which any set as similar has one among its own first."""
-    size = len(found)
-    least = -(-similarity.numerator * size // similarity.denominator)
-    order = np.lexsort((found, counts[found & np.uint64(_CLASSES - 1)]))
-    return found[order[: size - least + 1]]
-
-
-def _class_counts(docs: DataFrame, words: int) -> np.ndarray:
-    """How many texts have a shingle of each class of hashes."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(_CLASSES, np.int64)
-        for batch in batches:
-            for text in batch.column(0):
-                np.add.at(seen, (shingles(text.as_py(), words) & np.uint64(_CLASSES - 1)).astype(np.int64), 1)
-        used = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(seen[used])], names=["class", "n"])
-
-    # At most one row per class comes back.
-    totals = docs.select("_text").mapInArrow(count, "class bigint, n bigint").groupBy("class").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(_CLASSES, np.int64)
-    counts[totals["class"].to_numpy()] = totals["n"].to_numpy()
-    return np.minimum(counts, np.iinfo(np.uint32).max).astype(np.uint32)
-
-
-def _prefixes(docs: DataFrame, words: int, similarity: Fraction) -> DataFrame:
-    """(_id, node, size, prefix, sketch) of every row of ``docs`` (_id, _text)."""
-    counts = _class_counts(docs, words)
+def _sets(docs: DataFrame, words: int) -> DataFrame:
+    """(_id, node, size, members, sketch) of every row of ``docs`` (_id, _text)."""
     numbered = docs.select("_id", F.monotonically_increasing_id().alias("node"), F.lit(0).alias("size"), "_text")
-    schema = numbered.drop("_text").schema.add("prefix", ArrayType(LongType())).add("sketch", "binary")
+    schema = numbered.drop("_text").schema.add("members", ArrayType(LongType())).add("sketch", "binary")
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = (shingles(t.as_py(), words) for t in batch.column(3))
-            sizes, kept, sketches = [], [], []
-            for found in sets:
-                sizes.append(len(found))
-                kept.append(prefix(found, counts, similarity).view(np.int64))
-                sketches.append(sketch(found).tobytes())
-            arrays = [batch.column(0), batch.column(1), pa.array(sizes, pa.int32()), pa.array(kept, pa.list_(pa.int64()))]
-            arrays.append(pa.array(sketches, pa.binary()))
-            yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+            # A few rows at a time, however many a batch has: a set is larger than its text.
+            for start in range(0, len(batch), 64):
+                part = batch.slice(start, 64)
+                sets = [shingles(t.as_py(), words) for t in part.column(3)]
+                arrays = [
+                    part.column(0),
+                    part.column(1),
+                    pa.array([len(found) for found in sets], pa.int32()),
+                    pa.array([found.view(np.int64) for found in sets], pa.list_(pa.int64())),
+                    pa.array([sketch(found).tobytes() for found in sets], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+
+    return numbered.mapInArrow(gather, schema)
+
+
+def _prefixes(sets: DataFrame, similarity: Fraction, workspace: Workspace) -> DataFrame:
+    """(node, size, key, place, short): the members of the prefixes that other sets have too.
+
+    ``place`` counts from 0 in the common order; ``short`` marks the prefix that is enough for the smaller of two sets.
+    """
+    members = sets.select("node", "size", F.explode("members").alias("key"))
+    counts = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    shared = members.join(workspace.store(counts, "shared-counts"), "key")
+    ordered = shared.groupBy("node", "size").agg(F.sort_array(F.collect_list(F.struct("n", "key"))).alias("ordered"))
+    # What no other set has comes first.
+    alone = F.col("size") - F.size("ordered")
+    placed = ordered.select("node", "size", alone.alias("alone"), F.posexplode("ordered").alias("at", "member"))
+    s, t = similarity.numerator, similarity.denominator
 
-    return numbered.mapInArrow(cut, schema)
+    def length(numerator: int, denominator: int) -> Column:
+        """size - ceil(size x numerator / denominator) + 1"""
+        return F.col("size") - F.expr(f"(size * {numerator}L + {denominator - 1}L) div {denominator}L") + 1
 
+    placed = placed.select("node", "size", F.col("member.key").alias("key"), (F.col("alone") + F.col("at")).cast("int").alias("place"))
+    return placed.filter(F.col("place") < length(s, t)).withColumn("short", F.col("place") < length(2 * s, s + t))
 
-def _sets(texts: DataFrame, words: int) -> DataFrame:
-    """(node, members) of rows (node, _text)."""
 
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            members = pa.array([shingles(t.as_py(), words).tobytes() for t in batch.column(1)], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), members], names=["node", "members"])
+def _held(pairs: DataFrame, sides: DataFrame, test: Callable[[np.ndarray, np.ndarray], bool]) -> DataFrame:
+    """Those of ``pairs`` (u, v) whose ``sides`` (node, side) pass the test."""
 
-    return texts.select("node", "_text").mapInArrow(gather, "node bigint, members binary")
-
-
-def _held(pairs: DataFrame, sides: DataFrame, kind: type, test: Callable[[np.ndarray, np.ndarray], bool]) -> DataFrame:
-    """Those of ``pairs`` (u, v) whose ``sides`` (node, side), read as arrays, pass the test."""
+    def read(side: pa.Scalar) -> np.ndarray:
+        if isinstance(side, pa.BinaryScalar):
+            return np.frombuffer(side.as_buffer(), np.uint32)
+        return side.values.to_numpy().view(np.uint64)
 
     def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            both = zip(*([np.frombuffer(x.as_buffer(), kind) for x in batch.column(k)] for k in (2, 3)))
-            yield batch.select([0, 1]).filter(pa.array([test(a, b) for a, b in both], pa.bool_()))
+            kept = [test(read(a), read(b)) for a, b in zip(batch.column(2), batch.column(3))]
+            yield batch.select([0, 1]).filter(pa.array(kept, pa.bool_()))
 
     left = sides.select(F.col("node").alias("u"), F.col("side").alias("a"))
     right = sides.select(F.col("node").alias("v"), F.col("side").alias("b"))
     return pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b").mapInArrow(hold, "u bigint, v bigint")
 
 
-def _confirmed(pairs: DataFrame, found: DataFrame, texts: DataFrame, words: int, similarity: Fraction, workspace: Workspace) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: Fraction, workspace: Workspace) -> DataFrame:
     """Those of ``pairs`` (u, v) whose whole sets are similar.
 
-    Most of the others fall by their sketches, so that only the texts of likely pairs are read again.
+    Most of the others fall by their sketches, so that only the sets of likely pairs are moved.
     """
     s, t = similarity.numerator, similarity.denominator
 
@@ -142,13 +132,12 @@ def _confirmed(pairs: DataFrame, found: DataFrame, texts: DataFrame, words: int,
         most = int(np.minimum(a, b).sum(dtype=np.int64))
         return t * most >= s * (int(a.sum(dtype=np.int64)) + int(b.sum(dtype=np.int64)) - most)
 
-    sketches = found.select("node", F.col("sketch").alias("side"))
-    likely = workspace.store(_held(pairs, sketches, np.uint32, possible), "likely")
-    nodes = likely.select(F.col("u").alias("node")).unionByName(likely.select(F.col("v").alias("node"))).distinct()
-    used = workspace.store(found.select("_id", "node").join(nodes, "node"), "used")
-    sets = workspace.store(_sets(texts.join(used, "_id"), words), "sets")
-    whole = _held(likely, sets.withColumnRenamed("members", "side"), np.uint64, lambda a, b: alike(a, b, similarity))
-    return workspace.store(whole, "links-found")
+    def similar(a: np.ndarray, b: np.ndarray) -> bool:
+        return alike(a, b, similarity)
+
+    sketches = sets.select("node", F.col("sketch").alias("side"))
+    likely = workspace.store(_held(pairs, sketches, possible), "likely")
+    return workspace.store(_held(likely, sets.select("node", F.col("members").alias("side")), similar), "links-found")
 
 
 def _pivot(node: Column, key: Column) -> Column:
@@ -164,40 +153,57 @@ def near_copy_groups(
     similarity: Fraction = Fraction(4, 5),
     workspace: Workspace | None = None,
 ) -> DataFrame:
-    """(id, component_id), one row per row of ``docs``, whose ids differ.
+    """(id, component_id), one row per row of ``docs``; rows with null or repeated ids are rows of their own.
 
-    ``component_id`` is the smallest id that can be reached over links, itself included. All pairs of rows
+    ``component_id`` is the smallest id that can be reached over links, itself included; null ids are passed over. All pairs of rows
     are linked whose sets of shingles of ``words`` words have a Jaccard similarity of ``similarity`` at least.
     Texts without words are like each other and nothing else; a text with fewer words than a shingle counts as one
     shingle. Shingles are known by 64-bit hashes. Other columns are not looked at; no rows give none.
     """
     workspace = workspace_for(docs, workspace)
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    found = workspace.store(_prefixes(texts, words, similarity), "prefixes")
-    members = found.select("node", "size", F.explode("prefix").alias("key"))
+    every = workspace.store(_sets(texts, words), "sets")
+    # Equal sets, told by 128 bits of hashes.
+    digest = [F.xxhash64("members").alias("h1"), F.xxhash64(F.lit(1), "members").alias("h2")]
+    first = every.groupBy("size", *digest).agg(F.min("node").alias("node"))
+    firsts = workspace.store(first, "first-sets")
+    sets = every.join(firsts.select("node"), "node", "left_semi")
+    same = every.select("node", "size", *digest).join(firsts.withColumnRenamed("node", "first"), ["size", "h1", "h2"])
+    equal = workspace.store(same.filter("node <> first").select(F.col("first").alias("u"), F.col("node").alias("v")), "equal")
+
+    prefixes = workspace.store(_prefixes(sets, similarity, workspace), "prefixes")
     key, node = F.col("key"), F.col("node")
-    first = members.groupBy("key").agg(F.min(_pivot(node, key)).alias("pivot"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    first = workspace.store(first.select("key", _pivot(F.col("pivot"), key).alias("pivot")), "pivots")
-    shared = workspace.store(members.join(first, "key"), "shared")
-
+    pivots = prefixes.groupBy("key").agg(F.min(_pivot(node, key)).alias("pivot"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    pivots = workspace.store(pivots.select("key", _pivot(F.col("pivot"), key).alias("pivot")), "pivots")
+    shared = workspace.store(prefixes.join(pivots, "key"), "shared")
     stars = shared.filter("node <> pivot").select(F.least("node", "pivot").alias("u"), F.greatest("node", "pivot").alias("v"))
     stars = workspace.store(stars.distinct(), "stars")
-    links = _confirmed(stars, found, texts, words, similarity, workspace)
+    links = _confirmed(stars, sets, similarity, workspace)
 
-    grown = components(links, workspace)
-    grouped = shared.select("key", "node", "size").join(grown, "node", "left")
-    grouped = workspace.store(grouped.withColumn("root", F.coalesce("root", "node")), "grouped")
-    open_ = grouped.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
-    left = workspace.store(grouped.join(open_.select("key"), "key"), "open")
-    right = left.select("key", F.col("node").alias("v"), F.col("size").alias("size_v"), F.col("root").alias("root_v"))
-    near = F.least("size", "size_v") * F.lit(similarity.denominator) >= F.greatest("size", "size_v") * F.lit(similarity.numerator)
-    same = left["key"] == right["key"]
-    pairs = left.join(right, same & (F.col("node") < F.col("v")) & (F.col("root") != F.col("root_v")) & near)
-    pairs = pairs.select(F.col("node").alias("u"), "v").distinct().join(stars, ["u", "v"], "left_anti")
-    more = _confirmed(workspace.store(pairs, "pairs"), found, texts, words, similarity, workspace)
-
-    roots = components(links.unionByName(more), workspace)
-    rooted = found.select("_id", "node").join(roots, "node", "left")
+    pairs = workspace.store(_open_pairs(shared, components(links, workspace), similarity, workspace), "pairs")
+    more = _confirmed(pairs.join(stars, ["u", "v"], "left_anti"), sets, similarity, workspace)
+
+    roots = components(links.unionByName(more).unionByName(equal), workspace)
+    rooted = every.select("_id", "node").join(roots, "node", "left")
     rooted = workspace.store(rooted.select("_id", F.coalesce("root", "node").alias("root")), "rooted")
     smallest = rooted.groupBy("root").agg(F.min("_id").alias("component_id"))
     return rooted.join(smallest, "root").select(F.col("_id").alias(id_col), "component_id")
+
+
+def _open_pairs(shared: DataFrame, grown: DataFrame, similarity: Fraction, workspace: Workspace) -> DataFrame:
+    """(u, v), u < v: the pairs of sets from different groups that can be similar by sizes, prefixes and places.
+
+    Only keys that sets of different groups have are joined.
+    """
+    grouped = shared.select("key", "node", "size", "place", "short").join(grown, "node", "left")
+    grouped = workspace.store(grouped.withColumn("root", F.coalesce("root", "node")), "grouped")
+    mixed = grouped.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
+    large = workspace.store(grouped.join(mixed.select("key"), "key"), "open")
+    small = large.filter("short").select("key", *(F.col(c).alias(f"{c}_v") for c in ("node", "size", "place", "root")))
+    s, t = F.lit(similarity.numerator), F.lit(similarity.denominator)
+    smaller = (F.col("size_v") < F.col("size")) | ((F.col("size_v") == F.col("size")) & (F.col("node_v") < F.col("node")))
+    rest = F.least(F.col("size") - F.col("place"), F.col("size_v") - F.col("place_v"))
+    room = (F.least("place", "place_v") + rest) * (s + t) >= s * (F.col("size") + F.col("size_v"))
+    near = F.col("size_v") * t >= F.col("size") * s
+    pairs = large.join(small, "key").filter(smaller & near & room & (F.col("root") != F.col("root_v")))
+    return pairs.select(F.least("node", "node_v").alias("u"), F.greatest("node", "node_v").alias("v")).distinct()

@@ -7,7 +7,9 @@ import pytest
 from llm_cases import WORDS, odd_documents, prose
 from test_exact_and_near_copies import slow_components
 
+from cartyield.llm import near_copies
 from cartyield.llm.near_copies import near_copy_groups
+from cartyield.plans.workspace import Workspace
 
 
 def slow_shingles(text):
@@ -68,3 +70,37 @@ def test_stage_drops_all_near_copies(spark, tmp_path):
     low, links = slow_groups([t for _, t, *_ in sorted(docs, key=lambda d: (d[0] is not None, d[0] or 0))], Fraction(4, 5))
     assert links and len(kept) == len(set(low.values()))
     assert not slow_groups([r["text"] for r in kept], Fraction(4, 5))[1]
+
+
+def open_pairs(spark, texts, workspace):
+    """How many pairs are left to compare if nothing is linked yet."""
+    frame = spark.createDataFrame(list(enumerate(texts)), "_id bigint, _text string").repartition(4)
+    sets = workspace.store(near_copies._sets(frame, 5), "sets")
+    prefixes = workspace.store(near_copies._prefixes(sets, Fraction(4, 5), workspace), "prefixes")
+    nothing = spark.createDataFrame([], "node bigint, root bigint")
+    return near_copies._open_pairs(prefixes, nothing, Fraction(4, 5), workspace).count()
+
+
+@pytest.mark.parametrize("edits", [10, 30])
+def test_pairs_to_compare_grow_with_the_rows(spark, edits):
+    """A passage in all texts, and copies of one text too far from each other."""
+    counts = []
+    for n in (1000, 2000):
+        rng = random.Random(5)
+        passage, base = prose(rng, 60), " ".join(f"w{k}" for k in range(300))
+        texts = [passage + " " + " ".join(f"{k}x{j}" for j in range(10)) for k in range(n // 2)]
+        for k in range(n // 2):
+            words = base.split()
+            for j, place in enumerate(rng.sample(range(300), edits)):
+                words[place] = f"{k}y{j}"
+            texts.append(" ".join(words))
+        with Workspace(spark) as workspace:
+            counts.append(open_pairs(spark, texts, workspace))
+    assert counts[1] <= max(2.5 * counts[0], 4000)
+
+
+def test_null_and_repeated_ids_are_rows(spark):
+    base = " ".join(f"w{k}" for k in range(60))
+    rows = [(None, base), (5, base + " end"), (7, base.replace("w59", "x")), (7, "another text"), (7, None), (None, ""), (8, base.upper())]
+    found = near_copy_groups(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3))
+    assert sorted(found.collect(), key=repr) == sorted([(None, 5), (5, 5), (7, 5), (8, 5), (7, 7), (7, 7), (None, 7)], key=repr)
