@@ -15,6 +15,8 @@ from ..plans.workspace import Workspace, workspace_for
 
 # monotonically_increasing_id() keeps the partition above this bit, the row below it.
 _PARTITION_SHIFT = 33
+# Splits whose counts are broadcast, some 200 bytes each.
+BROADCAST_SPLITS = 1 << 20
 
 
 def _located(df: DataFrame, workspace: Workspace | None, name: str) -> DataFrame:
@@ -49,6 +51,36 @@ def dense_index(
     )
 
 
+def split_columns(files: DataFrame) -> list[Column]:
+    """What tells the splits of a file source apart: add them to its columns for ``split_index``."""
+    metadata = files.metadataColumn("_metadata")
+    return [metadata["file_path"].alias("_file"), metadata["file_block_start"].alias("_block")]
+
+
+def split_index(df: DataFrame, name: str, start: int = 0, workspace: Workspace | None = None) -> DataFrame:
+    """Add ``name`` = start, start+1, … in the order of the files, by path, and of the lines in them.
+
+    ``df`` is a file source with ``split_columns`` and whatever filters and expressions, but no shuffle. A first pass counts
+    its rows per split of a file, which is all that is written; a second one reads the files again. A scan that deals out the
+    splits in another way than the first pass, or of files that changed in between, raises an error.
+    """
+    placed = df.withColumn("_place", F.monotonically_increasing_id())
+    counted = placed.groupBy("_file", "_block", F.shiftright("_place", _PARTITION_SHIFT).alias("_part")).agg(
+        F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_size")
+    )
+    counted = workspace_for(df, workspace).store(counted, f"splits-{name}")
+    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = counted.withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0)))
+    # One row per split, which is 128 MB of files unless set otherwise.
+    if counted.count() <= BROADCAST_SPLITS:
+        splits = F.broadcast(splits)
+    row = placed.withColumn("_part", F.shiftright("_place", _PARTITION_SHIFT)).join(splits, ["_file", "_block", "_part"], "left")
+    inside = F.col("_place") - F.col("_first")
+    moved = F.raise_error(F.lit("the files were dealt out anew between two reads")).cast("bigint")
+    index = F.when((inside >= 0) & (inside < F.col("_size")), F.col("_before") + inside + start).otherwise(moved)
+    return row.select(*(c for c in df.columns if c not in ("_file", "_block")), index.alias(name))
+
+
 def running_sum(
     df: DataFrame,
     value: str,

@@ -208,6 +208,9 @@ SELECT tid, place AS pos, item, quantity, profit::DOUBLE AS profit, utility::DOU
 SELECT place AS pos, item, quantity, profit::DOUBLE AS profit,
        total_utility::DOUBLE AS total_utility, count(*) AS lines, count(DISTINCT tid) AS receipts
 FROM numbered GROUP BY ALL""",
+        "file_tids": f"""WITH {SOLD_ITEMS}
+SELECT 0::BIGINT AS first, count(DISTINCT tid) - 1 AS last, count(DISTINCT tid) AS receipts,
+       (count(DISTINCT tid) * (count(DISTINCT tid) - 1) // 2)::BIGINT AS sum_of_ids, count(*) AS lines FROM numbered""",
         "dense_tid": """SELECT l_orderkey, row_number() OVER (ORDER BY l_orderkey) - 1 AS tid
 FROM (SELECT DISTINCT l_orderkey FROM lineitem)""",
         "transaction_totals": f"""WITH {BRAND_ITEMS}

@@ -138,6 +138,20 @@ def read_transactions(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def file_tids(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of the receipts of several files: how many, from where to where, and a sum that shows gaps."""
+    path = Workspace(spark).path("receipts")
+    text_sink.write_transactions(sold_items(spark, folder), path)
+    ids = text.read_transactions(spark, path).groupBy("tid").agg(F.count(F.lit(1)).alias("lines"))
+    return ids.agg(
+        F.min("tid").alias("first"),
+        F.max("tid").alias("last"),
+        F.count(F.lit(1)).alias("receipts"),
+        F.sum("tid").alias("sum_of_ids"),
+        F.sum("lines").alias("lines"),
+    )
+
+
 def dense_tid(spark: SparkSession, folder: str) -> DataFrame:
     receipts = table(spark, folder, "lineitem").select("l_orderkey").distinct()
     return dense_index(receipts, "tid", [F.col("l_orderkey")])
@@ -511,6 +525,7 @@ def queries() -> dict[str, Query]:
     return {
         "parse_transactions": parse_transactions,
         "read_transactions": read_transactions,
+        "file_tids": file_tids,
         "dense_tid": dense_tid,
         "transaction_totals": transaction_totals,
         "explode_items": explode_items,

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.units import DEFAULT_SCALE
-from ..operators.ordering import dense_index
+from ..operators.ordering import dense_index, split_columns, split_index
 from ..plans.workspace import Workspace
 
 # Fixed value: what separates name, quantity and profit; a line opening with # is a comment.
@@ -79,7 +79,7 @@ def receipt_total(stated: Column | str, added: Column | str) -> Column:
 
 
 def number_transactions(receipts: DataFrame, workspace: Workspace | None = None) -> DataFrame:
-    """Add ``tid`` = 0, 1, … in file order; over several files any order of the files may result."""
+    """Add ``tid`` = 0, 1, … in scan order. ``read_transactions`` numbers files without storing their lines."""
     return dense_index(receipts, "tid", workspace=workspace)
 
 
@@ -100,6 +100,10 @@ def read_transactions(
     scale: int = DEFAULT_SCALE,
     workspace: Workspace | None = None,
 ) -> DataFrame:
-    """Line items of a text file, or of all files in a folder, with dense transaction ids."""
-    receipts = parse_lines(spark.read.text(path), scale=scale)
-    return explode_items(number_transactions(receipts, workspace))
+    """Line items of a text file, or of all files in a folder, with dense transaction ids.
+
+    Ids follow the files by path and the lines in them. The files are read twice, once to count receipts, and not stored.
+    """
+    files = spark.read.text(path)
+    receipts = parse_lines(files.select("value", *split_columns(files)), scale=scale)
+    return explode_items(split_index(receipts, "tid", workspace=workspace))

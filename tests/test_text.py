@@ -4,6 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.errors import PySparkException
 
+from cartyield.plans.workspace import Workspace
 from cartyield.sinks.text import render_lines, write_transactions
 from cartyield.sources.text import explode_items, parse_lines, read_transactions
 
@@ -106,3 +107,30 @@ def test_ids_are_dense_over_many_partitions(spark, tmp_path):
     lines.write.text(str(tmp_path / "many"))
     read = read_transactions(spark, str(tmp_path / "many"))
     assert sorted(r["tid"] for r in read.collect()) == list(range(500))
+
+
+def test_ids_follow_files_and_lines_without_a_copy(spark, tmp_path):
+    """One long file in many splits, short files, one without receipts; only counts are written."""
+    folder, base = tmp_path / "in", tmp_path / "run"
+    folder.mkdir()
+    names = []
+    for file, count in [("a.txt", 3), ("b.txt", 4000), ("c.txt", 0), ("d.txt", 5)]:
+        lines = ["# comment", ""]
+        for k in range(count):
+            lines += [f"{file[0]}{k}:1:2 other:1:1 :3"] + ["no receipt"] * (k % 3)
+            names.append(f"{file[0]}{k}")
+        (folder / file).write_text("\n".join(lines) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        workspace = Workspace(spark)
+        workspace.base = str(base)
+        found = read_transactions(spark, str(folder), workspace=workspace).filter("pos = 0")
+        assert found.rdd.getNumPartitions() > 4
+        assert [r["item"] for r in sorted(found.collect(), key=lambda r: r["tid"])] == names
+        assert sorted(r["tid"] for r in found.collect()) == list(range(len(names)))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [p.name.split("-", 1)[1] for p in base.iterdir()] == ["splits-tid"]
+    assert spark.read.parquet(*map(str, base.iterdir())).count() < 40
+    with pytest.raises(Exception, match="dealt out anew"):
+        found.select("tid").collect()
