@@ -17,7 +17,7 @@ items are not held as arrays: their rows are joined, dealt out over several keys
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from decimal import Decimal
 from functools import reduce
 
@@ -127,42 +127,40 @@ def _single_candidates(rows: DataFrame) -> DataFrame:
     )
 
 
-def _node_sums(candidates: DataFrame, mode: Mode, limit: int, safe: bool, beside: int = 0) -> DataFrame:
+_FLAGS = {"found": "utility", "extendable": "bound", "joinable": "reach", "paired": "whole"}
+
+
+def _flagged(sums: DataFrame, limit: int, beside: int = 0) -> DataFrame:
+    """Itemsets with what they are good for at a threshold; a bound that is not there is good for nothing."""
+
+    def enough(bound: str) -> Column:
+        least = F.lit(Decimal(limit - beside if bound == "whole" else limit))
+        return F.col(bound) >= least if bound in sums.columns else F.lit(False)
+
+    return sums.withColumns({flag: enough(bound) for flag, bound in _FLAGS.items()})
+
+
+def _node_sums(candidates: DataFrame, mode: Mode, safe: bool) -> DataFrame:
     """Candidate itemsets with their sums over all receipts.
 
     ``reach`` of a row is what the whole branch of the prefix could earn in that receipt. Its sum
     bounds every itemset of the branch that holds the last item, at whatever place. The sum of ``whole``, which only
-    pairs have, and of ``beside``, what receipts contribute of which not all pairs are made, bounds every itemset that holds
+    pairs have, and of what receipts contribute of which not all pairs are made (``beside``), bounds every itemset that holds
     the pair. ``safe`` says that BIGINT holds all sums.
     """
 
     def added(value: Column | str) -> Column:
         return F.sum(value).cast(TOTAL) if safe else total(value)
 
-    least = F.lit(Decimal(limit))
     bounds = {"bound": upper_bound(signed=not mode.exact)}
     if mode.exact:
         bounds["reach"] = "reach"
         if "whole" in candidates.columns:
             bounds["whole"] = "whole"
-    sums = candidates.groupBy("prefix", "last").agg(
+    return candidates.groupBy("prefix", "last").agg(
         added("iu").alias("utility"), *(added(v).alias(k) for k, v in bounds.items()), F.sum("n").alias("transactions")
     )
 
-    def enough(bound: str, more: int = 0) -> Column:
-        return F.col(bound) >= F.lit(Decimal(limit - more)) if bound in bounds else F.lit(False)
-
-    return sums.select(
-        "prefix",
-        "last",
-        "utility",
-        "transactions",
-        (F.col("utility") >= least).alias("found"),
-        enough("bound").alias("extendable"),
-        enough("reach").alias("joinable"),
-        enough("whole", beside).alias("paired"),
-    )
-
 
 def _extendable_rows(candidates: DataFrame, nodes: DataFrame) -> DataFrame:
     """Candidate rows of extendable itemsets, with the number of the itemset as ``node``."""
@@ -269,12 +267,26 @@ def _search_order(twu: DataFrame, limit: int, ws: Workspace) -> DataFrame:
     return ws.store(promising.withColumn("rank", F.monotonically_increasing_id()), "ranks")
 
 
+class _Threshold:
+    """The utility asked for; with ``top``, that of the best ``top`` itemsets found so far, which rises."""
+
+    def __init__(self, units: int, top: int | None = None):
+        self.units = units
+        self.top = top
+
+    def rise(self, utilities: DataFrame) -> None:
+        """Raise the threshold to what is left of the best ``top`` of these utilities."""
+        best = utilities.orderBy(F.desc("utility")).limit(self.top).agg(F.min("utility"), F.count(F.lit(1))).first()
+        if best[1] == self.top:
+            self.units = max(self.units, int(best[0]))
+
+
 def _store_nodes(
-    candidates: DataFrame, levels: list[DataFrame], mode: Mode, limit: int, safe: bool, ws: Workspace, beside: int = 0
-) -> tuple[DataFrame, bool]:
-    """Write a level's itemsets that are of further use; also tell whether any can be extended."""
+    candidates: DataFrame, levels: list[DataFrame], mode: Mode, limit: _Threshold, safe: bool, ws: Workspace, beside: int = 0
+) -> bool:
+    """Append a level's itemsets that are of further use to ``levels``; tell whether any can be extended."""
     level = len(levels) + 1
-    sums = _node_sums(candidates, mode, limit, safe, beside)
+    sums = _flagged(_node_sums(candidates, mode, safe), limit.units, beside)
     useful = sums.filter("found or extendable or joinable or paired")
     if levels:
         parents = levels[-1].select(
@@ -285,11 +297,19 @@ def _store_nodes(
         ).drop("before")
     else:
         useful = useful.withColumn("ranks", F.array("last"))
-    numbered = useful.withColumn("node", F.monotonically_increasing_id())
     # Counted while they are written.
     seen = Observation()
-    nodes = ws.store(numbered.observe(seen, F.count_if("extendable").alias("extendable")), f"nodes-{level}")
-    return nodes, seen.get["extendable"] > 0
+    numbered = useful.withColumn("node", F.monotonically_increasing_id())
+    numbered = numbered.observe(seen, F.count_if("extendable").alias("extendable"))
+    columns = ["prefix", "last", "utility", "transactions", *_FLAGS, "ranks", "node"]
+    if not limit.top:
+        levels.append(ws.store(numbered.select(*columns), f"nodes-{level}"))
+        return seen.get["extendable"] > 0
+    nodes = ws.store(numbered, f"nodes-{level}")
+    found = reduce(DataFrame.unionByName, [n.select("utility") for n in (*levels, nodes)])
+    limit.rise(found.filter(F.col("utility") >= F.lit(Decimal(limit.units))))
+    levels.append(_flagged(nodes, limit.units, beside).select(*columns))
+    return bool(levels[-1].agg(F.count_if("extendable")).first()[0])
 
 
 def mine(
@@ -304,9 +324,26 @@ def mine(
     ``items`` has one row per receipt line: ``tid``, ``item``, ``utility``, in ``ENDPOINTS`` mode
     also ``pos`` and optionally ``total_utility``. It is read once.
     """
+    limit = _Threshold(threshold_units(min_util, items.schema["utility"].dataType))
+    return _mine(items, limit, mode, duplicates, workspace)
+
+
+def mine_top(items: DataFrame, count: int, duplicates: str = "sum", workspace: Workspace | None = None) -> Mining:
+    """Find the ``count`` itemsets of highest utility, if as many are positive; ties go by name.
+
+    No threshold is needed: it starts as the utility of the best ``count`` single items and rises with every level to that of
+    the best itemsets found so far, which nothing below it can be among. Exact mode.
+    """
+    if count < 1:
+        raise ValueError(f"count must be positive, got {count}")
+    mining = _mine(items, _Threshold(1, count), EXACT, duplicates, workspace)
+    best = mining.itemsets.orderBy(F.desc("utility"), F.asc("itemset_name")).limit(count)
+    return replace(mining, itemsets=best)
+
+
+def _mine(items: DataFrame, limit: _Threshold, mode: Mode, duplicates: str, workspace: Workspace | None) -> Mining:
     ws = workspace_for(items, workspace)
     dtype = items.schema["utility"].dataType
-    limit = threshold_units(min_util, dtype)
     totals = "positive"
     if not mode.exact:
         totals = "stated" if "total_utility" in items.columns else "signed"
@@ -317,7 +354,9 @@ def mine(
     twu = ws.store(twu_sums(lines, of_receipts), "twu")
     sizes = lines.groupBy("tid").agg(F.count(F.lit(1)).alias("items"))
     receipts = ws.store(sizes.agg(F.count(F.lit(1)).alias("receipts"), F.max("items").alias("longest")), "receipts")
-    ranks = _search_order(twu, limit, ws)
+    if limit.top:
+        limit.rise(twu.select("utility"))
+    ranks = _search_order(twu, limit.units, ws)
     short_lines, long_rows = lines, None
     if (receipts.first()["longest"] or 0) > SPLIT_ITEMS:
         long = ws.store(sizes.filter(F.col("items") > SPLIT_ITEMS).select("tid"), "long-receipts")
@@ -335,12 +374,11 @@ def mine(
         amount += long_rows.agg(total(F.abs("u"))).first()[0] or 0
     safe = amount < _SAFE
 
-    nodes, extendable = _store_nodes(_single_candidates(every).drop("whole"), [], mode, limit, safe, ws)
-    levels = [nodes]
-    if extendable:
+    levels: list[DataFrame] = []
+    if _store_nodes(_single_candidates(every).drop("whole"), levels, mode, limit, safe, ws):
         # Items that no other can be usefully joined with are no one's later items.
         # All others begin pairs, if only to bound sets in which the pair comes last.
-        begins = nodes.filter("joinable" if mode.exact else "extendable").select(F.col("last").alias("rank"), "node")
+        begins = levels[0].filter("joinable" if mode.exact else "extendable").select(F.col("last").alias("rank"), "node")
         receipts_left = projection.baskets(rows.join(begins, "rank", "inner" if mode.exact else "left"))
         _search(projection.single_items(receipts_left), long_rows, levels, mode, limit, safe, ws)
 
@@ -348,11 +386,13 @@ def mine(
     for table in ["utility-list"] + (["long-utility-list"] if long_rows is not None else []):
         ws.discard(table)
     nodes = reduce(DataFrame.unionByName, levels)
+    if limit.top:
+        nodes = nodes.withColumn("found", F.col("utility") >= F.lit(Decimal(limit.units)))
     return Mining(_named(nodes, ranks, dtype), nodes, ranks, twu, receipts)
 
 
 def _search(
-    projected: DataFrame, long_rows: DataFrame | None, levels: list[DataFrame], mode: Mode, limit: int, safe: bool, ws: Workspace
+    projected: DataFrame, long_rows: DataFrame | None, levels: list[DataFrame], mode: Mode, limit: _Threshold, safe: bool, ws: Workspace
 ) -> None:
     """Append the levels from pairs on, given the projected receipts of single items."""
     pairs, long_candidates, beside, kept = None, None, 0, {}
@@ -382,15 +422,14 @@ def _search(
             if level > 1:
                 parents = replaced("rows", parents, clustered=True)
             if level == 1 and mode.exact:
-                long_candidates = _long_pairs(parents, partners, candidates, limit, ws)
+                long_candidates = _long_pairs(parents, partners, candidates, limit.units, ws)
             else:
                 long_candidates = _extend(parents, partners, joinable, mode, pairs)
             candidates = candidates.unionByName(long_candidates.select(*candidates.columns))
-        nodes, extendable = _store_nodes(candidates, levels, mode, limit, safe, ws, beside)
-        levels.append(nodes)
-        if not extendable:
+        if not _store_nodes(candidates, levels, mode, limit, safe, ws, beside):
             break
-        if level == 1 and mode.exact and beside < limit:
+        nodes = levels[-1]
+        if level == 1 and mode.exact and beside < limit.units:
             # Receipts holding both items of any other pair earn too little, whatever else they hold.
             pairs = nodes.filter("paired").select(F.element_at("ranks", 1).alias("before"), "last")
         projected = projection.extended(projected, nodes, mode.exact)

@@ -285,6 +285,7 @@ WHERE a.item = '{_A}' AND b.item = '{_B}' AND c.item = '{_C}'""",
         "mine_endpoints_suppliers": f"""{endpoints(keyed_items('l_suppkey'), q.SUPPLIER_SHARE)}
 {FLAT}""",
         "mine_exact_losses": f"{exact(LOSS_ITEMS)} {FLAT}",
+        "top_k_mining": f"""{exact(BRAND_ITEMS, limit='m AS (SELECT 1::BIGINT AS m)')} {FLAT} {_ORDER} LIMIT {q.TOP}""",
         "mine_stats": f"{MINED} SELECT {counters('agg')}",
         "mine_stats_endpoints": f"{endpoints(BRAND_ITEMS, kept=ALL_KEPT)} SELECT {counters('reached')}",
         "mine_endpoints_stated": f"{endpoints(STATED_ITEMS, twu=STATED_TWU)} {FLAT}",

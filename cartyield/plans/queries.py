@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.itemsets import item_utility, itemset_name, size_class
 from ..operators import baskets, results, twu, utility_list
-from ..operators.mining import ENDPOINTS, EXACT, Mining, Mode, mine
+from ..operators.mining import ENDPOINTS, EXACT, Mining, Mode, mine, mine_top
 from ..operators.ordering import dense_index
 from ..sinks import documents, tables, text as text_sink
 from ..sources import text
@@ -30,6 +30,7 @@ LINE_STEP = 10**12
 SHARE = 500
 SUPPLIER_SHARE = 1000
 LONG_SHARE = 30_000
+TOP = 50
 LINE_COST = 4_000_000
 ENTRY_BUDGET_SHARE = 2
 BOUND_SHARE = 2
@@ -432,6 +433,10 @@ def mine_exact_long(spark: SparkSession, folder: str) -> DataFrame:
     return flat(mine(items.unionByName(everything), share_of_total(items, LONG_SHARE)).itemsets)
 
 
+def top_k_mining(spark: SparkSession, folder: str) -> DataFrame:
+    return flat(mine_top(brand_items(spark, folder), TOP).itemsets)
+
+
 def mine_stats(spark: SparkSession, folder: str) -> DataFrame:
     return mined(brand_items(spark, folder)).stats()
 
@@ -563,6 +568,7 @@ def queries() -> dict[str, Query]:
         "mine_exact_losses": mine_exact_losses,
         "mine_endpoints_stated": mine_endpoints_stated,
         "mine_exact_long": mine_exact_long,
+        "top_k_mining": top_k_mining,
         "mine_stats": mine_stats,
         "mine_stats_endpoints": mine_stats_endpoints,
         "run_text": run_text,

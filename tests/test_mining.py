@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cartyield import ENDPOINTS, EXACT, mine
 from cartyield.operators import mining, results, twu, utility_list
+from cartyield.operators.mining import mine_top
 
 EXACT_AT_5 = {
     "{Beurre, Dattes, Oeufs}": (55, 1),
@@ -249,3 +250,23 @@ def test_nothing_pruned_has_a_result(spark):
     }
     assert firsts and pruned
     assert not pruned & firsts
+
+
+@pytest.mark.parametrize(("seed", "losses"), [(41, False), (42, True)])
+def test_top_itemsets_without_a_threshold(spark, seed, losses):
+    lines = make(seed, receipts=40, losses=losses)
+    everything = brute_force(lines, 1)
+    best = sorted(everything.items(), key=lambda e: (-e[1][0], e[0]))
+    for count in (1, 12):
+        assert found(mine_top(frame(spark, lines), count)) == dict(best[:count])
+    top = mine_top(frame(spark, lines), 12)
+    assert top.stats().first()["dfs_nodes_explored"] < mine(frame(spark, lines), 1).stats().first()["dfs_nodes_explored"]
+    with pytest.raises(ValueError, match="positive"):
+        mine_top(frame(spark, lines), 0)
+
+
+def test_fewer_itemsets_than_asked_for(spark):
+    lines = [(0, 0, "A", 5), (0, 1, "B", -2), (1, 0, "C", 1)]
+    assert found(mine_top(frame(spark, lines), 100)) == brute_force(lines, 1)
+    empty = spark.createDataFrame([], "tid bigint, pos int, item string, utility bigint")
+    assert mine_top(empty, 3).itemsets.count() == 0
