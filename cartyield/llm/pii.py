@@ -104,16 +104,12 @@ class _Shapes(dict):
 
 
 _SHAPES = _Shapes()
+_LONG = 256
 _EDGES = ".,;:!?\"'"
 
 
 def shape_features(word: str) -> list[str]:
-    """Features of a word's shape: which kinds of characters, in which runs, and how many digits.
-
-    Of a long word, the first and last 48 characters count.
-    """
-    if len(word) > 96:
-        word = word[:48] + word[-48:]
+    """Features of a whole word's shape: which kinds of characters, in which runs, and how many digits."""
     shape = word.translate(_SHAPES)
     bare = shape.strip(_EDGES)
     runs = [(kind, sum(1 for _ in run)) for kind, run in itertools.groupby(bare)]
@@ -169,6 +165,9 @@ class _Classes(dict):
     def __missing__(self, word: str) -> int:
         if len(self) >= self.limit:
             self.clear()
+        if len(word) > _LONG:
+            # Long words hardly ever recur, and are not worth the memory.
+            return self._number(word)
         # Unless the word itself is a feature, its shape says all.
         if word.lower().strip(_EDGES) in self.model.words:
             number = self._number(word)
