@@ -193,27 +193,45 @@ def _quotas(counts: dict[str, int], settings: LanguageSettings) -> dict[str, int
     return {k: min(n, max(settings.max_train * n // total, settings.least_train)) for k, n in counts.items()}
 
 
+def _per_language(rows: DataFrame, edges: dict[str, int]) -> DataFrame:
+    return F.broadcast(rows.sparkSession.createDataFrame(list(edges.items()), "_lang string, _edge bigint"))
+
+
+def _cutoffs(rows: DataFrame, settings: LanguageSettings) -> tuple[int, dict[str, int], dict[str, int]]:
+    """(shift, edge by language, quota by language): rows whose hash, shifted, is up to the edge hold the quota, and few more."""
+    keys = rows.select("_lang", "_hash").distinct()
+    shift, quotas, before, edges = 52, None, {}, {}
+    while True:
+        ranges: dict[str, dict[int, int]] = {}
+        for language, k, n in keys.groupBy("_lang", F.shiftright("_hash", shift)).count().collect():
+            ranges.setdefault(language, {})[k] = n
+        if quotas is None:
+            quotas = _quotas({language: sum(found.values()) for language, found in ranges.items()}, settings)
+        wide = 0
+        for language, found in ranges.items():
+            seen = before.get(language, 0)
+            for k in sorted(found):
+                if seen + found[k] >= quotas[language]:
+                    break
+                seen += found[k]
+            before[language], edges[language] = seen, k
+            wide = max(wide, found[k])
+        if wide <= max(settings.least_train, 1) or not shift:
+            return shift, edges, quotas
+        last = rows.select("_lang", "_hash").join(_per_language(rows, edges), "_lang")
+        keys = last.filter(F.shiftright("_hash", shift) == F.col("_edge")).select("_lang", "_hash").distinct()
+        shift -= 13
+
+
 def _sample(rows: DataFrame, settings: LanguageSettings) -> list[tuple[int, str, list[int], list[int]]]:
     """(hash, language, features, counts) of the rows with the smallest hashes of each language, by hash.
 
-    Hashes are first counted by language in 2^12 ranges; only rows up to the range where a language has enough
-    are looked at. Each partition then passes on no more rows of a language than are wanted.
+    Hashes are counted by language in 2^12 ranges, and the range where a language has enough again in 2^13 ranges, and so on
+    until few rows of a language are in its last range: what is sent to the driver is the quotas and these few, at any size.
     """
-    place = F.shiftright("_hash", 52)
-    ranges: dict[str, dict[int, int]] = {}
-    for language, k, n in rows.select("_lang", "_hash").distinct().groupBy("_lang", place).count().collect():
-        ranges.setdefault(language, {})[k] = n
-    if not ranges:
+    shift, edges, quotas = _cutoffs(rows, settings)
+    if not edges:
         return []
-    quotas = _quotas({language: sum(found.values()) for language, found in ranges.items()}, settings)
-    edges = []
-    for language, found in ranges.items():
-        seen = 0
-        for k in sorted(found):
-            seen += found[k]
-            if seen >= quotas[language]:
-                break
-        edges.append((language, k))
 
     def smallest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list] = {}
@@ -234,9 +252,9 @@ def _sample(rows: DataFrame, settings: LanguageSettings) -> list[tuple[int, str,
             arrays += [pa.array([found[k] for _, found in heap], kind) for k in (0, 1)]
             yield pa.RecordBatch.from_arrays(arrays, names=["_hash", "_lang", "features", "counts"])
 
-    edges = rows.sparkSession.createDataFrame(edges, "_lang string, _edge int")
     # One row per language.
-    near = rows.join(F.broadcast(edges), "_lang").filter(place <= F.col("_edge")).select("_hash", "_lang", "_text")
+    near = rows.join(_per_language(rows, edges), "_lang").filter(F.shiftright("_hash", shift) <= F.col("_edge"))
+    near = near.select("_hash", "_lang", "_text")
     found = near.mapInArrow(smallest, "_hash bigint, _lang string, features array<int>, counts array<int>").collect()
     taken: dict[str, int] = {}
     sample = []

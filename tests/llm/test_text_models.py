@@ -303,3 +303,27 @@ def test_rare_languages_are_learned(spark):
     for lang, n in {"aa": 99, "rare": 3, "once": 1}.items():
         hashes = sorted({r["_hash"] for r in lettered.filter(lettered["_lang"] == lang).collect()})
         assert [r[0] for r in sample if r[1] == lang] == hashes[:n]
+
+
+def test_no_more_rows_than_the_quotas_are_sent_to_the_driver(spark):
+    wanted = langid.LanguageSettings(max_train=40, least_train=1)
+    rows = spark.range(60_000).selectExpr(
+        "if(id % 7 = 0, 'fr', 'en') _lang", "xxhash64(id) _hash", "concat('text ', id) _text"
+    )
+    shift, edges, quotas = langid._cutoffs(rows, wanted)
+    passed = rows.join(langid._per_language(rows, edges), "_lang").filter(F.shiftright("_hash", shift) <= F.col("_edge"))
+    counts = {r["_lang"]: r["count"] for r in passed.groupBy("_lang").count().collect()}
+    assert all(quotas[k] <= n <= quotas[k] + 1 for k, n in counts.items())
+    sample = langid._sample(rows, wanted)
+    smallest = {}
+    for r in sorted(rows.collect(), key=lambda r: r["_hash"]):
+        if len(smallest.setdefault(r["_lang"], [])) < quotas[r["_lang"]]:
+            smallest[r["_lang"]].append(r["_hash"])
+    assert sorted(h for found in smallest.values() for h in found) == [s[0] for s in sample]
+
+
+@pytest.mark.parametrize("length", [45, 60, 100, 5000])
+def test_addresses_inside_long_words(spark, field, length):
+    word = "a" * length + ",jörg@mail.example.com," + "b" * length
+    frame = spark.createDataFrame([(1, f"write to {word} now")], "doc_id bigint, text string")
+    assert [s["kind"] for s in pii.find_pii(frame).first()["spans"]][:1] == ["email"]
