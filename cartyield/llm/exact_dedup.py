@@ -21,19 +21,37 @@ class DigestIndex:
     Args:
         path: a folder every executor can reach.
         id_type: SQL type of the documents' ids.
-        buckets: number of buckets, fixed when the index is made; as many as shuffle partitions unless given.
+        buckets: number of buckets, fixed when the index is made: as many as shuffle partitions then unless given. The number
+            lies beside the data, so that any session opens the index with it; asking for another one is an error.
     """
 
     def __init__(self, spark: SparkSession, path: str, id_type: str = "bigint", buckets: int | None = None):
         self.spark = spark
         self.path = path
-        buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.buckets = self._fixed(buckets)
         self.table = f"digest_index_{hashlib.md5(path.encode()).hexdigest()}"
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.table} (digest binary, keep_id {id_type}, group_size bigint) "
-            f"USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{path}'"
+            f"USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{path}'"
         )
 
+    def _fixed(self, wanted: int | None) -> int:
+        """The number of buckets named by a marker file of the index, which is made with the index."""
+        jvm, mark = self.spark._jvm, "_buckets-"
+        folder = jvm.org.apache.hadoop.fs.Path(self.path)
+        files = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        names = [f.getPath().getName() for f in files.listStatus(folder)] if files.exists(folder) else []
+        marks = [int(name.removeprefix(mark)) for name in names if name.startswith(mark)]
+        if marks:
+            if wanted not in (None, marks[0]):
+                raise ValueError(f"the index at {self.path} has {marks[0]} buckets, not {wanted}")
+            return marks[0]
+        if any(name.endswith(".parquet") for name in names) and wanted is None:
+            raise ValueError(f"the index at {self.path} does not say how many buckets it has")
+        wanted = wanted or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        files.create(jvm.org.apache.hadoop.fs.Path(folder, f"{mark}{wanted}"), True).close()
+        return wanted
+
     def entries(self) -> DataFrame:
         """(digest, keep_id, group_size), read without regard to buckets.
 

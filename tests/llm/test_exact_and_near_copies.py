@@ -126,3 +126,23 @@ def test_components(spark):
     expected = slow_components(nodes, [x for x in links if x[0] != x[1]])
     assert {r["node"]: r["root"] for r in components(frame, Workspace(spark)).collect()} == expected
     assert components(frame.limit(0), Workspace(spark)).count() == 0
+
+
+@pytest.mark.parametrize("partitions", ["2", "9"])
+def test_index_is_opened_with_its_own_buckets(spark, tmp_path, partitions):
+    path, before = str(tmp_path / "index"), spark.conf.get("spark.sql.shuffle.partitions")
+    texts = spark.createDataFrame([(k, f"text {k}") for k in range(200)], "doc_id bigint, text string")
+    index = DigestIndex(spark, path)
+    assert exact_dedup(texts, index).filter("kept").count() == 200
+    spark.sql(f"DROP TABLE {index.table}")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        again = DigestIndex(spark, path)
+        assert again.buckets == int(before)
+        second = exact_dedup(texts, again).collect()
+        assert len(second) == 200 and not any(r["kept"] for r in second)
+        assert again.entries().count() == 200
+        with pytest.raises(ValueError, match="buckets"):
+            DigestIndex(spark, path, buckets=int(before) + 1)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
