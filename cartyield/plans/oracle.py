@@ -250,6 +250,8 @@ FROM (SELECT DISTINCT tid, item FROM items) JOIN orders ON o_orderkey = tid GROU
         "twu_contributions": f"""{_BRAND_TWU}
 SELECT tid, item, total AS twu FROM merged JOIN receipts USING (tid)""",
         "twu_merge": f"{_BRAND_TWU} SELECT item, twu FROM twu",
+        "twu_in_drops": f"""WITH {SOLD_ITEMS}
+SELECT item, sum(total_utility)::DOUBLE AS twu FROM (SELECT DISTINCT tid, item, total_utility FROM numbered) GROUP BY item""",
         "promising_items": f"{_PART_TWU} SELECT item, twu FROM twu WHERE twu >= (SELECT m FROM m)",
         "item_rank": f"{_PART_TWU}, {RANKS} SELECT item, twu, rank::INT AS rank FROM ranks",
         "promising_transactions": f"""{_PART_TWU},

@@ -19,6 +19,7 @@ from ..sinks import documents, tables, text as text_sink
 from ..sources import text
 from ..sources.generate import generate_transactions
 from ..sources.tables import items_from
+from ..streaming.twu import TwuStore, accumulate_twu
 from .run import Run, run
 from .workspace import Workspace
 
@@ -268,6 +269,19 @@ def twu_merge(spark: SparkSession, folder: str) -> DataFrame:
     return whole(twu.merge_twu(twu.twu(items.filter(earlier)), twu.twu(items.filter(~earlier))), "twu")
 
 
+def twu_in_drops(spark: SparkSession, folder: str) -> DataFrame:
+    """TWU of receipts that arrive in two drops of files, the second one read after the first has been stored."""
+    workspace = Workspace(spark)
+    inbox, store = workspace.path("inbox"), TwuStore(spark, workspace.path("twu-store"))
+    orders = table(spark, folder, "orders").select(F.col("o_orderkey").alias("tid"), "o_orderdate")
+    items = sold_items(spark, folder).join(orders, "tid")
+    earlier, checkpoint = F.col("o_orderdate") < BATCH_DATE, workspace.path("seen")
+    for drop in (items.filter(earlier), items.filter(~earlier)):
+        text_sink.write_transactions(drop, inbox, mode="append")
+        accumulate_twu(spark, inbox, store, checkpoint)
+    return store.read().select("item", F.col("twu").cast("double").alias("twu"))
+
+
 def stored_twu(items: DataFrame) -> tuple[DataFrame, int]:
     """The TWU of line items, computed once, and its mean as a threshold."""
     twu_map = whole(Workspace(items.sparkSession).store(twu.twu(items), "twu"), "twu")
@@ -545,6 +559,7 @@ def queries() -> dict[str, Query]:
         "twu_stated": twu_stated,
         "twu_contributions": twu_contributions,
         "twu_merge": twu_merge,
+        "twu_in_drops": twu_in_drops,
         "promising_items": promising_items,
         "item_rank": item_rank,
         "promising_transactions": promising_transactions,
