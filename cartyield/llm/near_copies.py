@@ -12,7 +12,7 @@ rows; then pairs from different groups are. Every link is confirmed on the whole
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
@@ -44,15 +44,6 @@ def shingles(text: str | None, words_per_shingle: int = 5) -> np.ndarray:
     return np.unique(np.array([digest(joined[i:j], SEED) for i, j in zip(starts, stops)], np.uint64))
 
 
-def alike(a: np.ndarray, b: np.ndarray, similarity: Fraction) -> bool:
-    """Whether the Jaccard similarity of two sorted sets is at least ``similarity``, in whole numbers."""
-    s, t = similarity.numerator, similarity.denominator
-    if t * min(len(a), len(b)) < s * max(len(a), len(b)):
-        return False
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return t * both >= s * (len(a) + len(b) - both)
-
-
 def sketch(found: np.ndarray) -> np.ndarray:
     """How many members of a set fall into each of 256 buckets; two sets share no more than the smaller counts."""
     return np.bincount((found >> np.uint64(56)).astype(np.int64), minlength=_BUCKETS).astype(np.uint32)
@@ -103,41 +94,35 @@ def _prefixes(sets: DataFrame, similarity: Fraction, workspace: Workspace) -> Da
     return placed.filter(F.col("place") < length(s, t)).withColumn("short", F.col("place") < length(2 * s, s + t))
 
 
-def _held(pairs: DataFrame, sides: DataFrame, test: Callable[[np.ndarray, np.ndarray], bool]) -> DataFrame:
-    """Those of ``pairs`` (u, v) whose ``sides`` (node, side) pass the test."""
-
-    def read(side: pa.Scalar) -> np.ndarray:
-        if isinstance(side, pa.BinaryScalar):
-            return np.frombuffer(side.as_buffer(), np.uint32)
-        return side.values.to_numpy().view(np.uint64)
-
-    def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept = [test(read(a), read(b)) for a, b in zip(batch.column(2), batch.column(3))]
-            yield batch.select([0, 1]).filter(pa.array(kept, pa.bool_()))
-
+def _with_sides(pairs: DataFrame, sides: DataFrame) -> DataFrame:
+    """(u, v, a, b): pairs with the ``side`` of both, from (node, side)."""
     left = sides.select(F.col("node").alias("u"), F.col("side").alias("a"))
     right = sides.select(F.col("node").alias("v"), F.col("side").alias("b"))
-    return pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b").mapInArrow(hold, "u bigint, v bigint")
+    return pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: Fraction, workspace: Workspace) -> DataFrame:
     """Those of ``pairs`` (u, v) whose whole sets are similar.
 
-    Most of the others fall by their sketches, so that only the sets of likely pairs are moved.
+    Most of the others fall by their sketches, so that only the sets of likely pairs are moved. These are compared where they are
+    joined, one pair at a time.
     """
     s, t = similarity.numerator, similarity.denominator
 
-    def possible(a: np.ndarray, b: np.ndarray) -> bool:
-        most = int(np.minimum(a, b).sum(dtype=np.int64))
-        return t * most >= s * (int(a.sum(dtype=np.int64)) + int(b.sum(dtype=np.int64)) - most)
-
-    def similar(a: np.ndarray, b: np.ndarray) -> bool:
-        return alike(a, b, similarity)
+    def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = [[np.frombuffer(x.as_buffer(), np.uint32) for x in batch.column(k)] for k in (2, 3)]
+            kept = []
+            for a, b in zip(*counts):
+                most = int(np.minimum(a, b).sum(dtype=np.int64))
+                kept.append(t * most >= s * (int(a.sum(dtype=np.int64)) + int(b.sum(dtype=np.int64)) - most))
+            yield batch.select([0, 1]).filter(pa.array(kept, pa.bool_()))
 
-    sketches = sets.select("node", F.col("sketch").alias("side"))
-    likely = workspace.store(_held(pairs, sketches, possible), "likely")
-    return workspace.store(_held(likely, sets.select("node", F.col("members").alias("side")), similar), "links-found")
+    sketched = _with_sides(pairs, sets.select("node", F.col("sketch").alias("side")))
+    likely = workspace.store(sketched.mapInArrow(possible, "u bigint, v bigint"), "likely")
+    whole = _with_sides(likely, sets.select("node", F.col("members").alias("side")))
+    whole = whole.select("u", "v", (F.size("a") + F.size("b")).alias("sizes"), F.size(F.array_intersect("a", "b")).alias("both"))
+    return workspace.store(whole.filter(F.col("both") * (s + t) >= F.col("sizes") * s).select("u", "v"), "links-found")
 
 
 def _pivot(node: Column, key: Column) -> Column:
