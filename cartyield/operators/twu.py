@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.units import from_units, receipt_sum, scale_of, threshold, to_units, total
-from ..plans.workspace import Workspace
+from ..plans.workspace import Workspace, workspace_for
 from ..sources.text import receipt_total
 from .ordering import dense_index, running_sum
 
@@ -119,9 +119,13 @@ def item_rank(twu_map: DataFrame, min_util, workspace: Workspace | None = None)
     return ranked.withColumn("rank", F.col("rank").cast("int"))
 
 
-def promising_transactions(items: DataFrame, promising: DataFrame) -> DataFrame:
-    """Receipts cut to their promising items, with ``total_utility`` added up again."""
+def promising_transactions(items: DataFrame, promising: DataFrame, workspace: Workspace | None = None) -> DataFrame:
+    """Receipts cut to their promising items, with ``total_utility`` added up again.
+
+    What is kept is stored, so that lines and totals come from one pass over the items.
+    """
     kept = items.drop("total_utility").join(promising.select("item"), "item", "left_semi")
+    kept = workspace_for(items, workspace).store(kept, "kept")
     dtype = items.schema["utility"].dataType
     totals = kept.groupBy("tid").agg(F.sum("utility").cast(dtype).alias("total_utility"))
     return kept.join(totals, "tid")

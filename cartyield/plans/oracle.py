@@ -237,6 +237,12 @@ SELECT tid, coalesce(utility, 0)::BIGINT AS utility
 FROM (SELECT DISTINCT tid FROM items) LEFT JOIN first USING (tid)""",
         "contains_all": f"""WITH {BRAND_ITEMS}
 SELECT tid FROM items WHERE item IN ('{_A}', '{_B}') GROUP BY tid HAVING count(DISTINCT item) = 2""",
+        "contains_lists": f"""WITH {BRAND_ITEMS},
+lists AS (SELECT DISTINCT p_partkey - k AS list_id, p_brand AS item FROM part, range(3) r(k)),
+sizes AS (SELECT list_id, count(*) AS size FROM lists GROUP BY list_id),
+held AS (SELECT DISTINCT tid, item FROM items),
+shared AS (SELECT list_id, tid, count(*) AS n FROM lists JOIN held USING (item) GROUP BY list_id, tid)
+SELECT list_id, tid FROM shared JOIN sizes USING (list_id) WHERE n = size""",
         "remaining_after": f"""WITH {BRAND_ITEMS},
 last AS (SELECT tid, max(pos) AS last FROM (
            SELECT tid, item, min(pos) AS pos FROM items WHERE item IN ('{_A}', '{_B}')

@@ -240,6 +240,13 @@ def contains_all(spark: SparkSession, folder: str) -> DataFrame:
     return baskets.contains_all(brand_items(spark, folder), NAMES[:2])
 
 
+def contains_lists(spark: SparkSession, folder: str) -> DataFrame:
+    """The orders that hold all brands of three parts in a row, for every such row of parts."""
+    places = F.explode(F.sequence(F.col("p_partkey") - 2, F.col("p_partkey")))
+    lists = table(spark, folder, "part").select(places.alias("list_id"), F.col("p_brand").alias("item"))
+    return baskets.contains_lists(brand_items(spark, folder), lists)
+
+
 def remaining_after(spark: SparkSession, folder: str) -> DataFrame:
     return baskets.remaining_after(brand_items(spark, folder), NAMES[:2])
 
@@ -554,6 +561,7 @@ def queries() -> dict[str, Query]:
         "item_lookup": item_lookup,
         "item_utility_or_zero": item_utility_or_zero,
         "contains_all": contains_all,
+        "contains_lists": contains_lists,
         "remaining_after": remaining_after,
         "twu": twu_query,
         "twu_stated": twu_stated,

@@ -1,3 +1,4 @@
+import random
 from decimal import Decimal
 
 import pytest
@@ -177,3 +178,17 @@ def test_generated_receipts(spark):
     assert rows(again) == sorted((tuple(r) for r in made), key=repr)
     other = generate_transactions(spark.range(0, 2000, 1, 3), seed=7, tid="id")
     assert rows(other) != rows(again)
+
+
+def test_lists_held_by_receipts(spark):
+    rng = random.Random(6)
+    receipts = {t: set(rng.sample("ABCDEFGH", rng.randint(1, 6))) for t in range(60)}
+    lists = {k: set(rng.sample("ABCDEFGHZ", rng.randint(1, 4))) for k in range(30)} | {90: {"Z"}, 91: {"A", "B"}, 92: {"A", "B"}}
+    lines = [(t, i) for t, held in receipts.items() for i in held] * 2 + [(1, None), (None, "A")]
+    wanted = [(k, i) for k, names in lists.items() for i in names] + [(91, "A"), (93, None)]
+    items = spark.createDataFrame(lines, "tid bigint, item string")
+    found = baskets.contains_lists(items, spark.createDataFrame(wanted, "list_id int, item string"))
+    expected = [(k, t) for k, names in lists.items() for t, held in receipts.items() if names <= held]
+    assert rows(found) == sorted(expected, key=repr)
+    assert baskets.contains_lists(items, spark.createDataFrame([], "list_id int, item string")).count() == 0
+    assert baskets.contains_lists(items.limit(0), spark.createDataFrame(wanted, "list_id int, item string")).count() == 0
