@@ -47,8 +47,6 @@ def main() -> None:
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="cartyield-bench-"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        # Joins whose measured partitions are small are hashed, not sorted.
-        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64m")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
