@@ -29,7 +29,7 @@ from ..functions.itemsets import itemset_name
 from ..functions.units import TOTAL, from_units, threshold_units, total
 from ..plans.workspace import Workspace, workspace_for
 from . import projection
-from .ordering import dense_index
+from .ordering import dense_index, segmented_max_before
 from .twu import promising_items, receipt_totals, twu_sums, unit_lines
 from .utility_list import gain, segmented_utility_list, upper_bound, utility_list
 
@@ -214,33 +214,48 @@ def _as_candidates(larger: DataFrame, mode: Mode) -> DataFrame:
     )
 
 
-def _long_pairs(parents: DataFrame, rows: DataFrame, short: DataFrame, limit: int, ws: Workspace) -> DataFrame:
-    """Candidate rows of pairs in long receipts, without pairing up every one of them. Exact mode only.
+def _with_best(rows: DataFrame, ws: Workspace) -> DataFrame:
+    """Rows of long receipts with ``best``: the most that a later item of the receipt, and what is printed after that, can add."""
+    valued = rows.withColumn("_adds", F.col("u") + gain("ru"))
+    return segmented_max_before(valued, "tid", "_adds", "best", [F.desc("rank")], ws).drop("_adds")
 
-    In the long receipts a pair {x, y} can earn at most what x and all after it earn there. Where
+
+def _long_pairs(parents: DataFrame, rows: DataFrame, short: DataFrame, limit: int, mode: Mode, ws: Workspace) -> DataFrame:
+    """Candidate rows of pairs in long receipts, without pairing up every one of them.
+
+    In the long receipts a pair {x, y} can earn at most what x and all after it earn there, or, where only the ends of an
+    itemset count, what x and the best later item do with all that is printed after that. Where
     that stays below the threshold, the pair needs the other receipts, whose candidate rows are ``short``: it is made in the long ones
-    only if the sum of both still reaches the threshold, and found there by its two items.
+    only if the sum of both still reaches the threshold, and found there by its two items. A pair not made has neither the
+    utility nor the bound that would keep it.
     """
     least = F.lit(Decimal(limit))
-    alone = parents.groupBy("node").agg(total(upper_bound()).alias("alone"))
+    if mode.exact:
+        most, there = upper_bound(), total("reach")
+    else:
+        best = _with_best(rows, ws).select("tid", F.col("rank").alias("last"), "best")
+        parents = ws.store(parents.join(best, ["tid", "last"]), "long-parents")
+        most = F.greatest(F.col("iu") + F.col("best"), F.lit(0))
+        there = F.greatest(total("iu"), total(upper_bound(signed=True)))
+    alone = parents.groupBy("node").agg(total(most).alias("alone"))
     alone = ws.store(alone, "long-sums")
     wanting = alone.filter(F.col("alone") < least)
     # Only items that long receipts hold need their pairs counted beforehand.
     others = short.join(wanting.select(F.col("node").alias("prefix")), "prefix", "left_semi")
-    elsewhere = others.groupBy("prefix", "last").agg(total("reach").alias("elsewhere"))
+    elsewhere = others.groupBy("prefix", "last").agg(there.alias("elsewhere"))
     needed = elsewhere.join(wanting, F.col("prefix") == F.col("node")).filter(
         F.col("elsewhere") + F.col("alone") >= least
     )
     needed = ws.store(needed.select("node", F.col("last").alias("rank")), "long-pairs")
 
     enough = alone.filter(F.col("alone") >= least).select("node")
-    every = _extend(parents.join(enough, "node", "left_semi"), rows, None, EXACT)
+    every = _extend(parents.join(enough, "node", "left_semi"), rows, None, mode)
     some = (
         parents.withColumnRenamed("ru", "ru_parent")
         .join(needed, "node")
         .join(rows.select("tid", "rank", "u", "ru"), ["tid", "rank"])
     )
-    return every.unionByName(_as_candidates(some, EXACT))
+    return every.unionByName(_as_candidates(some, mode))
 
 
 def _named(nodes: DataFrame, ranks: DataFrame, dtype: T.DataType) -> DataFrame:
@@ -421,8 +436,8 @@ def _search(
             parents = _extendable_rows(long_candidates, last)
             if level > 1:
                 parents = replaced("rows", parents, clustered=True)
-            if level == 1 and mode.exact:
-                long_candidates = _long_pairs(parents, partners, candidates, limit.units, ws)
+            if level == 1:
+                long_candidates = _long_pairs(parents, partners, candidates, limit.units, mode, ws)
             else:
                 long_candidates = _extend(parents, partners, joinable, mode, pairs)
             candidates = candidates.unionByName(long_candidates.select(*candidates.columns))

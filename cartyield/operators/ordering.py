@@ -97,6 +97,18 @@ def running_sum(
     )
 
 
+def _segmented(
+    df: DataFrame, group: str, value: str, order: list[Column], aggregate, end: int, workspace: Workspace | None, name: str
+) -> DataFrame:
+    """``df`` with ``_before`` and ``_inside``: the aggregate of the row's group in earlier ranges and in its own up to ``end``."""
+    located = _located(df.orderBy(group, *order), workspace, name)
+    parts = located.groupBy(group, "_part").agg(aggregate(value).alias("_whole"))
+    before = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.select(group, "_part", aggregate("_whole").over(before).alias("_before"))
+    inside = Window.partitionBy(group, "_part").orderBy("_row").rowsBetween(Window.unboundedPreceding, end)
+    return located.join(offsets, [group, "_part"]).select(*df.columns, "_before", aggregate(value).over(inside).alias("_inside"))
+
+
 def segmented_sum(
     df: DataFrame,
     group: str,
@@ -110,9 +122,18 @@ def segmented_sum(
     A group may be of any size: rows are sorted by group and order into ranges, so that a large group spans several tasks. Each
     range adds up its own rows of a group, and only these sums, one per group and range, are put in line.
     """
-    located = _located(df.orderBy(group, *order), workspace, f"segments-{name}")
-    sums = located.groupBy(group, "_part").agg(F.sum(value).alias("_sum"))
-    before = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(group, "_part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy(group, "_part").orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)
-    return located.join(offsets, [group, "_part"]).select(*df.columns, (F.col("_before") + F.sum(value).over(inside)).alias(name))
+    parts = _segmented(df, group, value, order, F.sum, 0, workspace, f"segments-{name}")
+    return parts.select(*df.columns, (F.coalesce("_before", F.lit(0)) + F.col("_inside")).alias(name))
+
+
+def segmented_max_before(
+    df: DataFrame,
+    group: str,
+    value: str,
+    name: str,
+    order: list[Column],
+    workspace: Workspace | None = None,
+) -> DataFrame:
+    """Add ``name`` = largest ``value`` before the row, in order within its ``group``; null for the first. Works as ``segmented_sum``."""
+    parts = _segmented(df, group, value, order, F.max, -1, workspace, f"segments-{name}")
+    return parts.select(*df.columns, F.greatest("_before", "_inside").alias(name))

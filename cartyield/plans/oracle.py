@@ -141,6 +141,26 @@ LONG = f"""agg_long AS (
   SELECT its, utility + size AS utility, transactions + 1 AS transactions, size FROM agg),
 {shaped("agg_long")}"""
 
+# Where only the ends of an itemset count, it adds two cents, and to the bound also what is printed after the last item. The SQL walks
+# the other receipts and adds that to whatever is found there; by itself the long receipt reaches no threshold.
+LONG_ITEMS = f"""{keyed_items("l_partkey")},
+every AS (
+  SELECT * FROM items
+  UNION ALL SELECT -1, p_partkey, p_partkey::VARCHAR, 1 FROM part)"""
+LONG_ENDS = """agg AS (
+  SELECT path, its, a.utility + least(size, 2) AS utility, a.transactions + 1 AS transactions, size,
+         bound + least(size, 2) + ru AS bound
+  FROM agg_orders a JOIN (SELECT rank, ru FROM ul WHERE tid = -1) ON rank = path[size])"""
+
+
+def endpoints_long() -> str:
+    """All but the threshold looks at every receipt; only orders are walked."""
+    query = endpoints(LONG_ITEMS, q.LONG_SHARE, twu=TWU.replace("FROM items GROUP BY tid, item", "FROM every GROUP BY tid, item"))
+    query = query.replace("SELECT tid, rank, [rank], [item], iu, iu, ru FROM ul", "SELECT tid, rank, [rank], [item], iu, iu, ru FROM ul WHERE tid <> -1")
+    query = query.replace("agg AS (", "agg_orders AS (", 1).replace("sum(greatest(iu + ru, 0))::BIGINT AS bound", "sum(iu + ru)::BIGINT AS bound")
+    return query.replace(PREFIXES_KEPT, f"{LONG_ENDS},\n{PREFIXES_KEPT}")
+
+
 LOSS_ITEMS = BRAND_ITEMS.replace("AS utility", f"- {q.LINE_COST} AS utility")
 MINED = exact(BRAND_ITEMS)
 FLAT = "SELECT itemset_name, utility, size, transactions FROM found"
@@ -298,6 +318,7 @@ WHERE a.item = '{_A}' AND b.item = '{_B}' AND c.item = '{_C}'""",
         "mine_stats_endpoints": f"{endpoints(BRAND_ITEMS, kept=ALL_KEPT)} SELECT {counters('reached')}",
         "mine_endpoints_stated": f"{endpoints(STATED_ITEMS, twu=STATED_TWU)} {FLAT}",
         "mine_exact_long": f"""{exact(_PARTS, q.LONG_SHARE).replace(shaped("agg"), LONG)} {FLAT}""",
+        "mine_endpoints_long": f"{endpoints_long()} {FLAT}",
         "run_text": f"{exact(TEXT_ITEMS, limit=TEXT_LIMIT)} {TEXT_FLAT}",
         "run_text_endpoints": f"{endpoints(TEXT_ITEMS, limit=TEXT_LIMIT)} {TEXT_FLAT}",
         "run_text_counters": f"""{exact(TEXT_ITEMS, limit=TEXT_LIMIT)}

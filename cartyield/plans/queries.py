@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.itemsets import item_utility, itemset_name, size_class
 from ..operators import baskets, results, twu, utility_list
 from ..operators.mining import ENDPOINTS, EXACT, Mining, Mode, mine, mine_top
+from ..operators import search_size as search
 from ..operators.ordering import dense_index
 from ..sinks import documents, tables, text as text_sink
 from ..sources import text
@@ -446,12 +447,27 @@ def mine_endpoints_stated(spark: SparkSession, folder: str) -> DataFrame:
     return flat(mined(items, ENDPOINTS).itemsets)
 
 
-def mine_exact_long(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders, and one receipt more that holds every part for a cent."""
+def orders_and_all_parts(spark: SparkSession, folder: str) -> tuple[DataFrame, int]:
+    """Orders, and one receipt more that holds every part for a cent; a threshold."""
     items = keyed_items(spark, folder, "l_partkey")
     parts = table(spark, folder, "part")
     everything = items_from(parts, tid=F.lit(-1).cast("bigint"), item="p_partkey", utility=F.lit(1).cast("bigint"), pos=F.col("p_partkey"))
-    return flat(mine(items.unionByName(everything), share_of_total(items, LONG_SHARE)).itemsets)
+    return items.unionByName(everything), share_of_total(items, LONG_SHARE)
+
+
+def mine_exact_long(spark: SparkSession, folder: str) -> DataFrame:
+    items, limit = orders_and_all_parts(spark, folder)
+    return flat(mine(items, limit).itemsets)
+
+
+def mine_endpoints_long(spark: SparkSession, folder: str) -> DataFrame:
+    items, limit = orders_and_all_parts(spark, folder)
+    return flat(mine(items, limit, ENDPOINTS).itemsets)
+
+
+def search_size(spark: SparkSession, folder: str) -> DataFrame:
+    items = keyed_items(spark, folder, "l_suppkey")
+    return search.search_size(items, share_of_total(items, SUPPLIER_SHARE))
 
 
 def top_k_mining(spark: SparkSession, folder: str) -> DataFrame:
@@ -591,6 +607,8 @@ def queries() -> dict[str, Query]:
         "mine_exact_losses": mine_exact_losses,
         "mine_endpoints_stated": mine_endpoints_stated,
         "mine_exact_long": mine_exact_long,
+        "mine_endpoints_long": mine_endpoints_long,
+        "search_size": search_size,
         "top_k_mining": top_k_mining,
         "mine_stats": mine_stats,
         "mine_stats_endpoints": mine_stats_endpoints,

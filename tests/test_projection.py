@@ -6,7 +6,8 @@ from test_mining import brute_force, found, frame, make
 
 from cartyield import ENDPOINTS, mine
 from cartyield.operators import mining, projection
-from cartyield.operators.ordering import segmented_sum
+from cartyield.operators.ordering import segmented_max_before, segmented_sum
+from cartyield.operators.search_size import search_size
 from cartyield.operators.twu import item_rank, twu
 from cartyield.operators.utility_list import build_utility_list
 from conftest import rows
@@ -113,3 +114,62 @@ def test_segmented_utility_list_equals_the_plain_one(spark, remaining):
     segmented = build_utility_list(items, ranks, remaining, segmented=True)
     assert segmented.dtypes == plain.dtypes
     assert rows(segmented) == rows(plain)
+
+
+def test_segmented_max_before(spark):
+    rng = random.Random(4)
+    data = [("big" if k % 3 else f"g{k % 30}", k, rng.randint(-99, 99)) for k in range(3000)]
+    df = spark.createDataFrame(data, "g string, k bigint, v bigint").repartition(6)
+    best, expected = {}, []
+    for g, k, v in sorted(data, key=lambda r: -r[1]):
+        expected.append((g, k, v, best.get(g)))
+        best[g] = max(best.get(g, v), v)
+    assert rows(segmented_max_before(df, "g", "v", "b", [F.desc("k")])) == sorted(expected, key=repr)
+
+
+@pytest.mark.parametrize("losses", [False, True])
+def test_pairs_of_long_receipts_where_only_ends_count(spark, monkeypatch, losses):
+    """Not all pairs of long receipts are made, and the results are those of a search that makes them."""
+    rng = random.Random(6)
+    names = [f"i{n:02d}" for n in range(40)]
+    lines = [(0, p, name, -rng.randint(0, 4) if losses and p % 5 == 0 else rng.randint(1, 4)) for p, name in enumerate(rng.sample(names, 40))]
+    lines += [(t, p, name, rng.randint(1, 60)) for t in range(1, 60) for p, name in enumerate(rng.sample(names, 4))]
+    made, as_candidates = [], mining._as_candidates
+
+    def counting(larger, mode):
+        candidates = as_candidates(larger, mode)
+        made.append(candidates.count())
+        return candidates
+
+    monkeypatch.setattr(mining, "_as_candidates", counting)
+    limits = (150, 300)
+    short = [found(mine(frame(spark, lines), limit, ENDPOINTS)) for limit in limits]
+    assert not made and short[0]
+    monkeypatch.setattr(mining, "SPLIT_ITEMS", 8)
+    for limit, expected in zip(limits, short):
+        made.clear()
+        assert found(mine(frame(spark, lines), limit, ENDPOINTS)) == expected
+    assert made[0] + made[1] < 40 * 39 // 4
+
+
+@pytest.mark.parametrize("split", [1024, 3])
+def test_search_size(spark, monkeypatch, split):
+    """Estimates lie within their errors of what a search meets, and do not depend on how receipts are held."""
+    monkeypatch.setattr(mining, "SPLIT_ITEMS", split)
+    rng = random.Random(5)
+    lines = [(t, p, i, rng.randint(1, 30)) for t in range(80) for p, i in enumerate(rng.sample("ABCDEFGHIJ", 5))]
+    items, limit = frame(spark, lines), sum(line[3] for line in lines) // 25
+    nodes = mine(items, limit).nodes.groupBy(F.size("ranks").alias("size")).agg(F.count_if("extendable"), F.count_if("found"))
+    actual = {size: counts for size, *counts in nodes.collect()}
+    estimate = {r["size"]: r for r in search_size(items, limit, walks=200, seed=3).collect()}
+    assert len(estimate) >= 3 and set(estimate) <= set(actual) | {max(actual) + 1}
+    assert [estimate[1]["extendable"], estimate[1]["found"]] == actual[1] and estimate[1]["extendable_error"] == 0
+    assert estimate[1]["rows"] == len(lines)
+    for size, (extendable, hits) in actual.items():
+        if size in estimate:
+            assert abs(estimate[size]["extendable"] - extendable) <= 4 * estimate[size]["extendable_error"]
+            assert abs(estimate[size]["found"] - hits) <= 4 * estimate[size]["found_error"] + 1e-6
+    again = {r["size"]: r for r in search_size(items.repartition(7), limit, walks=200, seed=3).collect()}
+    assert {s: r["extendable"] for s, r in again.items()} == pytest.approx({s: r["extendable"] for s, r in estimate.items()})
+    nothing = search_size(items.limit(0), limit).collect()
+    assert [(r["size"], r["extendable"], r["found"], r["rows"]) for r in nothing] == [(1, 0, 0, 0)]
