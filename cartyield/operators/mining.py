@@ -221,10 +221,10 @@ def _with_best(rows: DataFrame, ws: Workspace) -> DataFrame:
 
 
 def _long_pairs(parents: DataFrame, rows: DataFrame, short: DataFrame, limit: int, mode: Mode, ws: Workspace) -> DataFrame:
-    """Candidate rows of pairs in long receipts, without pairing up every one of them.
+    """Candidate rows of itemsets x and a later item y in long receipts, without pairing up every one of them.
 
     In the long receipts a pair {x, y} can earn at most what x and all after it earn there, or, where only the ends of an
-    itemset count, what x and the best later item do with all that is printed after that. Where
+    itemset count, what the first item of x and the best later item (``best`` of ``rows``) do with all that is printed after that. Where
     that stays below the threshold, the pair needs the other receipts, whose candidate rows are ``short``: it is made in the long ones
     only if the sum of both still reaches the threshold, and found there by its two items. A pair not made has neither the
     utility nor the bound that would keep it.
@@ -233,9 +233,8 @@ def _long_pairs(parents: DataFrame, rows: DataFrame, short: DataFrame, limit: in
     if mode.exact:
         most, there = upper_bound(), total("reach")
     else:
-        best = _with_best(rows, ws).select("tid", F.col("rank").alias("last"), "best")
-        parents = ws.store(parents.join(best, ["tid", "last"]), "long-parents")
-        most = F.greatest(F.col("iu") + F.col("best"), F.lit(0))
+        parents = parents.join(rows.select("tid", F.col("rank").alias("last"), "best"), ["tid", "last"])
+        most = F.greatest(F.col("head") + F.col("best"), F.lit(0))
         there = F.greatest(total("iu"), total(upper_bound(signed=True)))
     alone = parents.groupBy("node").agg(total(most).alias("alone"))
     alone = ws.store(alone, "long-sums")
@@ -428,6 +427,8 @@ def _search(
             joined = levels[0].filter("joinable").select(F.col("last").alias("rank"))
             partners = long_rows.join(joined, "rank", "left_semi")
             beside = int(long_rows.select("tid", "reach").distinct().agg(total("reach")).first()[0] or 0)
+        else:
+            partners = replaced("best", _with_best(long_rows, ws), clustered=True)
     while True:
         level, last = len(levels), levels[-1]
         joinable = last.filter("joinable") if mode.exact and level > 1 else None
@@ -436,7 +437,7 @@ def _search(
             parents = _extendable_rows(long_candidates, last)
             if level > 1:
                 parents = replaced("rows", parents, clustered=True)
-            if level == 1:
+            if level == 1 or not mode.exact:
                 long_candidates = _long_pairs(parents, partners, candidates, limit.units, mode, ws)
             else:
                 long_candidates = _extend(parents, partners, joinable, mode, pairs)
