@@ -130,6 +130,14 @@ def _pivot(node: Column, key: Column) -> Column:
     return node.bitwiseXOR(F.xxhash64(F.pmod(key, F.lit(8))))
 
 
+def _possible(similarity: Fraction) -> Column:
+    """Whether sets of ``size`` and ``size_v`` with a member in common at ``place`` and ``place_v`` can be similar at all."""
+    s, t = F.lit(similarity.numerator), F.lit(similarity.denominator)
+    rest = F.least(F.col("size") - F.col("place"), F.col("size_v") - F.col("place_v"))
+    room = (F.least("place", "place_v") + rest) * (s + t) >= s * (F.col("size") + F.col("size_v"))
+    return room & (F.least("size", "size_v") * t >= F.greatest("size", "size_v") * s)
+
+
 def near_copy_groups(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -158,10 +166,11 @@ def near_copy_groups(
 
     prefixes = workspace.store(_prefixes(sets, similarity, workspace), "prefixes")
     key, node = F.col("key"), F.col("node")
-    pivots = prefixes.groupBy("key").agg(F.min(_pivot(node, key)).alias("pivot"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    pivots = workspace.store(pivots.select("key", _pivot(F.col("pivot"), key).alias("pivot")), "pivots")
-    shared = workspace.store(prefixes.join(pivots, "key"), "shared")
-    stars = shared.filter("node <> pivot").select(F.least("node", "pivot").alias("u"), F.greatest("node", "pivot").alias("v"))
+    first = F.min(F.struct(_pivot(node, key).alias("pivot"), "size", "place")).alias("first")
+    pivots = prefixes.groupBy("key").agg(first, F.count(F.lit(1)).alias("n")).filter("n > 1")
+    pivots = pivots.select("key", _pivot(F.col("first.pivot"), key).alias("pivot"), F.col("first.size").alias("size_v"), F.col("first.place").alias("place_v"))
+    shared = workspace.store(prefixes.join(workspace.store(pivots, "pivots"), "key"), "shared")
+    stars = shared.filter(F.col("node") != F.col("pivot")).filter(_possible(similarity)).select(F.least("node", "pivot").alias("u"), F.greatest("node", "pivot").alias("v"))
     stars = workspace.store(stars.distinct(), "stars")
     links = _confirmed(stars, sets, similarity, workspace)
 
@@ -185,10 +194,6 @@ def _open_pairs(shared: DataFrame, grown: DataFrame, similarity: Fraction, works
     mixed = grouped.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
     large = workspace.store(grouped.join(mixed.select("key"), "key"), "open")
     small = large.filter("short").select("key", *(F.col(c).alias(f"{c}_v") for c in ("node", "size", "place", "root")))
-    s, t = F.lit(similarity.numerator), F.lit(similarity.denominator)
     smaller = (F.col("size_v") < F.col("size")) | ((F.col("size_v") == F.col("size")) & (F.col("node_v") < F.col("node")))
-    rest = F.least(F.col("size") - F.col("place"), F.col("size_v") - F.col("place_v"))
-    room = (F.least("place", "place_v") + rest) * (s + t) >= s * (F.col("size") + F.col("size_v"))
-    near = F.col("size_v") * t >= F.col("size") * s
-    pairs = large.join(small, "key").filter(smaller & near & room & (F.col("root") != F.col("root_v")))
+    pairs = large.join(small, "key").filter(smaller & _possible(similarity) & (F.col("root") != F.col("root_v")))
     return pairs.select(F.least("node", "node_v").alias("u"), F.greatest("node", "node_v").alias("v")).distinct()
