@@ -41,7 +41,7 @@ class _Rows:
     def without(self, ids: DataFrame) -> DataFrame:
         """The documents not among ``ids``."""
         ids = ids.select(F.col("_id.row").alias(self.identity))
-        return self.rows.join(ids, self.identity, "left_anti").drop(self.identity)
+        return self.rows.join(ids.hint("shuffle_hash"), self.identity, "left_anti").drop(self.identity)
 
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -80,7 +80,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     found = rows.workspace.store(found.select("_id", "component_id"), "fingerprint-groups")
     several = found.groupBy("component_id").agg(F.count("*").alias("n")).filter("n > 1").select("component_id")
     near = rows.workspace.store(found.join(several, "component_id", "left_semi").select("_id"), "with-partners")
-    groups = near_copies.near_copy_groups(marked.join(near, "_id", "left_semi"), "_id", workspace=rows.workspace)
+    # As in chosen(): the same plan for few ids and many, and no sorting of texts.
+    texts = marked.join(near.hint("shuffle_hash"), "_id", "left_semi")
+    groups = near_copies.near_copy_groups(texts, "_id", workspace=rows.workspace)
     copies = rows.workspace.store(groups.filter("_id <> component_id").select("_id"), "copies")
     return rows.without(copies)
 
