@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from ..functions.itemsets import item_utility, itemset_name, size_class
 from ..operators import baskets, results, twu, utility_list
 from ..operators.mining import ENDPOINTS, EXACT, Mining, Mode, mine, mine_top
-from ..operators import search_size as search
 from ..operators.ordering import dense_index
+from ..operators.search_size import search_size as size_of_search
 from ..sinks import documents, tables, text as text_sink
 from ..sources import text
 from ..sources.generate import generate_transactions
@@ -467,7 +467,7 @@ def mine_endpoints_long(spark: SparkSession, folder: str) -> DataFrame:
 
 def search_size(spark: SparkSession, folder: str) -> DataFrame:
     items = keyed_items(spark, folder, "l_suppkey")
-    return search.search_size(items, share_of_total(items, SUPPLIER_SHARE))
+    return size_of_search(items, share_of_total(items, SUPPLIER_SHARE))
 
 
 def top_k_mining(spark: SparkSession, folder: str) -> DataFrame:

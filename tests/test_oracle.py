@@ -14,7 +14,8 @@ pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no tables")
 
 
 def test_every_query_has_sql():
-    assert set(catalogue.queries()) == set(oracle_sql())
+    """But for the estimate by random walks, which test_projection compares with what a search meets."""
+    assert set(catalogue.queries()) == set(oracle_sql()) | {"search_size"}
 
 
 @pytest.fixture(scope="module")
@@ -37,6 +38,6 @@ def brands_mined_once(spark):
     catalogue.mined_brands = whole
 
 
-@pytest.mark.parametrize("name", sorted(catalogue.queries()))
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query_agrees_with_sql(spark, db, name):
     assert compare(spark, db, FOLDER, name) is None
