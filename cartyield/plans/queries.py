@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.itemsets import item_utility, itemset_name, size_class
+from ..functions.units import total
 from ..operators import baskets, results, twu, utility_list
 from ..operators.mining import ENDPOINTS, EXACT, Mining, Mode, mine, mine_top
 from ..operators.ordering import dense_index
@@ -114,9 +115,10 @@ def flat(itemsets: DataFrame) -> DataFrame:
     return whole(itemsets, "utility").select("itemset_name", "utility", "size", "transactions")
 
 
-def mean_twu(twu_map: DataFrame) -> int:
-    total, count = twu_map.agg(F.sum("twu"), F.count("twu")).first()
-    return int(total) // count
+def mean(df: DataFrame, column: str) -> int:
+    """The whole mean of a BIGINT column, whose sum may be larger than BIGINT."""
+    added, count = df.agg(total(column), F.count(column)).first()
+    return int(added) // count
 
 
 # Sources and sinks
@@ -293,7 +295,7 @@ def twu_in_drops(spark: SparkSession, folder: str) -> DataFrame:
 def stored_twu(items: DataFrame) -> tuple[DataFrame, int]:
     """The TWU of line items, computed once, and its mean as a threshold."""
     twu_map = whole(Workspace(items.sparkSession).store(twu.twu(items), "twu"), "twu")
-    return twu_map, mean_twu(twu_map)
+    return twu_map, mean(twu_map, "twu")
 
 
 def promising_items(spark: SparkSession, folder: str) -> DataFrame:
@@ -394,8 +396,7 @@ def item_bounds_losses(spark: SparkSession, folder: str) -> DataFrame:
 
 def prunable_items_losses(spark: SparkSession, folder: str) -> DataFrame:
     sums = Workspace(spark).store(item_bounds_losses(spark, folder), "sums")
-    total, count = sums.agg(F.sum("upper_bound"), F.count("upper_bound")).first()
-    return utility_list.prunable(sums, total // count)
+    return utility_list.prunable(sums, mean(sums, "upper_bound"))
 
 
 def empty_prefix_list(spark: SparkSession, folder: str) -> DataFrame:

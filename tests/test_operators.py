@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cartyield.functions.itemsets import bare_name, itemset_name, size_class
 from cartyield.operators import baskets, twu, utility_list
 from cartyield.operators.ordering import dense_index, running_sum
+from cartyield.plans.queries import mean
 from cartyield.sources.generate import ITEM_POOL, generate_transactions
 from cartyield.sources.tables import items_from
 
@@ -192,3 +193,9 @@ def test_lists_held_by_receipts(spark):
     assert rows(found) == sorted(expected, key=repr)
     assert baskets.contains_lists(items, spark.createDataFrame([], "list_id int, item string")).count() == 0
     assert baskets.contains_lists(items.limit(0), spark.createDataFrame(wanted, "list_id int, item string")).count() == 0
+
+
+def test_mean_of_amounts_whose_sum_exceeds_bigint(spark):
+    large = (1 << 63) - 1
+    table = spark.createDataFrame([(large,), (large,), (large - 3,), (None,)], "twu bigint")
+    assert mean(table, "twu") == large - 1
