@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from ..functions.units import from_units, receipt_sum, scale_of, threshold, to_units, total
 from ..plans.workspace import Workspace, workspace_for
 from ..sources.text import receipt_total
-from .ordering import dense_index, running_sum
+from .ordering import by_receipt, dense_index, running_sum
 
 
 def merge_duplicates(items: DataFrame, keep: str = "sum") -> DataFrame:
@@ -78,7 +78,7 @@ def twu_sums(lines: DataFrame, receipts: DataFrame) -> DataFrame:
 
 def twu_units(items: DataFrame, totals: str = "positive", duplicates: str = "sum") -> DataFrame:
     """(item, twu, utility, occurrences) of line items, sums in DECIMAL units."""
-    lines = unit_lines(items, duplicates, stated=totals == "stated")
+    lines = by_receipt(unit_lines(items, duplicates, stated=totals == "stated"))
     return twu_sums(lines, receipt_totals(lines, totals))
 
 
@@ -92,7 +92,7 @@ def twu(items: DataFrame, totals: str = "positive", duplicates: str = "sum") ->
 def twu_contributions(items: DataFrame) -> DataFrame:
     """(tid, item, twu): what one receipt adds to the TWU of each of its items."""
     dtype = items.schema["utility"].dataType
-    lines = unit_lines(items)
+    lines = by_receipt(unit_lines(items))
     contributed = lines.join(receipt_totals(lines), "tid")
     return contributed.select("tid", "item", from_units(F.col("total"), dtype).alias("twu"))
 

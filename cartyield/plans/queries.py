@@ -322,10 +322,11 @@ def estimated_entries(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def suggest_min_util(spark: SparkSession, folder: str) -> DataFrame:
-    items = twu.merge_duplicates(keyed_items(spark, folder, "l_partkey"))
-    twu_map, limit = stored_twu(items)
-    counts = twu.item_occurrences(items, twu.promising_items(twu_map, limit))
-    counts = Workspace(spark).store(counts, "occurrences")
+    # One pass over the lines gives both the TWU and the number of receipts of each item.
+    sums = Workspace(spark).store(twu.twu_units(keyed_items(spark, folder, "l_partkey")), "sums")
+    twu_map = whole(sums.select("item", "twu"), "twu")
+    limit = mean(twu_map, "twu")
+    counts = sums.select("item", "occurrences").join(twu.promising_items(twu_map, limit).select("item"), "item", "left_semi")
     budget = twu.estimated_entries(counts).first()[0] // ENTRY_BUDGET_SHARE
     return twu.suggest_min_util(twu_map, counts, budget, limit)
 

@@ -199,3 +199,9 @@ def test_mean_of_amounts_whose_sum_exceeds_bigint(spark):
     large = (1 << 63) - 1
     table = spark.createDataFrame([(large,), (large,), (large - 3,), (None,)], "twu bigint")
     assert mean(table, "twu") == large - 1
+
+
+def test_partitions_by_receipt_are_not_put_together(spark, items):
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert twu.twu_contributions(items).rdd.getNumPartitions() == wanted > 1
+    assert "REPARTITION_BY_NUM" in twu.twu_units(items)._jdf.queryExecution().executedPlan().toString()
