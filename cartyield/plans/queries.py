@@ -15,7 +15,7 @@ from ..functions.itemsets import item_utility, itemset_name, size_class
 from ..functions.units import total
 from ..operators import baskets, results, twu, utility_list
 from ..operators.mining import ENDPOINTS, EXACT, Mining, Mode, mine, mine_top
-from ..operators.ordering import dense_index
+from ..operators.ordering import by_receipt, dense_index
 from ..operators.search_size import search_size as size_of_search
 from ..sinks import documents, tables, text as text_sink
 from ..sources import text
@@ -72,6 +72,11 @@ def brand_items(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def items_of_orders(spark: SparkSession, folder: str, orders: DataFrame, how: str = "inner") -> DataFrame:
+    """Brand items with what ``orders`` (tid, …) says of their receipts; the rows of a receipt are together."""
+    return by_receipt(brand_items(spark, folder)).join(orders, "tid", how)
+
+
 def sold_items(spark: SparkSession, folder: str) -> DataFrame:
     """Line items with brands as items and quantity x retail price as utility, with receipt totals."""
     items = items_from(
@@ -274,7 +279,7 @@ def twu_contributions(spark: SparkSession, folder: str) -> DataFrame:
 
 def twu_merge(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders").select(F.col("o_orderkey").alias("tid"), "o_orderdate")
-    items = brand_items(spark, folder).join(orders, "tid")
+    items = items_of_orders(spark, folder, orders)
     earlier = F.col("o_orderdate") < BATCH_DATE
     return whole(twu.merge_twu(twu.twu(items.filter(earlier)), twu.twu(items.filter(~earlier))), "twu")
 

@@ -1,4 +1,5 @@
 import random
+import re
 from decimal import Decimal
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from cartyield.functions.itemsets import bare_name, itemset_name, size_class
 from cartyield.operators import baskets, twu, utility_list
 from cartyield.operators.ordering import dense_index, running_sum
+from cartyield.plans import queries
 from cartyield.plans.queries import mean
 from cartyield.sources.generate import ITEM_POOL, generate_transactions
 from cartyield.sources.tables import items_from
@@ -205,3 +207,16 @@ def test_partitions_by_receipt_are_not_put_together(spark, items):
     wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert twu.twu_contributions(items).rdd.getNumPartitions() == wanted > 1
     assert "REPARTITION_BY_NUM" in twu.twu_units(items)._jdf.queryExecution().executedPlan().toString()
+
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def shuffled_by_item(df):
+    """Whether lines are shuffled by receipt and item after they have been brought together by receipt."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return re.search(r"hashpartitioning\(tid#\w+, item#", plan) is not None
+
+
+def test_merged_twu_takes_lines_by_receipt(spark):
+    assert not shuffled_by_item(queries.twu_merge(spark, SMALL))
