@@ -270,7 +270,7 @@ def twu_stated(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("tid"), cents("o_totalprice").alias("total_utility")
     )
-    return whole(twu.twu(brand_items(spark, folder).join(orders, "tid"), totals="stated"), "twu")
+    return whole(twu.twu(items_of_orders(spark, folder, orders), totals="stated"), "twu")
 
 
 def twu_contributions(spark: SparkSession, folder: str) -> DataFrame:

@@ -220,3 +220,7 @@ def shuffled_by_item(df):
 
 def test_merged_twu_takes_lines_by_receipt(spark):
     assert not shuffled_by_item(queries.twu_merge(spark, SMALL))
+
+
+def test_stated_twu_takes_lines_by_receipt(spark):
+    assert not shuffled_by_item(queries.twu_stated(spark, SMALL))
