@@ -446,7 +446,7 @@ def mine_exact_losses(spark: SparkSession, folder: str) -> DataFrame:
 
 def stated_items(spark: SparkSession, folder: str) -> DataFrame:
     """Brand items of receipts of which some state a total, some a zero and some none."""
-    return brand_items(spark, folder).join(stated_totals(spark, folder), "tid", "left")
+    return items_of_orders(spark, folder, stated_totals(spark, folder), "left")
 
 
 def mine_endpoints_stated(spark: SparkSession, folder: str) -> DataFrame:

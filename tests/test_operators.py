@@ -224,3 +224,8 @@ def test_merged_twu_takes_lines_by_receipt(spark):
 
 def test_stated_twu_takes_lines_by_receipt(spark):
     assert not shuffled_by_item(queries.twu_stated(spark, SMALL))
+
+
+def test_stated_items_are_in_partitions_by_receipt(spark):
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert queries.stated_items(spark, SMALL).rdd.getNumPartitions() == wanted > 1
