@@ -77,8 +77,8 @@ def items_of_orders(spark: SparkSession, folder: str, orders: DataFrame, how: st
     return by_receipt(brand_items(spark, folder)).join(orders, "tid", how)
 
 
-def sold_items(spark: SparkSession, folder: str) -> DataFrame:
-    """Line items with brands as items and quantity x retail price as utility, with receipt totals."""
+def sold_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items with brands as items and quantity x retail price as utility."""
     items = items_from(
         lines_with_part(spark, folder),
         tid="l_orderkey",
@@ -86,7 +86,13 @@ def sold_items(spark: SparkSession, folder: str) -> DataFrame:
         quantity=F.col("l_quantity").cast("bigint"),
         profit=F.col("p_retailprice").cast("decimal(18,4)"),
         pos=place(),
-    ).withColumn("utility", F.col("utility").cast("decimal(28,4)"))
+    )
+    return items.withColumn("utility", F.col("utility").cast("decimal(28,4)")).dropna(subset=["tid"])
+
+
+def sold_items(spark: SparkSession, folder: str) -> DataFrame:
+    """``sold_lines`` with receipt totals; the rows of a receipt are together."""
+    items = by_receipt(sold_lines(spark, folder))
     totals = items.groupBy("tid").agg(F.sum("utility").cast("decimal(28,4)").alias("total_utility"))
     return items.join(totals, "tid")
 
@@ -492,9 +498,8 @@ def mine_stats_endpoints(spark: SparkSession, folder: str) -> DataFrame:
 def run_of_text(spark: SparkSession, folder: str, mode: Mode) -> Run:
     """Write the receipts as text and mine the files from end to end."""
     path = Workspace(spark).path("receipts")
-    sold = sold_items(spark, folder)
-    text_sink.write_transactions(sold, path)
-    limit = int(sold.agg(F.sum("utility")).first()[0]) // SHARE
+    text_sink.write_transactions(sold_items(spark, folder), path)
+    limit = int(sold_lines(spark, folder).agg(F.sum("utility")).first()[0]) // SHARE
     return run(spark, path, limit, mode)
 
 

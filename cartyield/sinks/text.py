@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.workspace import Workspace
+
 # The comment lines that open a file of receipts.
 HEADER = ["# Format: item:quantity:profit item:quantity:profit ... : total_utility"]
 
@@ -12,8 +14,9 @@ HEADER = ["# Format: item:quantity:profit item:quantity:profit ... : total_utili
 def plain_number(amount: Column) -> Column:
     """A decimal without trailing zeros: ``900.1`` for 900.1000, ``3`` for 3.0000."""
     text = amount.cast("string")
-    trimmed = F.regexp_replace(text, r"(\.[0-9]*?)0+$", "$1")
-    return F.regexp_replace(trimmed, r"\.$", "")
+    trimmed = F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))
+    # Tiny amounts are printed with an exponent, whose zeros count.
+    return F.when(text.contains(".") & ~text.contains("E"), trimmed).otherwise(text)
 
 
 def render_lines(items: DataFrame) -> DataFrame:
@@ -34,9 +37,14 @@ def render_lines(items: DataFrame) -> DataFrame:
 
 
 def write_transactions(items: DataFrame, path: str, mode: str = "error") -> None:
-    """Write receipts as text files in order of their ids, the header line first."""
+    """Write receipts as text files in order of their ids, the header line first.
+
+    The lines are stored before they are sorted: the sort looks at its input twice, and they are made once.
+    """
     first = items.sparkSession.createDataFrame(
         [(0, 0, line) for line in HEADER], "body int, tid bigint, value string"
     )
     body = render_lines(items).select(F.lit(1).alias("body"), F.col("tid").cast("bigint"), "value")
-    first.unionByName(body).orderBy("body", "tid").select("value").write.mode(mode).text(path)
+    with Workspace(items.sparkSession) as workspace:
+        lines = workspace.store(first.unionByName(body), "lines")
+        lines.orderBy("body", "tid").select("value").write.mode(mode).text(path)

@@ -1,11 +1,13 @@
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from conftest import rows
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from cartyield.plans.workspace import Workspace
-from cartyield.sinks.text import render_lines, write_transactions
+from cartyield.sinks.text import plain_number, render_lines, write_transactions
 from cartyield.sources.text import explode_items, parse_lines, read_transactions
 
 
@@ -134,3 +136,19 @@ def test_ids_follow_files_and_lines_without_a_copy(spark, tmp_path):
     assert spark.read.parquet(*map(str, base.iterdir())).count() < 40
     with pytest.raises(Exception, match="dealt out anew"):
         found.select("tid").collect()
+
+
+def test_plain_numbers_of_any_scale(spark):
+    small = spark.sql("SELECT 0.0000 a, 900.1000 b, 30.0000 c, CAST(100 AS decimal(10,0)) d, CAST('1.5E-10' AS decimal(20,12)) e, -0.5000 f")
+    printed = small.select(*(plain_number(F.col(c)) for c in small.columns)).first()
+    assert list(printed)[:4] == ["0", "900.1", "30", "100"] and Decimal(printed[4]) == Decimal("1.5E-10") and printed[5] == "-0.5"
+
+
+def test_lines_are_stored_before_they_are_sorted(spark, items, tmp_path, monkeypatch):
+    stored, store = [], Workspace.store
+    monkeypatch.setattr(Workspace, "store", lambda self, df, name: stored.append(store(self, df, name)) or stored[-1])
+    path = str(tmp_path / "receipts")
+    write_transactions(items, path)
+    assert [sorted(df.columns) for df in stored] == [["body", "tid", "value"]]
+    assert not Path(stored[0].inputFiles()[0].removeprefix("file://")).exists()
+    assert spark.read.text(path).count() == 5
