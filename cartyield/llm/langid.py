@@ -223,7 +223,7 @@ def _cutoffs(rows: DataFrame, settings: LanguageSettings) -> tuple[int, dict[str
         shift -= 13
 
 
-def _sample(rows: DataFrame, settings: LanguageSettings) -> list[tuple[int, str, list[int], list[int]]]:
+def _sample(rows: DataFrame, settings: LanguageSettings) -> list[tuple[int, str, np.ndarray, np.ndarray]]:
     """(hash, language, features, counts) of the rows with the smallest hashes of each language, by hash.
 
     Hashes are counted by language in 2^12 ranges, and the range where a language has enough again in 2^13 ranges, and so on
@@ -243,25 +243,25 @@ def _sample(rows: DataFrame, settings: LanguageSettings) -> list[tuple[int, str,
                 if (number, language) in known or len(heap) == quotas[language] and number >= -heap[0][0]:
                     continue
                 known.add((number, language))
-                item = (-number, [x.astype(np.int32) for x in ngrams(text.as_py(), settings)])
-                # Hashes in a heap differ, so arrays are never compared.
+                item = (-number, [x.astype("<i4").tobytes() for x in ngrams(text.as_py(), settings)])
+                # Hashes in a heap differ, so n-grams are never compared.
                 heapq.heappush(heap, item) if len(heap) < quotas[language] else heapq.heapreplace(heap, item)
-        kind = pa.list_(pa.int32())
         for language, heap in held.items():
             arrays = [pa.array([-h for h, _ in heap], pa.int64()), pa.array([language] * len(heap), pa.string())]
-            arrays += [pa.array([found[k] for _, found in heap], kind) for k in (0, 1)]
+            arrays += [pa.array([found[k] for _, found in heap], pa.binary()) for k in (0, 1)]
             yield pa.RecordBatch.from_arrays(arrays, names=["_hash", "_lang", "features", "counts"])
 
     # One row per language.
     near = rows.join(_per_language(rows, edges), "_lang").filter(F.shiftright("_hash", shift) <= F.col("_edge"))
     near = near.select("_hash", "_lang", "_text")
-    found = near.mapInArrow(smallest, "_hash bigint, _lang string, features array<int>, counts array<int>").collect()
+    # Bytes stay bytes on the driver; a list of numbers would be some 36 bytes for each there, and as many before that in the JVM.
+    found = near.mapInArrow(smallest, "_hash bigint, _lang string, features binary, counts binary").collect()
     taken: dict[str, int] = {}
     sample = []
     for key, row in sorted({(r["_hash"], r["_lang"]): r for r in found}.items()):
         taken[key[1]] = taken.get(key[1], 0) + 1
         if taken[key[1]] <= quotas[key[1]]:
-            sample.append((*key, row["features"], row["counts"]))
+            sample.append((*key, *(np.frombuffer(row[k], "<i4") for k in ("features", "counts"))))
     return sample
 
 
@@ -277,7 +277,7 @@ def train_language_model(labelled: DataFrame, settings: LanguageSettings | None
     )
     frequencies, total = _document_frequencies(rows.select("_text"), settings)
     # Only n-gram counts of the sample leave the executors, at most one per dimension, however long a text is.
-    sample = [r for r in _sample(rows.filter(F.regexp_like("_text", F.lit(r"\p{L}"))), settings) if r[2]]
+    sample = [r for r in _sample(rows.filter(F.regexp_like("_text", F.lit(r"\p{L}"))), settings) if len(r[2])]
     languages = sorted({r[1] for r in sample})
     idf = np.log((1 + total) / (1 + frequencies)) + 1
     model = LanguageModel(settings, languages, idf, np.zeros((0, 0)), np.zeros(0))
@@ -287,7 +287,7 @@ def train_language_model(labelled: DataFrame, settings: LanguageSettings | None
     used, held, met = [], [], dict.fromkeys(languages, 0)
     for _, language, features, counts in sample:
         met[language] += 1
-        features, values = model.weighed(np.array(features), np.array(counts))
+        features, values = model.weighed(features, counts)
         (used if met[language] % 5 else held).append((features, values, languages.index(language)))
     fit_ftrl(model, used)
     logits = np.array([values @ model.weights[features] + model.bias for features, values, _ in held])

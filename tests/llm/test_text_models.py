@@ -327,3 +327,16 @@ def test_addresses_inside_long_words(spark, field, length):
     word = "a" * length + ",jörg@mail.example.com," + "b" * length
     frame = spark.createDataFrame([(1, f"write to {word} now")], "doc_id bigint, text string")
     assert [s["kind"] for s in pii.find_pii(frame).first()["spans"]][:1] == ["email"]
+
+
+def test_language_sample_comes_as_packed_numbers(spark):
+    docs = spark.createDataFrame([(1, "un deux trois", "fr"), (2, "one two three", "en")], "doc_id bigint, text string, lang string")
+    rows = docs.select(F.col("doc_id").alias("_hash"), F.col("text").alias("_text"), F.col("lang").alias("_lang"))
+    settings = langid.LanguageSettings()
+    sample = langid._sample(rows, settings)
+    texts = dict(docs.select("doc_id", "text").collect())
+    for number, _, features, counts in sample:
+        assert features.dtype == counts.dtype == np.dtype("<i4")
+        wanted = langid.ngrams(texts[number], settings)
+        assert np.array_equal(features, wanted[0]) and np.array_equal(counts, wanted[1])
+    assert len(sample) == 2
