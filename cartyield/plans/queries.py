@@ -74,7 +74,8 @@ def brand_items(spark: SparkSession, folder: str) -> DataFrame:
 
 def items_of_orders(spark: SparkSession, folder: str, orders: DataFrame, how: str = "inner") -> DataFrame:
     """Brand items with what ``orders`` (tid, …) says of their receipts; the rows of a receipt are together."""
-    return by_receipt(brand_items(spark, folder)).join(orders, "tid", how)
+    # Hashed, as sorting both sides would take several pages of memory more in the same stage.
+    return by_receipt(brand_items(spark, folder)).join(orders.hint("shuffle_hash"), "tid", how)
 
 
 def sold_lines(spark: SparkSession, folder: str) -> DataFrame:

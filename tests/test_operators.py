@@ -229,3 +229,8 @@ def test_stated_twu_takes_lines_by_receipt(spark):
 def test_stated_items_are_in_partitions_by_receipt(spark):
     wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert queries.stated_items(spark, SMALL).rdd.getNumPartitions() == wanted > 1
+
+
+def test_orders_are_joined_without_sorting(spark):
+    plan = queries.stated_items(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan
