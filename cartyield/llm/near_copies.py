@@ -7,13 +7,15 @@ shingle that stands in one set only joins nothing and is not shuffled again.
 
 Equal sets are one set from the start. Pairs within a group that is connected already need no comparison: all sets with a
 prefix member in common are first compared with one of them, which links most of a large group by as many comparisons as it has
-rows; then pairs from different groups are. Every link is confirmed on the whole sets.
+rows; then pairs from different groups are, unless the parities of their buckets tell that they differ in too many members. Every
+link is confirmed on the whole sets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from fractions import Fraction
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +28,8 @@ from .components import components
 
 SEED = 42
 _BUCKETS = 256
+_PARITIES = 512
+_ODD = [f"odd_{k}" for k in range(_PARITIES // 64)]
 
 
 def shingles(text: str | None, words_per_shingle: int = 5) -> np.ndarray:
@@ -49,10 +53,16 @@ def sketch(found: np.ndarray) -> np.ndarray:
     return np.bincount((found >> np.uint64(56)).astype(np.int64), minlength=_BUCKETS).astype(np.uint32)
 
 
+def parities(found: np.ndarray) -> np.ndarray:
+    """Whether the number of members is odd in each of 512 buckets, as 8 integers; bits that differ are no more than members that do."""
+    odd = np.bincount((found >> np.uint64(55)).astype(np.int64), minlength=_PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _sets(docs: DataFrame, words: int) -> DataFrame:
-    """(_id, node, size, members, sketch) of every row of ``docs`` (_id, _text)."""
+    """(_id, node, size, members, sketch, parities) of every row of ``docs`` (_id, _text)."""
     numbered = docs.select("_id", F.monotonically_increasing_id().alias("node"), F.lit(0).alias("size"), "_text")
-    schema = numbered.drop("_text").schema.add("members", ArrayType(LongType())).add("sketch", "binary")
+    schema = numbered.drop("_text").schema.add("members", ArrayType(LongType())).add("sketch", "binary").add("parities", ArrayType(LongType()))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -66,6 +76,7 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
                     pa.array([len(found) for found in sets], pa.int32()),
                     pa.array([found.view(np.int64) for found in sets], pa.list_(pa.int64())),
                     pa.array([sketch(found).tobytes() for found in sets], pa.binary()),
+                    pa.array([parities(found) for found in sets], pa.list_(pa.int64())),
                 ]
                 yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
@@ -138,6 +149,13 @@ def _possible(similarity: Fraction) -> Column:
     return room & (F.least("size", "size_v") * t >= F.greatest("size", "size_v") * s)
 
 
+def _close(similarity: Fraction) -> Column:
+    """Whether sets with parities ``odd_…`` and ``odd_…_v`` may differ in as few members as similar sets of their sizes do."""
+    s, t = F.lit(similarity.numerator), F.lit(similarity.denominator)
+    differ = reduce(Column.__add__, [F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_v"))) for c in _ODD])
+    return differ * (s + t) <= (F.col("size") + F.col("size_v")) * (t - s)
+
+
 def near_copy_groups(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -174,7 +192,7 @@ def near_copy_groups(
     stars = workspace.store(stars.distinct(), "stars")
     links = _confirmed(stars, sets, similarity, workspace)
 
-    pairs = workspace.store(_open_pairs(shared, components(links, workspace), similarity, workspace), "pairs")
+    pairs = workspace.store(_open_pairs(shared, components(links, workspace), similarity, workspace, sets), "pairs")
     more = _confirmed(pairs.join(stars, ["u", "v"], "left_anti"), sets, similarity, workspace)
 
     roots = components(links.unionByName(more).unionByName(equal), workspace)
@@ -184,16 +202,24 @@ def near_copy_groups(
     return rooted.join(smallest, "root").select(F.col("_id").alias(id_col), "component_id")
 
 
-def _open_pairs(shared: DataFrame, grown: DataFrame, similarity: Fraction, workspace: Workspace) -> DataFrame:
-    """(u, v), u < v: the pairs of sets from different groups that can be similar by sizes, prefixes and places.
+def _open_pairs(
+    shared: DataFrame, grown: DataFrame, similarity: Fraction, workspace: Workspace, sets: DataFrame | None = None
+) -> DataFrame:
+    """(u, v), u < v: the pairs of sets from different groups that can be similar by sizes, prefixes, places and parities.
 
-    Only keys that sets of different groups have are joined.
+    Only keys that sets of different groups have are joined. The parities, if ``sets`` are given, are looked at in that join, so that
+    of a large group of copies too far from each other hardly a pair comes out of it.
     """
     grouped = shared.select("key", "node", "size", "place", "short").join(grown, "node", "left")
     grouped = workspace.store(grouped.withColumn("root", F.coalesce("root", "node")), "grouped")
     mixed = grouped.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
-    large = workspace.store(grouped.join(mixed.select("key"), "key"), "open")
-    small = large.filter("short").select("key", *(F.col(c).alias(f"{c}_v") for c in ("node", "size", "place", "root")))
+    large, sides, possible = grouped.join(mixed.select("key"), "key"), ["node", "size", "place", "root"], _possible(similarity)
+    if sets is not None:
+        odd = sets.select("node", *(F.get("parities", F.lit(k)).alias(c) for k, c in enumerate(_ODD)))
+        large, sides, possible = large.join(odd, "node"), sides + _ODD, possible & _close(similarity)
+    large = workspace.store(large, "open")
+    small = large.filter("short").select("key", *(F.col(c).alias(f"{c}_v") for c in sides))
     smaller = (F.col("size_v") < F.col("size")) | ((F.col("size_v") == F.col("size")) & (F.col("node_v") < F.col("node")))
-    pairs = large.join(small, "key").filter(smaller & _possible(similarity) & (F.col("root") != F.col("root_v")))
+    other = F.col("root") != F.col("root_v")
+    pairs = large.join(small, "key").filter(smaller & other & possible)
     return pairs.select(F.least("node", "node_v").alias("u"), F.greatest("node", "node_v").alias("v")).distinct()

@@ -3,6 +3,7 @@ import random
 from fractions import Fraction
 
 import corpus_pipeline
+import numpy as np
 import pytest
 from llm_cases import WORDS, odd_documents, prose
 from test_exact_and_near_copies import slow_components
@@ -99,6 +100,37 @@ def test_pairs_to_compare_grow_with_the_rows(spark, edits):
     assert counts[1] <= max(2.5 * counts[0], 4000)
 
 
+def test_copies_too_far_from_each_other_make_no_pairs(spark, monkeypatch):
+    """Copies of one text with three words changed in each: at every place in common, two of them could still be similar."""
+    counts, store = {}, Workspace.store
+
+    def counted(self, df, name):
+        stored = store(self, df, name)
+        counts.setdefault(name, stored.count())
+        return stored
+
+    monkeypatch.setattr(Workspace, "store", counted)
+    rng, texts = random.Random(7), []
+    for k in range(300):
+        words = [f"w{j}" for j in range(150)]
+        for place in rng.sample(range(5, 145), 3):
+            words[place] = f"{k}y{place}"
+        texts.append(" ".join(words))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    expected, _ = slow_groups(texts, Fraction(4, 5))
+    assert {r["doc_id"]: r["component_id"] for r in near_copy_groups(frame).collect()} == expected
+    assert counts["pairs"] <= 600
+
+
+def test_parities_never_differ_more_than_the_sets():
+    rng = random.Random(8)
+    for _ in range(200):
+        a = {rng.getrandbits(64) for _ in range(rng.randint(1, 400))}
+        b = {x for x in a if rng.random() < 0.9} | {rng.getrandbits(64) for _ in range(rng.randint(0, 40))}
+        odd = [near_copies.parities(np.array(sorted(x), "u8")) for x in (a, b)]
+        assert sum(int(x).bit_count() for x in (odd[0] ^ odd[1]).view("u8")) <= len(a ^ b)
+
+
 def test_null_and_repeated_ids_are_rows(spark):
     base = " ".join(f"w{k}" for k in range(60))
     rows = [(None, base), (5, base + " end"), (7, base.replace("w59", "x")), (7, "another text"), (7, None), (None, ""), (8, base.upper())]
