@@ -389,15 +389,19 @@ def _mine(items: DataFrame, limit: _Threshold, mode: Mode, duplicates: str, work
     safe = amount < _SAFE
 
     levels: list[DataFrame] = []
+    stored = "utility-list"
     if _store_nodes(_single_candidates(every).drop("whole"), levels, mode, limit, safe, ws):
         # Items that no other can be usefully joined with are no one's later items.
         # All others begin pairs, if only to bound sets in which the pair comes last.
         begins = levels[0].filter("joinable" if mode.exact else "extendable").select(F.col("last").alias("rank"), "node")
-        receipts_left = projection.baskets(rows.join(begins, "rank", "inner" if mode.exact else "left"))
+        # Several levels are projected from these arrays, which are made once.
+        receipts_left = ws.store(projection.baskets(rows.join(begins, "rank", "inner" if mode.exact else "left")), "baskets")
+        ws.discard(stored)
+        stored = "baskets"
         _search(projection.single_items(receipts_left), long_rows, levels, mode, limit, safe, ws)
 
     # Results and counters are read from the tables of itemsets, items and receipts alone.
-    for table in ["utility-list"] + (["long-utility-list"] if long_rows is not None else []):
+    for table in [stored] + (["long-utility-list"] if long_rows is not None else []):
         ws.discard(table)
     nodes = reduce(DataFrame.unionByName, levels)
     if limit.top:

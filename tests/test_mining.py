@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cartyield import ENDPOINTS, EXACT, mine
 from cartyield.operators import mining, results, twu, utility_list
 from cartyield.operators.mining import mine_top
+from cartyield.plans.workspace import Workspace
 
 EXACT_AT_5 = {
     "{Beurre, Dattes, Oeufs}": (55, 1),
@@ -270,3 +271,21 @@ def test_fewer_itemsets_than_asked_for(spark):
     assert found(mine_top(frame(spark, lines), 100)) == brute_force(lines, 1)
     empty = spark.createDataFrame([], "tid bigint, pos int, item string, utility bigint")
     assert mine_top(empty, 3).itemsets.count() == 0
+
+
+@pytest.mark.parametrize("mode", [EXACT, ENDPOINTS])
+def test_receipts_are_made_into_arrays_once(spark, monkeypatch, mode):
+    """However many levels there are, and nothing of them is left behind."""
+    written, store = [], Workspace.store
+
+    def seen(self, df, name):
+        written.append(name)
+        return store(self, df, name)
+
+    monkeypatch.setattr(Workspace, "store", seen)
+    rows = [(tid, k, f"i{k}", 5 + k) for tid in range(6) for k in range(5)]
+    items = spark.createDataFrame(rows, "tid bigint, pos bigint, item string, utility bigint")
+    with Workspace(spark) as workspace:
+        assert mine(items, 1, mode, workspace=workspace).itemsets.count() == 31
+        assert written.count("baskets") == 1 and "nodes-4" in written
+        assert not {"baskets", "utility-list", "lines"} & (set(workspace._paths) | set(workspace._tables))
