@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.itemsets import item_utility, itemset_name, size_class
@@ -499,9 +499,10 @@ def mine_stats_endpoints(spark: SparkSession, folder: str) -> DataFrame:
 def run_of_text(spark: SparkSession, folder: str, mode: Mode) -> Run:
     """Write the receipts as text and mine the files from end to end."""
     path = Workspace(spark).path("receipts")
-    text_sink.write_transactions(sold_items(spark, folder), path)
-    limit = int(sold_lines(spark, folder).agg(F.sum("utility")).first()[0]) // SHARE
-    return run(spark, path, limit, mode)
+    # Added up while the receipts are written.
+    seen = Observation()
+    text_sink.write_transactions(sold_items(spark, folder).observe(seen, F.sum("utility").alias("sold")), path)
+    return run(spark, path, int(seen.get["sold"]) // SHARE, mode)
 
 
 def run_text(spark: SparkSession, folder: str) -> DataFrame:

@@ -6,6 +6,8 @@ from conftest import rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from cartyield.operators.mining import EXACT
+from cartyield.plans import queries
 from cartyield.plans.workspace import Workspace
 from cartyield.sinks.text import plain_number, render_lines, write_transactions
 from cartyield.sources.text import explode_items, parse_lines, read_transactions
@@ -152,3 +154,13 @@ def test_lines_are_stored_before_they_are_sorted(spark, items, tmp_path, monkeyp
     assert [sorted(df.columns) for df in stored] == [["body", "tid", "value"]]
     assert not Path(stored[0].inputFiles()[0].removeprefix("file://")).exists()
     assert spark.read.text(path).count() == 5
+
+
+def test_a_run_of_text_looks_at_the_lines_once(spark, monkeypatch):
+    """The threshold is a share of what is written, so it is added up while writing."""
+    calls, lines = [], queries.lines_with_part
+    monkeypatch.setattr(queries, "lines_with_part", lambda *a: calls.append(a) or lines(*a))
+    monkeypatch.setattr(queries, "run", lambda spark, path, limit, mode: limit)
+    limit = queries.run_of_text(spark, "/root/testdata/sf0.001", EXACT)
+    assert len(calls) == 1
+    assert limit == int(queries.sold_lines(spark, "/root/testdata/sf0.001").agg(F.sum("utility")).first()[0]) // queries.SHARE
