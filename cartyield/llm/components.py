@@ -21,7 +21,8 @@ def components(edges: DataFrame, workspace: Workspace) -> DataFrame:
 
     ``root`` is the smallest node reachable. Each round links the larger neighbours of a node, then
     its smaller ones, to the smallest neighbour, until only stars are left. Minima are aggregated and
-    joined back, so a node with very many links is neither gathered nor windowed.
+    joined back, so a node with very many links is neither gathered nor windowed. Of the rounds' tables
+    only the last is kept.
     """
     larger, smaller = F.greatest("u", "v"), F.least("u", "v")
     links = edges.filter("u <> v").select(larger.alias("u"), smaller.alias("v")).distinct()
@@ -33,10 +34,12 @@ def components(edges: DataFrame, workspace: Workspace) -> DataFrame:
         low = F.least("_low", "u")
         stars = both.filter("v > u").join(lowest, "u").select(F.col("v").alias("u"), low.alias("v"))
         stars = workspace.store(stars.distinct(), "stars")
+        workspace.discard("links")
         lowest = stars.groupBy("u").agg(F.min("v").alias("_low"))
         others = stars.join(lowest, "u").filter("v <> _low").select(F.col("v").alias("u"), F.col("_low").alias("v"))
         shrunk = others.unionByName(lowest.select("u", F.col("_low").alias("v"))).distinct()
         links = workspace.store(shrunk, "links")
+        workspace.discard("stars")
         after = _signature(links)
         if after == before:
             break

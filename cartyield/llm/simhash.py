@@ -1,6 +1,6 @@
 """Near-duplicates by SimHash, with an exact comparison of all fingerprints in tiles.
 
-Distinct fingerprints are sorted by their population counts and cut into blocks. Pairs of blocks
+Distinct fingerprints are dealt out to blocks by hash, and sorted there by their population counts. Pairs of blocks
 are compared tile by tile with numpy's exclusive-or and bit counts. A tile pair is skipped when the
 population counts of its fingerprints (whole, or of their 16-bit quarters) differ by more than the
 radius, which bounds the distance from below, so no link is lost.
@@ -23,6 +23,8 @@ from ..plans.workspace import Workspace, workspace_for
 from .components import components
 
 SEED = 42
+#: Fingerprints in a block, if there are as many: half as many squared take a core about a second.
+LEAST_BLOCK = 1 << 14
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 _QUARTERS = [np.uint64(0xFFFF << s) for s in (0, 16, 32, 48)]
 
@@ -119,51 +121,53 @@ def tile_links(left: np.ndarray, right: np.ndarray, radius: int, tile: int, same
     return [(x, root) for x in list(parent) if (root := find(x)) != x]
 
 
-def _blocks(prints: DataFrame, size: int, parts: int) -> DataFrame:
-    """(block, low, high, fps): sorted fingerprints, ``size`` to a block at most."""
+def _blocks(grouped: DataFrame, size: int) -> DataFrame:
+    """(block, part, fps): fingerprints ``fp`` sorted by ``part`` first, ``size`` to a block at most, one part in each."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, number, held = TaskContext.get().partitionId(), 0, np.empty(0, np.uint64)
+        task, number, of, held = TaskContext.get().partitionId(), 0, -1, np.empty(0, np.uint64)
 
         def block(values: np.ndarray) -> pa.RecordBatch:
             nonlocal number
             number += 1
-            counts = np.bitwise_count(values)
-            return pa.RecordBatch.from_pydict(
-                {
-                    "block": [part << 32 | number],
-                    "low": [int(counts.min())],
-                    "high": [int(counts.max())],
-                    "fps": [values.tobytes()],
-                },
-                pa.schema([("block", pa.int64()), ("low", pa.int32()), ("high", pa.int32()), ("fps", pa.binary())]),
-            )
+            schema = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("fps", pa.binary())])
+            return pa.RecordBatch.from_pydict({"block": [task << 32 | number], "part": [of], "fps": [values.tobytes()]}, schema)
 
         for batch in batches:
-            held = np.concatenate([held, batch.column(0).to_numpy().view(np.uint64)])
-            while len(held) >= size:
-                yield block(held[:size])
-                held = held[size:]
+            parts, values = batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64)
+            for part in np.unique(parts).tolist():
+                if part != of and len(held):
+                    yield block(held)
+                    held = held[:0]
+                of, held = part, np.concatenate([held, values[parts == part]])
+                while len(held) >= size:
+                    yield block(held[:size])
+                    held = held[size:]
         if len(held):
             yield block(held)
 
+    return grouped.select("part", "fp").mapInArrow(cut, "block bigint, part int, fps binary")
+
+
+def _all_blocks(prints: DataFrame, total: int, workspace: Workspace) -> tuple[DataFrame, DataFrame]:
+    """Blocks of all fingerprints, dealt out by hash and sorted by population counts, and all their pairs (a, b)."""
+    # As few blocks as keep the tasks busy, 64 at most while they fit: each is sent to as many pairs.
+    size = min(max(-(-total // 64), LEAST_BLOCK), 1 << 20)
+    count = max(1, -(-total // size))
     order = [F.bit_count("fp")] + [F.bit_count(F.col("fp").bitwiseAND(m)) for m in (0xFFFFFFFF, 0xFFFF, 0xFFFF << 32)]
-    ordered = prints.select("fp").repartitionByRange(parts, *order, "fp").sortWithinPartitions(*order, "fp")
-    return ordered.mapInArrow(cut, "block bigint, low int, high int, fps binary")
+    dealt = prints.select(F.pmod(F.xxhash64("fp"), F.lit(count)).cast("int").alias("part"), "fp")
+    # A hash does not deal out evenly, so a block may be somewhat larger than planned.
+    blocks = workspace.store(_blocks(dealt.repartition(count, "part").sortWithinPartitions("part", *order, "fp"), 2 * size), "blocks")
+    left = blocks.select(F.col("block").alias("a"), F.explode(F.sequence("part", F.lit(count - 1))).alias("part"))
+    pairs = left.join(blocks.select(F.col("block").alias("b"), "part"), "part")
+    return blocks, pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def fingerprint_links(prints: DataFrame, radius: int = 4, tile: int = 512, workspace: Workspace | None = None) -> DataFrame:
     """(u, v): links between distinct fingerprints ``fp`` that connect all those within ``radius`` bits."""
     workspace = workspace_for(prints, workspace)
-    total = prints.count()
-    # About 64 blocks: each is sent to as many pairs, so what is shuffled stays in proportion.
-    size = min(max(-(-total // 64), 4096), 1 << 20)
-    blocks = workspace.store(_blocks(prints, size, max(1, -(-total // size))), "blocks")
-    spans = blocks.select("block", "low", "high")
-    left = spans.select(F.col("block").alias("a"), F.explode(F.sequence("low", F.col("high") + radius)).alias("count"))
-    right = spans.select(F.col("block").alias("b"), F.explode(F.sequence("low", "high")).alias("count"))
-    ahead = left.join(right, "count").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    pairs = workspace.store(ahead, "block-pairs")
+    blocks, pairs = _all_blocks(prints, prints.count(), workspace)
+    pairs = workspace.store(pairs, "block-pairs")
     tasks = max(1, min(pairs.count(), 4096))
     contents_a = blocks.select(F.col("block").alias("a"), F.col("fps").alias("fps_a"))
     contents_b = blocks.select(F.col("block").alias("b"), F.col("fps").alias("fps_b"))
@@ -200,6 +204,8 @@ def simhash_groups(
     distinct = workspace.store(found.groupBy("fp").agg(F.min("_id").alias("first")), "distinct")
     links = workspace.store(fingerprint_links(distinct, radius, workspace=workspace), "raw-links")
     roots = components(links, workspace)
+    for name in ("blocks", "block-pairs", "raw-links"):
+        workspace.discard(name)
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
     rooted = workspace.store(rooted.select("fp", "first", F.coalesce("root", "fp").alias("root")), "rooted")
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))

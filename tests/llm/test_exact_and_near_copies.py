@@ -1,16 +1,18 @@
 import hashlib
 import itertools
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
 import xxhash
 from conftest import rows
 from llm_cases import WORDS, odd_documents, odd_frame, prose
+from pyspark.sql import functions as F
 
 from cartyield.llm.components import components
 from cartyield.llm.exact_dedup import DigestIndex, exact_dedup
-from cartyield.llm.simhash import fingerprint, simhash_groups, tile_links
+from cartyield.llm.simhash import _blocks, fingerprint, fingerprint_links, simhash_groups, tile_links
 from cartyield.plans.workspace import Workspace
 
 
@@ -146,3 +148,22 @@ def test_index_is_opened_with_its_own_buckets(spark, tmp_path, partitions):
             DigestIndex(spark, path, buckets=int(before) + 1)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_blocks_of_fingerprints_do_not_follow_the_partitions(spark):
+    links = fingerprint_links(spark.range(-5000, 5000, 1, 40).toDF("fp"), 12)
+    assert links.rdd.getNumPartitions() == 1  # 10,000 fingerprints are one block, which is compared with itself
+    assert {x for r in links.collect() for x in r} == set(range(-5000, 5000))
+    frame = spark.range(-600, 600, 1, 40).toDF("fp")
+    several = _blocks(frame.withColumn("part", F.pmod("fp", F.lit(3))).repartition(2, "part").sortWithinPartitions("part"), 150)
+    held = [(r["part"], list(np.frombuffer(r["fps"], np.int64))) for r in several.collect()]
+    assert all(len(fps) <= 150 and {x % 3 for x in fps} == {part} for part, fps in held)
+    assert sorted(x for _, fps in held for x in fps) == list(range(-600, 600))
+
+
+def test_components_keep_only_their_last_table(spark):
+    with Workspace(spark) as workspace:
+        chain = spark.range(300).selectExpr("id AS u", "id + 1 AS v")
+        found = components(chain, workspace)
+        assert [p.name[4:] for p in Path(workspace.base).iterdir()] == ["links"]
+        assert {tuple(r) for r in found.collect()} == {(k, 0) for k in range(301)}
