@@ -10,6 +10,7 @@ from conftest import rows
 from llm_cases import WORDS, odd_documents, odd_frame, prose
 from pyspark.sql import functions as F
 
+from cartyield.llm import simhash
 from cartyield.llm.components import components
 from cartyield.llm.exact_dedup import DigestIndex, exact_dedup
 from cartyield.llm.simhash import _blocks, fingerprint, fingerprint_links, simhash_groups, tile_links
@@ -167,3 +168,38 @@ def test_components_keep_only_their_last_table(spark):
         found = components(chain, workspace)
         assert [p.name[4:] for p in Path(workspace.base).iterdir()] == ["links"]
         assert {tuple(r) for r in found.collect()} == {(k, 0) for k in range(301)}
+
+
+@pytest.mark.parametrize("block", [64, 1 << 14])
+def test_pieces_leave_out_no_link_and_most_pairs(spark, monkeypatch, block):
+    monkeypatch.setattr(simhash, "LEAST_BLOCK", block)
+    rng = random.Random(block)
+    prints = {rng.getrandbits(64) for _ in range(1500)} | {rng.getrandbits(52) for _ in range(500)} | {0, 1, (1 << 64) - 1}
+    for x in rng.sample(sorted(prints), 300):  # chains of up to 4 bits a step, anywhere in the word
+        for _ in range(3):
+            for bit in rng.sample(range(64), rng.randint(1, 5)):
+                x ^= 1 << bit
+            prints.add(x)
+    prints = sorted(prints)
+    values = np.array(prints, np.uint64)
+    near = np.bitwise_count(values[:, None] ^ values[None, :]) <= 4
+    label = list(range(len(prints)))
+    for i in range(len(prints)):
+        for j in np.flatnonzero(near[i, :i]).tolist():
+            low, high = sorted((label[i], label[j]))
+            if low != high:
+                label = [low if x == high else x for x in label]
+    frame = spark.createDataFrame([(int(np.uint64(x).view(np.int64)),) for x in prints], "fp bigint")
+    with Workspace(spark) as workspace:
+        total = frame.count()
+        blocks, pairs = simhash._banded_blocks(frame, total, 4, 12, workspace)
+        n, compared = blocks.count(), pairs.count()
+        assert n >= 5 and compared < 0.2 * n * n or block > total
+    links = [(r["u"] % (1 << 64), r["v"] % (1 << 64)) for r in fingerprint_links(frame, 4).collect()]
+    places = {x: k for k, x in enumerate(prints)}
+    joined = list(range(len(prints)))
+    for u, v in links:
+        low, high = sorted((joined[places[u]], joined[places[v]]))
+        if low != high:
+            joined = [low if x == high else x for x in joined]
+    assert joined == label
