@@ -11,6 +11,7 @@ from cartyield.operators import baskets, twu, utility_list
 from cartyield.operators.ordering import dense_index, running_sum
 from cartyield.plans import queries
 from cartyield.plans.queries import mean
+from cartyield.plans.workspace import Workspace
 from cartyield.sources.generate import ITEM_POOL, generate_transactions
 from cartyield.sources.tables import items_from
 
@@ -234,3 +235,17 @@ def test_stated_items_are_in_partitions_by_receipt(spark):
 def test_orders_are_joined_without_sorting(spark):
     plan = queries.stated_items(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "ShuffledHashJoin" in plan
+
+
+def test_lists_are_looked_for_once_in_receipts_alike(spark):
+    kinds = ["AB", "ABC", "C", "BD", "ABZ"]
+    lines = [(t, i) for t in range(100) for i in kinds[t % 5]]
+    lists = {0: "A", 1: "AB", 2: "ABC", 3: "BD", 4: "AD"}
+    wanted = [(k, i) for k, names in lists.items() for i in names]
+    with Workspace(spark) as workspace:
+        items = spark.createDataFrame(lines, "tid bigint, item string")
+        found = baskets.contains_lists(items, spark.createDataFrame(wanted, "list_id int, item string"), workspace)
+        assert rows(found) == sorted([(k, t) for k, names in lists.items() for t in range(100) if set(names) <= set(kinds[t % 5])], key=repr)
+        looked_at = spark.read.parquet(workspace._paths["held"])
+        # AB and ABZ are alike, as no list has Z.
+        assert sorted(r["tid"] for r in looked_at.select("tid").distinct().collect()) == [0, 1, 2, 3]
