@@ -295,11 +295,14 @@ def twu_in_drops(spark: SparkSession, folder: str) -> DataFrame:
     """TWU of receipts that arrive in two drops of files, the second one read after the first has been stored."""
     workspace = Workspace(spark)
     inbox, store = workspace.path("inbox"), TwuStore(spark, workspace.path("twu-store"))
-    orders = table(spark, folder, "orders").select(F.col("o_orderkey").alias("tid"), "o_orderdate")
-    items = sold_items(spark, folder).join(orders, "tid")
-    earlier, checkpoint = F.col("o_orderdate") < BATCH_DATE, workspace.path("seen")
-    for drop in (items.filter(earlier), items.filter(~earlier)):
-        text_sink.write_transactions(drop, inbox, mode="append")
+    before = F.col("o_orderdate") < BATCH_DATE
+    dates = table(spark, folder, "orders").groupBy(F.col("o_orderkey").alias("tid"))
+    dates = dates.agg(F.bool_or(before).alias("earlier"), F.bool_or(~before).alias("later"))
+    # The lines of both drops are made once.
+    lines = workspace.store(text_sink.render_lines(sold_items(spark, folder)).join(dates, "tid"), "lines")
+    checkpoint = workspace.path("seen")
+    for drop in ("earlier", "later"):
+        text_sink.write_lines(lines.filter(drop), inbox, mode="append")
         accumulate_twu(spark, inbox, store, checkpoint)
     return store.read().select("item", F.col("twu").cast("double").alias("twu"))
 

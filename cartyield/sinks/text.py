@@ -41,10 +41,12 @@ def write_transactions(items: DataFrame, path: str, mode: str = "error") -> None
 
     The lines are stored before they are sorted: the sort looks at its input twice, and they are made once.
     """
-    first = items.sparkSession.createDataFrame(
-        [(0, 0, line) for line in HEADER], "body int, tid bigint, value string"
-    )
-    body = render_lines(items).select(F.lit(1).alias("body"), F.col("tid").cast("bigint"), "value")
     with Workspace(items.sparkSession) as workspace:
-        lines = workspace.store(first.unionByName(body), "lines")
-        lines.orderBy("body", "tid").select("value").write.mode(mode).text(path)
+        write_lines(workspace.store(render_lines(items), "lines"), path, mode)
+
+
+def write_lines(lines: DataFrame, path: str, mode: str = "error") -> None:
+    """Write stored receipts (tid, value), as ``render_lines`` makes them, as text files in order of their ids, the header line first."""
+    first = lines.sparkSession.createDataFrame([(0, 0, line) for line in HEADER], "body int, tid bigint, value string")
+    body = lines.select(F.lit(1).alias("body"), F.col("tid").cast("bigint"), "value")
+    first.unionByName(body).orderBy("body", "tid").select("value").write.mode(mode).text(path)

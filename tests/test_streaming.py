@@ -1,5 +1,6 @@
 from conftest import rows
 
+from cartyield.plans import queries
 from cartyield.streaming.twu import TwuStore, accumulate_twu
 
 
@@ -24,3 +25,10 @@ def test_twu_goes_on_and_a_batch_replayed_changes_nothing(spark, tmp_path):
         (checkpoint / "commits" / name).unlink(missing_ok=True)
     accumulate_twu(spark, str(inbox), TwuStore(spark, str(tmp_path / "store")), str(checkpoint))
     assert totals() == {"A": 8.0, "B": 10.0, "C": 5.0}
+
+
+def test_lines_of_two_drops_are_made_once(spark, monkeypatch):
+    made, render = [], queries.text_sink.render_lines
+    monkeypatch.setattr(queries.text_sink, "render_lines", lambda items: made.append(items) or render(items))
+    assert queries.twu_in_drops(spark, "/root/testdata/sf0.001").count() == 25
+    assert len(made) == 1
