@@ -36,17 +36,25 @@ def render_lines(items: DataFrame) -> DataFrame:
     return receipts.select("tid", value.alias("value"))
 
 
+def _placed(lines: DataFrame) -> DataFrame:
+    """Lines of receipts (tid, value) with their place after the header."""
+    return lines.select(F.lit(1).alias("body"), F.col("tid").cast("bigint"), "value")
+
+
+def _write_placed(lines: DataFrame, path: str, mode: str) -> None:
+    first = lines.sparkSession.createDataFrame([(0, 0, line) for line in HEADER], "body int, tid bigint, value string")
+    first.unionByName(lines).orderBy("body", "tid").select("value").write.mode(mode).text(path)
+
+
 def write_transactions(items: DataFrame, path: str, mode: str = "error") -> None:
     """Write receipts as text files in order of their ids, the header line first.
 
     The lines are stored before they are sorted: the sort looks at its input twice, and they are made once.
     """
     with Workspace(items.sparkSession) as workspace:
-        write_lines(workspace.store(render_lines(items), "lines"), path, mode)
+        _write_placed(workspace.store(_placed(render_lines(items)), "lines"), path, mode)
 
 
 def write_lines(lines: DataFrame, path: str, mode: str = "error") -> None:
     """Write stored receipts (tid, value), as ``render_lines`` makes them, as text files in order of their ids, the header line first."""
-    first = lines.sparkSession.createDataFrame([(0, 0, line) for line in HEADER], "body int, tid bigint, value string")
-    body = lines.select(F.lit(1).alias("body"), F.col("tid").cast("bigint"), "value")
-    first.unionByName(body).orderBy("body", "tid").select("value").write.mode(mode).text(path)
+    _write_placed(_placed(lines), path, mode)
