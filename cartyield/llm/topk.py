@@ -121,8 +121,8 @@ def search_blocks(
     queries, vectors = (x if x.shape[1] == width else np.pad(x, ((0, 0), (0, width - x.shape[1]))) for x in (queries, vectors))
     kind = _exact(queries, vectors)
     starts = np.arange(0, len(vectors), block)
-    high, low = (f.reduceat(vectors, starts).astype(kind) for f in (np.maximum, np.minimum))
     queries, vectors = queries.astype(kind), vectors.astype(kind)
+    high, low = np.maximum.reduceat(vectors, starts), np.minimum.reduceat(vectors, starts)
     bounds = np.maximum(queries, 0) @ high.T + np.minimum(queries, 0) @ low.T
     scored = 0
 
@@ -135,7 +135,8 @@ def search_blocks(
         # An equal score may still win by its smaller id.
         some = queries if len(asking) == len(queries) else queries[asking]
         scores = some @ vectors[inside].T
-        q, at = np.nonzero(scores >= best.scores[asking, -1].astype(kind)[:, None])
+        high_enough = np.flatnonzero(scores >= best.scores[asking, -1].astype(kind)[:, None])
+        q, at = np.divmod(high_enough, len(inside))
         found, place = asking[q], inside[at]
         counts = rows[place] != own[found]
         if seen is not None:
